@@ -1,6 +1,5 @@
 """Registered queries: name -> function of the session and the data folder."""
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,7 +10,7 @@ from linkloom.functions import meta, predicates
 from linkloom.functions.literals import to_array_literal, to_int_array_literal
 from linkloom.functions.titles import normalize_title, wikilink_title
 from linkloom.operators import redirects
-from linkloom.operators.lineage import shared_dir
+from linkloom.operators.lineage import cut, scratch_path
 from linkloom.plans import extract, preview, relations
 from linkloom.sinks import tables as sinks
 from linkloom.sources import dump as dumps
@@ -21,9 +20,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def _web(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Links, redirects and entities of the web pages."""
+    """Links, redirects and entities of the web pages. The page source is read once for links."""
     web = inputs.table(spark, sf_dir, "pages")
-    links = inputs.web_links(web)
+    links = cut(inputs.web_links(web))
     return links, inputs.web_redirects(links), inputs.web_entities(web)
 
 
@@ -35,10 +34,6 @@ def _wiki_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return inputs.wiki_pages(_dump(spark, sf_dir))
 
 
-def _scratch(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-
-
 def _array_text(df: DataFrame) -> DataFrame:
     """Array columns as array literals, the form they have in CSV."""
     for field in df.schema:
@@ -160,17 +155,17 @@ def page_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def wiki_normalized_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dump to normalized links, through stored relations as a pipeline would have them."""
-    found = extract.write_relations(_dump(spark, sf_dir), _scratch(spark, "relations"))
+    found = extract.write_relations(_dump(spark, sf_dir), scratch_path(spark, "relations"))
     return relations.normalized_links(found.links, found.redirects, found.pages, "target")
 
 
 def wiki_link_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = extract.write_relations(_dump(spark, sf_dir), _scratch(spark, "relations"))
+    found = extract.write_relations(_dump(spark, sf_dir), scratch_path(spark, "relations"))
     return relations.count_links(found.links, found.redirects, found.pages)
 
 
 def wiki_aggregate_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = extract.write_relations(_dump(spark, sf_dir), _scratch(spark, "relations"))
+    found = extract.write_relations(_dump(spark, sf_dir), scratch_path(spark, "relations"))
     normalized = relations.normalized_links(found.links, found.redirects, found.pages)
     return _array_text(relations.aggregate_pages(found.pages, normalized))
 
@@ -219,19 +214,19 @@ def looping_part_chains(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def csv_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = _scratch(spark, "csv")
+    path = scratch_path(spark, "csv")
     sinks.write_csv(extract.extract(_dump(spark, sf_dir)).pages, path)
     return _array_text(sources.read_pages_csv(spark, path))
 
 
 def csv_links(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = _scratch(spark, "csv")
+    path = scratch_path(spark, "csv")
     sinks.write_csv(extract.extract(_dump(spark, sf_dir)).links, path)
     return sources.read_links_csv(spark, path)
 
 
 def csv_redirects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = _scratch(spark, "csv")
+    path = scratch_path(spark, "csv")
     sinks.write_csv(extract.extract(_dump(spark, sf_dir)).redirects, path)
     return sources.read_redirects_csv(spark, path)
 
@@ -244,7 +239,7 @@ def _write_xml(spark: SparkSession, sf_dir: str) -> str:
         c = F.replace(c, F.lit("<"), F.lit("&lt;"))
         return F.replace(c, F.lit(">"), F.lit("&gt;"))
 
-    path = _scratch(spark, "dump")
+    path = scratch_path(spark, "dump")
     page = F.format_string(
         "  <page>\n    <title>%s</title>\n    <ns>%d</ns>\n    <id>%d</id>\n    <revision>\n"
         '      <id>7</id>\n      <text xml:space="preserve">%s</text>\n    </revision>\n  </page>',

@@ -16,8 +16,9 @@ The rules, in their order:
 7. a link `[[topic#section|text]]` shows its text between two spaces and is a span from the
    first to the last character of it; a link the filter rejects shows its text alone.
 
-Each step is its own projection, so that a later step naming the text twice does not evaluate the
-earlier ones twice.
+Every step names the text before it once, binding it with `let` where it needs it more often. The
+whole is one expression of linear size, which the optimizer may inline into a pushed-down filter
+without multiplying the work.
 """
 
 from collections.abc import Iterable
@@ -135,39 +136,34 @@ def _shallow(names: Iterable[str]) -> str:
 
 
 def plain_wikitext(
-    df: DataFrame,
-    col: str,
+    text: Column,
     keep_section_titles: bool = True,
     strict_depth: bool = False,
     media_names: Iterable[str] = (*IMAGE_NAMES, *CATEGORY_NAMES),
-) -> DataFrame:
-    """Rules 1 to 6 on column `col`: what is left is plain text and `[[...]]` links."""
-    media_names = [name for name in media_names]
-    c = F.col(col)
+) -> Column:
+    """Rules 1 to 6: what is left is plain text and `[[...]]` links."""
+    names = [name for name in media_names]
+    nested = rf"(?i)\[\[\s*(?:{'|'.join(names)})\s*:"
     replace = F.regexp_replace
 
-    step = replace(c, f"[{MARK}{OPENED}{TRANSL}]", "")
-    step = replace(step, r"(?s)<!--.*?-->", "")
-    df = df.withColumn(
-        col, replace(step, r"\|\s*\{\{transl\}\}\s*\]\]", "|" + TRANSL + "]]")
-    )
-    df = df.withColumn(
-        col, F.when(c.rlike(r"\{\{|\}\}"), drop_templates(c, strict_depth)).otherwise(c)
-    )
-    df = df.withColumn(
-        col, replace(replace(replace(c, _REF, ""), _EXTERNAL, "$1"), _shallow(media_names), "")
-    )
-    nested = rf"(?i)\[\[\s*(?:{'|'.join(media_names)})\s*:"
-    df = df.withColumn(
-        col, F.when(c.rlike(nested), drop_media_links(c, media_names)).otherwise(c)
+    text = replace(text, f"[{MARK}{OPENED}{TRANSL}]", "")
+    text = replace(text, r"(?s)<!--.*?-->", "")
+    text = replace(text, r"\|\s*\{\{transl\}\}\s*\]\]", "|" + TRANSL + "]]")
+    text = let(
+        text,
+        lambda c: F.when(c.rlike(r"\{\{|\}\}"), drop_templates(c, strict_depth)).otherwise(c),
     )
-    step = replace(c, _BREAK, "\n\n")
-    step = replace(step, _TAG, "")
-    step = replace(step, _HEADING, "$1" if keep_section_titles else "")
-    step = replace(step, _TABLE_LINE, "")
-    step = replace(step, _LIST_MARK, "")
-    df = df.withColumn(col, replace(step, r"'{2,}", ""))
-    return df.withColumn(col, decode_entities(c))
+    text = replace(text, _REF, "")
+    text = replace(text, _EXTERNAL, "$1")
+    text = replace(text, _shallow(names), "")
+    text = let(text, lambda c: F.when(c.rlike(nested), drop_media_links(c, names)).otherwise(c))
+    text = replace(text, _BREAK, "\n\n")
+    text = replace(text, _TAG, "")
+    text = replace(text, _HEADING, "$1" if keep_section_titles else "")
+    text = replace(text, _TABLE_LINE, "")
+    text = replace(text, _LIST_MARK, "")
+    text = replace(text, r"'{2,}", "")
+    return let(text, decode_entities)
 
 
 def _link(body: Column, link_filter: LinkFilter) -> Column:
@@ -193,61 +189,54 @@ def _link(body: Column, link_filter: LinkFilter) -> Column:
     return let(let(F.regexp_replace(body, r"^\s*:", ""), parts), finish)
 
 
-def link_spans(df: DataFrame, col: str, link_filter: LinkFilter) -> DataFrame:
-    """Rule 7: replace `col` by the final text and add the array column `links`.
+def link_spans(text: Column, link_filter: LinkFilter) -> Column:
+    """Rule 7: the final text and its spans, as a struct `(content, links)`."""
 
-    The arrays run side by side through `zip_with`; a lambda that indexed into another column
-    would evaluate that column again for each element once the optimizer inlines it.
-    """
-    bodies = F.transform(
-        F.regexp_extract_all(F.col(col), F.lit(_LINK_BODY), 1),
-        lambda b: _link(b, link_filter),
-    )
-    outs = F.transform(
-        F.col("_links"),
-        lambda x: F.when(x["href"], F.concat(F.lit(" "), x["shown"], F.lit(" "))).otherwise(
-            x["shown"]
-        ),
-    )
-    # One gap more than links: the last one has no link behind it.
-    gap_lengths = F.transform(F.col("_gaps"), F.length)
-    lengths = F.zip_with(
-        F.col("_gaps"),
-        F.col("_outs"),
-        lambda gap, out: F.length(gap) + F.coalesce(F.length(out), F.lit(0)),
-    )
-    # Text before the link, the gap in front of it, and its leading space.
-    starts = F.zip_with(running_total(lengths), gap_lengths, lambda t, gap: t + gap + 1)
-    spans = F.filter(
-        F.zip_with(
-            F.col("_links"),
+    def cut(c: Column) -> Column:
+        bodies = F.regexp_extract_all(c, F.lit(_LINK_BODY), 1)
+        # One gap more than links: the last one has no link behind it.
+        return F.struct(
+            F.split(c, _LINK, -1).alias("gaps"),
+            F.transform(bodies, lambda b: _link(b, link_filter)).alias("links"),
+        )
+
+    def shown(p: Column) -> Column:
+        padded = F.transform(
+            p["links"],
+            lambda x: F.when(
+                x["href"], F.concat(F.lit(" "), x["shown"], F.lit(" "))
+            ).otherwise(x["shown"]),
+        )
+        return F.struct(p["gaps"].alias("gaps"), p["links"].alias("links"), padded.alias("outs"))
+
+    def finish(p: Column) -> Column:
+        content = F.zip_with(
+            p["gaps"],
+            p["outs"],
+            lambda gap, out: F.concat(gap, F.coalesce(out, F.lit(""))),
+        )
+        # Text before the link, the gap in front of it, and its leading space.
+        starts = F.zip_with(
+            running_total(F.transform(content, F.length)),
+            p["gaps"],
+            lambda before, gap: before + F.length(gap) + 1,
+        )
+        spans = F.zip_with(
+            p["links"],
             starts,
             lambda x, start: F.struct(
                 start.alias("char_start"),
                 (start + F.length(x["shown"])).alias("char_end"),
                 x["shown"].alias("surface"),
-                x["link"].alias("link"),
-                (x["href"] & ~is_blank(x["shown"])).alias("keep"),
+                F.when(x["href"] & ~is_blank(x["shown"]), x["link"]).alias("link"),
             ),
-        ),
-        lambda s: s["keep"],
-    )
-    content = F.zip_with(
-        F.col("_gaps"),
-        F.col("_outs"),
-        lambda gap, out: F.concat(gap, F.coalesce(out, F.lit(""))),
-    )
-    df = df.withColumns({"_gaps": F.split(F.col(col), _LINK, -1), "_links": bodies})
-    df = df.withColumn("_outs", outs)
-    return df.withColumns(
-        {
-            col: F.array_join(content, ""),
-            "links": F.transform(
-                spans,
-                lambda s: F.struct(s["char_start"], s["char_end"], s["surface"], s["link"]),
-            ).cast(SPAN_TYPE),
-        }
-    ).drop("_gaps", "_links", "_outs")
+        )
+        kept = F.filter(spans, lambda s: s["link"].isNotNull())
+        return F.struct(
+            F.array_join(content, "").alias("content"), kept.cast(SPAN_TYPE).alias("links")
+        )
+
+    return let(let(let(text, cut), shown), finish)
 
 
 def annotate_links(
@@ -271,9 +260,13 @@ def annotate_links(
         & ~is_special_title(F.col("title"), site_names)
     )
     # Gated pages carry '' through the steps, which costs next to nothing.
-    df = dump.withColumn("content", F.when(gate, F.col("text")).otherwise(""))
-    df = plain_wikitext(df, "content", keep_section_titles, strict_depth, media_names)
-    df = link_spans(df, "content", link_filter)
-    if not with_links:
-        df = df.withColumn("links", F.array().cast(SPAN_TYPE))
-    return df
+    text = F.when(gate, F.col("text")).otherwise("")
+    page = link_spans(
+        plain_wikitext(text, keep_section_titles, strict_depth, media_names), link_filter
+    )
+    links = F.col("_page.links") if with_links else F.array().cast(SPAN_TYPE)
+    return (
+        dump.withColumn("_page", page)
+        .withColumns({"content": F.col("_page.content"), "links": links})
+        .drop("_page")
+    )

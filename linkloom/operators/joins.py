@@ -26,6 +26,11 @@ def hot_keys(df: DataFrame, key: str, hot_rows: int) -> DataFrame:
     )
 
 
+def salting_for(df: DataFrame, hot_rows: int | None) -> int | None:
+    """`hot_rows`, or None where the stored `df` is too small to hold a hot key at all."""
+    return hot_rows if hot_rows is not None and df.count() > hot_rows else None
+
+
 def salted_left_join(
     left: DataFrame, rights: Sequence[DataFrame], key: str, hot_rows: int | None = HOT_ROWS
 ) -> DataFrame:

@@ -1,6 +1,7 @@
-"""Cutting the lineage of iterative jobs on storage that outlives an executor."""
+"""Cutting the lineage of long jobs on storage that outlives an executor."""
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -9,18 +10,25 @@ SETTING = "spark.checkpoint.dir"
 
 def shared_dir(spark: SparkSession) -> str:
     """The session's checkpoint folder. A local session without one gets a temporary folder."""
-    sc = spark.sparkContext
-    named = spark.conf.get(SETTING, None) or sc.getCheckpointDir()
+    named = spark.conf.get(SETTING, None) or spark.sparkContext.getCheckpointDir()
     if named is None:
-        if not sc.master.startswith("local"):
+        if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError(f"set {SETTING} to a folder that all executors share")
         named = tempfile.mkdtemp(prefix="linkloom-")
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(named)
+        spark.conf.set(SETTING, named)
     return named
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Compute `df` once, to storage; what follows reads it from there."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A path of its own in the shared folder."""
+    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def cut(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Compute `df` once into a table in the shared folder; what follows reads it from there.
+
+    Unlike a checkpoint, the table is read by column and its size is known to the planner.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from linkloom.functions.predicates import is_plain_title, is_redirect_row
 from linkloom.functions.titles import bracketed_target, normalize_title
-from linkloom.operators.joins import HOT_ROWS, salted_left_join
+from linkloom.operators.joins import HOT_ROWS, salted_left_join, salting_for
 from linkloom.operators.lineage import cut
 
 
@@ -24,17 +24,19 @@ def article_count(wiki_pages: DataFrame) -> DataFrame:
 
 
 def redirect_targets(wiki_pages: DataFrame, hot_rows: int | None = HOT_ROWS) -> DataFrame:
-    """`(src, title, dst)` for each redirect row: its target title, and the id if there is one."""
-    rows = (
-        wiki_pages.where(is_redirect_row(F.col("html"), F.col("mediawiki")))
-        .select(
-            F.col("id").alias("src"),
-            normalize_title(bracketed_target(F.col("mediawiki"))).alias("title"),
-        )
-        .where(F.col("title").isNotNull())
-    )
+    """`(src, title, dst)` for each redirect row: its target title, and the id if there is one.
+
+    Rows that name no target are left out.
+    """
+    target = bracketed_target(F.col("mediawiki"))
+    rows = wiki_pages.where(
+        is_redirect_row(F.col("html"), F.col("mediawiki")) & target.isNotNull()
+    ).select(F.col("id").alias("src"), normalize_title(target).alias("title"))
+    # Stored, so that looking for hot targets does not read the wikitext again.
+    rows = cut(rows)
     ids = title_map(wiki_pages).withColumnRenamed("id", "dst")
-    return salted_left_join(rows, [ids], "title", hot_rows).select("src", "title", "dst")
+    joined = salted_left_join(rows, [ids], "title", salting_for(rows, hot_rows))
+    return joined.select("src", "title", "dst")
 
 
 def redirect_edges(wiki_pages: DataFrame, hot_rows: int | None = HOT_ROWS) -> DataFrame:
@@ -68,9 +70,11 @@ def follow_redirects(
     settles nothing has only sources on loops left. Settled rows are stored once and not carried
     on; each round is stored before the next one reads it.
     """
-    terminal = edges.select(F.col("src").alias("dst"), F.lit(True).alias("is_source"))
+    edges = cut(edges.select("src", "dst"))
+    hot_rows = salting_for(edges, hot_rows)
+    sources = edges.select(F.col("src").alias("dst"), F.lit(True).alias("is_source"))
     rows = cut(
-        salted_left_join(edges.select("src", "dst"), [terminal], "dst", hot_rows).select(
+        salted_left_join(edges, [sources], "dst", hot_rows).select(
             "src", "dst", F.col("is_source").isNull().alias("settled")
         )
     )

@@ -57,7 +57,9 @@ def annotate_dump(
 def exploded_links(annotated: DataFrame) -> DataFrame:
     """One row per link of each page; pages without links give none."""
     link: Column = F.col("link")
-    return annotated.select("page_id", F.explode("links").alias("link")).select(
+    # `explode` would push a size test of the array, and with it a second rendering, to the scan.
+    rows = annotated.select("page_id", F.explode_outer("links").alias("link"))
+    return rows.where(link.isNotNull()).select(
         "page_id",
         link["char_start"].alias("char_start"),
         link["char_end"].alias("char_end"),

@@ -59,14 +59,6 @@ XML_PAGE = T.StructType(
     ]
 )
 
-XML_NAMESPACE = T.StructType(
-    [
-        T.StructField("_VALUE", T.StringType()),
-        T.StructField("_key", T.IntegerType()),
-        T.StructField("_case", T.StringType()),
-    ]
-)
-
 # A dump page after flattening; every extraction operator starts from these columns.
 DUMP = T.StructType(
     [

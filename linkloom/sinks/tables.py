@@ -27,9 +27,7 @@ def write_csv(df: DataFrame, path: str, chunks: int | None = 10, mode: str = "er
     rows = df.select(*[encode_field(F.col(f.name), f.dataType).alias(f.name) for f in df.schema])
     if chunks is not None:
         rows = rows.repartition(chunks)
-    rows.write.mode(mode).options(
-        quote='"', escape='"', quoteAll="false", emptyValue=CSV_OPTIONS["emptyValue"]
-    ).csv(path)
+    rows.write.mode(mode).options(**CSV_OPTIONS).csv(path)
 
 
 def save_parquet(df: DataFrame, path: str, mode: str = "error") -> None:

@@ -3,33 +3,48 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from linkloom.functions.entities import decode_entities
 from linkloom.functions.predicates import is_content_page
-from linkloom.schemas import CORRUPT, XML_NAMESPACE, XML_PAGE
+from linkloom.schemas import CORRUPT, XML_PAGE
 
 # A site has a few dozen namespaces; a list much longer than that is no namespace list.
 MAX_NAMESPACES = 10_000
 
+PAGE_END = "</page>"
+PARSE_OPTIONS = {
+    "mode": "PERMISSIVE",
+    "columnNameOfCorruptRecord": CORRUPT,
+    # Page text is text: its surrounding blanks belong to it.
+    "ignoreSurroundingSpaces": "false",
+}
+_NAMESPACE = r'<namespace key="(-?[0-9]+)"[^>]*?(?:/>|>([^<]*)</namespace>)'
+
 
 def read_dump(
     spark: SparkSession, path: str, partitions: int | None = None, keep_corrupt: bool = False
 ) -> DataFrame:
     """One row `(id, ns, title, text)` per `<page>` element.
 
-    Plain and bzip2 files are split among tasks by the XML source. `partitions` spreads the pages
-    anew where the files are few or cannot be split. A page that does not parse is left out;
-    `keep_corrupt` keeps it, with its source text in `_corrupt_record`.
+    The XML source reads a file in one task and gives up on it at the first error. The file is
+    therefore read as text records that end at `</page>`, which Spark splits among tasks, plain or
+    bzip2, and each record is parsed by itself. (A page's own text cannot hold the end mark: there
+    it is escaped.) `partitions` spreads the pages anew where the files cannot be split, as gzip.
+    A page that does not parse is left out; `keep_corrupt` keeps it, with its source in
+    `_corrupt_record`.
     """
+    records = spark.read.option("lineSep", PAGE_END).text(path)
+    page = F.regexp_extract("value", r"(?s)<page(?:\s[^>]*)?>.*$", 0)
+    parsed = F.from_xml(F.concat(page, F.lit(PAGE_END)), XML_PAGE, PARSE_OPTIONS)
     df = (
-        spark.read.format("xml")
-        .option("rowTag", "page")
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        # Page text is text: surrounding blanks and the literal word "null" belong to it.
-        .option("ignoreSurroundingSpaces", "false")
-        .option("nullValue", "\\u0000")
-        .schema(XML_PAGE)
-        .load(path)
-        .select("id", "ns", "title", F.col("revision.text._VALUE").alias("text"), CORRUPT)
+        records.where(F.contains("value", F.lit("<page")))
+        .select(parsed.alias("page"))
+        .select(
+            "page.id",
+            "page.ns",
+            "page.title",
+            F.col("page.revision.text._VALUE").alias("text"),
+            F.col("page")[CORRUPT].alias(CORRUPT),
+        )
     )
     if not keep_corrupt:
         df = df.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
@@ -47,15 +62,17 @@ def count_pages(spark: SparkSession, path: str) -> DataFrame:
 def read_namespaces(spark: SparkSession, path: str) -> DataFrame:
     """The site's namespaces `(ns, name)`; the main one has no name.
 
-    The source scans the whole of `path` for them. Every part of a dump carries the same header,
-    so give it the smallest part.
+    The scan goes through all of `path` for them. Every part of a dump carries the same header, so
+    give it the smallest part.
     """
-    return (
-        spark.read.format("xml")
-        .option("rowTag", "namespace")
-        .schema(XML_NAMESPACE)
-        .load(path)
-        .select(F.col("_key").alias("ns"), F.col("_VALUE").alias("name"))
+    lines = spark.read.text(path).where(F.contains("value", F.lit("<namespace ")))
+    found = F.arrays_zip(
+        F.regexp_extract_all("value", F.lit(_NAMESPACE), 1).alias("key"),
+        F.regexp_extract_all("value", F.lit(_NAMESPACE), 2).alias("name"),
+    )
+    return lines.select(F.explode(found).alias("n")).select(
+        F.col("n.key").cast("int").alias("ns"),
+        decode_entities(F.nullif(F.col("n.name"), F.lit(""))).alias("name"),
     )
 
 

@@ -12,7 +12,14 @@ from linkloom.functions.literals import from_array_literal, from_int_array_liter
 # A CSV field cannot tell NULL from '': NULL is written as this mark, and a text that starts with
 # the mark's first character gets that character once more in front.
 NULL_MARK = "\\N"
-CSV_OPTIONS = {"quote": '"', "escape": '"', "multiLine": "true", "emptyValue": ""}
+CSV_OPTIONS = {
+    "quote": '"',
+    "escape": '"',
+    "multiLine": "true",
+    "emptyValue": "",
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+}
 
 
 def decode_field(c: Column, dtype: T.DataType) -> Column:
