@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from linkloom.functions.scan import running_total
 from linkloom.functions.titles import wikilink_title
+from linkloom.operators.once import with_fields
 
 ANCHOR = '<a href="/([^"]*)">([^<]*)</a>'
 TITLE = "<title>([^ <]+)"
@@ -154,7 +155,8 @@ def select_list(columns: dict[str, str]) -> list[str]:
 
 def wikitext(documents: DataFrame) -> DataFrame:
     """Dump pages `(id, ns, title, text)`."""
-    return documents.selectExpr(*select_list(WIKITEXT))
+    page = F.struct(*[F.expr(e).alias(name) for name, e in WIKITEXT.items()])
+    return with_fields(documents, page, keep=())
 
 
 def wiki_pages(dump: DataFrame) -> DataFrame:

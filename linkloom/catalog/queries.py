@@ -10,7 +10,9 @@ from linkloom.functions import meta, predicates
 from linkloom.functions.literals import to_array_literal, to_int_array_literal
 from linkloom.functions.titles import normalize_title, wikilink_title
 from linkloom.operators import redirects
+from linkloom.operators.joins import HOT_ROWS, salting_for
 from linkloom.operators.lineage import cut, scratch_path
+from linkloom.operators.spread import spread
 from linkloom.plans import extract, preview, relations
 from linkloom.sinks import tables as sinks
 from linkloom.sources import dump as dumps
@@ -27,11 +29,17 @@ def _web(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFr
 
 
 def _dump(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return inputs.wikitext(inputs.table(spark, sf_dir, "documents"))
+    return inputs.wikitext(spread(inputs.table(spark, sf_dir, "documents"), "doc_id"))
 
 
 def _wiki_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return inputs.wiki_pages(_dump(spark, sf_dir))
+    """A stored table, as `wiki_pages` is: whoever needs titles only does not read the text."""
+    return cut(inputs.wiki_pages(_dump(spark, sf_dir)))
+
+
+def _titles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = inputs.table(spark, sf_dir, "documents")
+    return documents.selectExpr(*inputs.select_list(inputs.WIKITEXT)).select("id", "title")
 
 
 def _array_text(df: DataFrame) -> DataFrame:
@@ -49,15 +57,22 @@ def _array_text(df: DataFrame) -> DataFrame:
 
 
 def normalized_links(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return relations.normalized_links(*_web(spark, sf_dir))
+    links, moved, entities = _web(spark, sf_dir)
+    return relations.normalized_links(
+        links, moved, entities, hot_rows=salting_for(links, HOT_ROWS)
+    )
 
 
 def normalized_links_resolved(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return relations.normalized_links(*_web(spark, sf_dir), resolve_id="target")
+    links, moved, entities = _web(spark, sf_dir)
+    return relations.normalized_links(
+        links, moved, entities, "target", hot_rows=salting_for(links, HOT_ROWS)
+    )
 
 
 def link_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return relations.count_links(*_web(spark, sf_dir))
+    links, moved, entities = _web(spark, sf_dir)
+    return relations.count_links(links, moved, entities, hot_rows=salting_for(links, HOT_ROWS))
 
 
 def link_counts_after_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -153,20 +168,27 @@ def page_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _array_text(preview.preview(_dump(spark, sf_dir)))
 
 
-def wiki_normalized_links(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Dump to normalized links, through stored relations as a pipeline would have them."""
+def _stored(spark: SparkSession, sf_dir: str) -> tuple[extract.Relations, int | None]:
+    """The relations as stored tables, and whether their links are many enough to be salted."""
     found = extract.write_relations(_dump(spark, sf_dir), scratch_path(spark, "relations"))
-    return relations.normalized_links(found.links, found.redirects, found.pages, "target")
+    return found, salting_for(found.links, HOT_ROWS)
+
+
+def wiki_normalized_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found, hot = _stored(spark, sf_dir)
+    return relations.normalized_links(found.links, found.redirects, found.pages, "target", hot)
 
 
 def wiki_link_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = extract.write_relations(_dump(spark, sf_dir), scratch_path(spark, "relations"))
-    return relations.count_links(found.links, found.redirects, found.pages)
+    found, hot = _stored(spark, sf_dir)
+    return relations.count_links(found.links, found.redirects, found.pages, hot)
 
 
 def wiki_aggregate_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = extract.write_relations(_dump(spark, sf_dir), scratch_path(spark, "relations"))
-    normalized = relations.normalized_links(found.links, found.redirects, found.pages)
+    found, hot = _stored(spark, sf_dir)
+    normalized = relations.normalized_links(
+        found.links, found.redirects, found.pages, hot_rows=hot
+    )
     return _array_text(relations.aggregate_pages(found.pages, normalized))
 
 
@@ -178,11 +200,11 @@ def wiki_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def title_map(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return redirects.title_map(_wiki_pages(spark, sf_dir))
+    return redirects.title_map(_titles(spark, sf_dir))
 
 
 def article_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return redirects.article_count(_wiki_pages(spark, sf_dir))
+    return redirects.article_count(_titles(spark, sf_dir))
 
 
 def redirect_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -198,7 +220,8 @@ def resolved_redirects(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def redirect_loops(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return redirects.redirect_loops(redirect_edges(spark, sf_dir), _wiki_pages(spark, sf_dir))
+    pages = _wiki_pages(spark, sf_dir)
+    return redirects.redirect_loops(redirects.redirect_edges(pages), pages)
 
 
 def resolved_part_chains(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,6 +5,7 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from linkloom.functions.scan import let
 from linkloom.functions.titles import wikilink_title
 
 # Names of the templates that mark a disambiguation page. Each also counts with
@@ -23,6 +24,7 @@ def disambiguation_pattern() -> str:
 
 
 # The order and the patterns of the regex clean-up in `plain_text_regex`.
+PIPED_WORD = r"\s(.*?)\|(\w+\s)"
 PLAIN_TEXT_STEPS = [
     ("&gt;", ">"),
     ("&lt;", "<"),
@@ -31,7 +33,7 @@ PLAIN_TEXT_STEPS = [
     (r"\{\{.*?\}\}", " "),
     (r"\[\[.*?:.*?\]\]", " "),
     (r"\[\[(.*?)\]\]", "$1"),
-    (r"\s(.*?)\|(\w+\s)", " $2"),
+    (PIPED_WORD, " $2"),
     (r"\[.*?\]", " "),
     (r"'+", ""),
 ]
@@ -93,11 +95,33 @@ def raw_links(text: Column) -> Column:
     return F.filter(_first_parts(found), lambda t: ~F.contains(t, F.lit(":")))
 
 
+def _keep_piped_words(text: Column) -> Column:
+    """`regexp_replace(text, PIPED_WORD, ' $2')` in time linear in the text.
+
+    After a line's last piped word every blank starts a search that runs to the end of the line
+    and fails, which is quadratic in the line. These line ends are cut out, between marks, and
+    only the rest is searched: there every search up to the last piped word succeeds.
+    """
+    mark = "\u0001"
+    marked = F.regexp_replace(text, r"(.*\|\w+\s)|(.+)", f"$1{mark}$2{mark}")
+    pieces = F.split(F.replace(marked, F.lit(mark + mark), F.lit("")), mark, -1)
+    searched = F.transform(
+        pieces,
+        lambda piece, i: F.when(i % 2 == 0, F.regexp_replace(piece, PIPED_WORD, " $2")).otherwise(
+            piece
+        ),
+    )
+    return F.when(F.contains(text, F.lit("|")), F.array_join(searched, "")).otherwise(text)
+
+
 def plain_text_regex(text: Column) -> Column:
-    """Strip wiki markup by ten replacements in a fixed order."""
-    out = F.coalesce(text, F.lit(""))
+    """Strip wiki markup by ten replacements in a fixed order. The mark U+0001 is no text."""
+    out = F.replace(F.coalesce(text, F.lit("")), F.lit("\u0001"), F.lit(""))
     for pattern, replacement in PLAIN_TEXT_STEPS:
-        out = F.regexp_replace(out, pattern, replacement)
+        if pattern == PIPED_WORD:
+            out = let(out, _keep_piped_words)
+        else:
+            out = F.regexp_replace(out, pattern, replacement)
     return out
 
 

@@ -16,9 +16,8 @@ The rules, in their order:
 7. a link `[[topic#section|text]]` shows its text between two spaces and is a span from the
    first to the last character of it; a link the filter rejects shows its text alone.
 
-Every step names the text before it once, binding it with `let` where it needs it more often. The
-whole is one expression of linear size, which the optimizer may inline into a pushed-down filter
-without multiplying the work.
+Every step names the text before it once, binding it with `let` where it needs it more often, so the
+whole is one expression of linear size. It is evaluated once per page, behind a generator.
 """
 
 from collections.abc import Iterable
@@ -37,6 +36,7 @@ from linkloom.functions.predicates import (
 )
 from linkloom.functions.scan import let, running_total, scan
 from linkloom.functions.titles import strip
+from linkloom.operators.once import with_fields
 
 # Control characters no XML text can hold; they mark places in the text between two steps.
 MARK = "\u0001"
@@ -264,9 +264,5 @@ def annotate_links(
     page = link_spans(
         plain_wikitext(text, keep_section_titles, strict_depth, media_names), link_filter
     )
-    links = F.col("_page.links") if with_links else F.array().cast(SPAN_TYPE)
-    return (
-        dump.withColumn("_page", page)
-        .withColumns({"content": F.col("_page.content"), "links": links})
-        .drop("_page")
-    )
+    annotated = with_fields(dump, page)
+    return annotated if with_links else annotated.withColumn("links", F.array().cast(SPAN_TYPE))

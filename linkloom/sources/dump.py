@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from linkloom.functions.entities import decode_entities
 from linkloom.functions.predicates import is_content_page
+from linkloom.operators.once import with_fields
 from linkloom.schemas import CORRUPT, XML_PAGE
 
 # A site has a few dozen namespaces; a list much longer than that is no namespace list.
@@ -36,15 +37,8 @@ def read_dump(
     page = F.regexp_extract("value", r"(?s)<page(?:\s[^>]*)?>.*$", 0)
     parsed = F.from_xml(F.concat(page, F.lit(PAGE_END)), XML_PAGE, PARSE_OPTIONS)
     df = (
-        records.where(F.contains("value", F.lit("<page")))
-        .select(parsed.alias("page"))
-        .select(
-            "page.id",
-            "page.ns",
-            "page.title",
-            F.col("page.revision.text._VALUE").alias("text"),
-            F.col("page")[CORRUPT].alias(CORRUPT),
-        )
+        with_fields(records.where(F.contains("value", F.lit("<page"))), parsed, keep=())
+        .select("id", "ns", "title", F.col("revision.text._VALUE").alias("text"), CORRUPT)
     )
     if not keep_corrupt:
         df = df.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
