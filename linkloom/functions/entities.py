@@ -1,5 +1,7 @@
 """Character entities to characters."""
 
+import json
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -97,8 +99,8 @@ def _from_code(code: Column) -> Column:
 
 def decode_entities(text: Column) -> Column:
     """Decode each entity once; what is no entity stays as written."""
-    names = named_entities()
-    table = F.create_map(*[F.lit(x) for pair in names.items() for x in pair])
+    # One literal, folded into a map when the plan is optimized.
+    table = F.from_json(F.lit(json.dumps(named_entities())), "map<string,string>")
 
     def char(name: Column) -> Column:
         hexadecimal = F.conv(F.substr(name, F.lit(3)), 16, 10).cast("bigint")
