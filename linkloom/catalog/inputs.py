@@ -6,10 +6,10 @@ images and so on. The wikitext expressions are plain SQL that Spark and the chec
 alike.
 """
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkloom.functions.scan import running_total
+from linkloom.functions.scan import let, running_total
 from linkloom.functions.titles import wikilink_title
 from linkloom.operators.once import with_fields
 
@@ -21,39 +21,58 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def web_anchors(web: DataFrame) -> DataFrame:
-    """One row per anchor: `(page_id, char_start, char_end, surface, href)`.
+def web_parsed(web: DataFrame) -> DataFrame:
+    """`(page_id, title, anchors)`, the page source read and searched once.
 
-    Offsets are those of the anchor's text in the page source.
+    `anchors` is an array of `(char_start, char_end, surface, href)`; the offsets are those of the
+    anchor's text in the page source.
     """
-    html = F.col("html")
-    arrays = web.select(
-        "page_id",
-        F.split(html, ANCHOR, -1).alias("gaps"),
-        F.regexp_extract_all(html, F.lit(ANCHOR), 1).alias("hrefs"),
-        F.regexp_extract_all(html, F.lit(ANCHOR), 2).alias("texts"),
-    )
-    opening = F.zip_with("gaps", "hrefs", lambda g, h: F.length(g) + F.length(h) + 12)
-    whole = F.zip_with("opening", "texts", lambda o, t: o + F.length(t) + 4)
-    starts = F.zip_with(running_total(F.col("whole")), "opening", lambda t, o: t + o)
-    # The last gap has no anchor behind it.
-    spans = (
-        arrays.withColumn("opening", F.slice(opening, F.lit(1), F.size("hrefs")))
-        .withColumn("whole", whole)
-        .select("page_id", F.explode(F.arrays_zip(starts.alias("s"), "texts", "hrefs")).alias("a"))
-    )
-    start, surface = F.col("a.s"), F.col("a.texts")
-    return spans.select(
-        "page_id",
-        start.alias("char_start"),
-        (start + F.length(surface)).alias("char_end"),
-        surface.alias("surface"),
-        F.col("a.hrefs").alias("href"),
+
+    def cut(html: Column) -> Column:
+        return F.struct(
+            F.split(html, ANCHOR, -1).alias("gaps"),
+            F.regexp_extract_all(html, F.lit(ANCHOR), 1).alias("hrefs"),
+            F.regexp_extract_all(html, F.lit(ANCHOR), 2).alias("texts"),
+            wikilink_title(F.regexp_extract(html, TITLE, 1)).alias("title"),
+        )
+
+    def opened(p: Column) -> Column:
+        # The last gap has no anchor behind it.
+        opening = F.zip_with(p["gaps"], p["hrefs"], lambda g, h: F.length(g) + F.length(h) + 12)
+        return F.struct(
+            F.slice(opening, F.lit(1), F.size(p["hrefs"])).alias("opening"),
+            F.arrays_zip(p["texts"].alias("surface"), p["hrefs"].alias("href")).alias("anchors"),
+            p["title"].alias("title"),
+        )
+
+    def spanned(p: Column) -> Column:
+        whole = F.zip_with(p["opening"], p["anchors"], lambda o, a: o + F.length(a["surface"]) + 4)
+        starts = F.zip_with(running_total(whole), p["opening"], lambda t, o: t + o)
+        anchors = F.zip_with(
+            starts,
+            p["anchors"],
+            lambda start, a: F.struct(
+                start.alias("char_start"),
+                (start + F.length(a["surface"])).alias("char_end"),
+                a["surface"].alias("surface"),
+                a["href"].alias("href"),
+            ),
+        )
+        return F.struct(p["title"].alias("title"), anchors.alias("anchors"))
+
+    page = let(let(let(F.col("html"), cut), opened), spanned)
+    return with_fields(web, page, keep=("page_id",))
+
+
+def web_anchors(parsed: DataFrame) -> DataFrame:
+    anchor = F.col("a")
+    return parsed.select("page_id", F.explode("anchors").alias("a")).select(
+        "page_id", *(anchor[c].alias(c) for c in ("char_start", "char_end", "surface", "href"))
     )
 
 
-def web_links(web: DataFrame) -> DataFrame:
-    return web_anchors(web).select(
+def web_links(parsed: DataFrame) -> DataFrame:
+    return web_anchors(parsed).select(
         "page_id", "char_start", "char_end", "surface", wikilink_title(F.col("href")).alias("title")
     )
 
@@ -76,9 +95,9 @@ def web_pages(web: DataFrame) -> DataFrame:
     )
 
 
-def web_entities(web: DataFrame) -> DataFrame:
+def web_entities(parsed: DataFrame) -> DataFrame:
     """One page per title: titles repeat among web pages."""
-    return web_pages(web).groupBy("title").agg(F.min("page_id").alias("page_id"))
+    return parsed.groupBy("title").agg(F.min("page_id").alias("page_id"))
 
 
 def _chain(text: str, steps: list[tuple[str, str]]) -> str:

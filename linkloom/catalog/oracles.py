@@ -5,6 +5,8 @@ templates go by repeated innermost replacement (the derived wikitext nests them
 chains by a recursive query with a depth bound.
 """
 
+from collections.abc import Callable
+
 from linkloom.catalog.inputs import TITLE, WIKI_PAGES, WIKITEXT, select_list
 from linkloom.functions.meta import DISAMBIGUATION_TEMPLATES
 from linkloom.functions.predicates import LINK_NAMESPACES, SPECIAL_PREFIXES
@@ -176,6 +178,7 @@ _PLAIN_STEPS = [
 _MEDIA = (
     r"\[\[\s*(?:File|Image|Category)\s*:[^\[\]]*(?:\[\[[^\[\]]*\]\][^\[\]]*)*\]\]"
 )
+_HEADING = r"(?m)^=+[ \t]*([^\n]*?)[ \t]*=+[ \t]*$"
 _TEMPLATE = (r"\{\{[^{}]*\}\}", "''", "g")
 _RENDER_STEPS = [
     (r"(?s)<!--.*?-->", "''", "g"),
@@ -188,7 +191,7 @@ _RENDER_STEPS = [
     (_MEDIA, "''", "gi"),
     (r"</?(?:br|hr)(?:\s[^<>]*)?/?>", "chr(10) || chr(10)", "gi"),
     ("</?[a-zA-Z][^<>]*>", "''", "g"),
-    (r"(?m)^=+[ \t]*([^\n]*?)[ \t]*=+[ \t]*$", r"'\1'", "g"),
+    (_HEADING, r"'\1'", "g"),
     (r"(?m)^(?:\{\|[^\n]*|\|[-}][^\n]*|[|!])", "''", "g"),
     (r"(?m)^[*#:;]+[ \t]*", "''", "g"),
     (r"''{2,}", "''", "g"),
@@ -213,11 +216,15 @@ def _entity_link(x: str) -> str:
 _LINK_TITLE = _strip("string_split(string_split(b, '|')[1], '#')[1]")
 _SHOWN = _strip("case when strpos(b, '|') > 0 then substr(b, strpos(b, '|') + 1) else b end")
 
-_EXTRACT = rf"""{_META},
+
+
+def _extraction(heading: str, wanted: Callable[[str], str]) -> str:
+    steps = [(p, heading if p == _HEADING else r, flags) for p, r, flags in _RENDER_STEPS]
+    return rf"""{_META},
 rendered as (
   select *, {_entities(_replaced(
       f"case when ns = 0 and length(text) > 0 and not is_redirect and not {_SPECIAL} then text "
-      "else '''' end".replace("''''", "''"), _RENDER_STEPS))} as flat
+      "else '''' end".replace("''''", "''"), steps))} as flat
   from page_meta
 ),
 bodies as (
@@ -238,7 +245,7 @@ shown as (
 ),
 outs as (
   select *, list_transform(surfaces, lambda s, i:
-    case when {_entity_link("hrefs[i]")} then ' ' || s || ' ' else s end) as outs
+    case when {wanted("hrefs[i]")} then ' ' || s || ' ' else s end) as outs
   from shown
 ),
 annotated as (
@@ -264,13 +271,18 @@ link_starts as (
 wiki_links as (
   select page_id, char_start, cast(char_start + length(surface) as int) as char_end, surface,
     {_wikilink("href")} as title, i
-  from link_starts where {_entity_link("href")} and {_strip("surface")} <> ''
+  from link_starts where {wanted("href")} and {_strip("surface")} <> ''
 ),
 wiki_redirects as (
   select title, redirect_target as target from annotated where is_redirect
 )
 """
 
+
+_EXTRACT = _extraction(r"'\1'", _entity_link)
+_NO_HEADINGS = _extraction("''", _entity_link)
+_NUMBERED = _extraction(r"'\1'", lambda x: f"regexp_matches({x}, '^page[ _][0-9]+$')")
+
 _LINK_COLUMNS = "page_id, char_start, char_end, surface, title"
 
 
@@ -367,6 +379,11 @@ ORACLES = {
     ),
     "extract_pages": f"with {_EXTRACT} select * from wiki_pages_rel",
     "extract_links": f"with {_EXTRACT} select {_LINK_COLUMNS} from wiki_links",
+    "extract_links_by_own_filter": f"with {_NUMBERED} select {_LINK_COLUMNS} from wiki_links",
+    "extract_pages_without_headings": (
+        f"with {_NO_HEADINGS} select p.* from wiki_pages_rel p join dump d on p.page_id = d.id"
+        " where d.ns = 0"
+    ),
     "extract_redirects": f"with {_EXTRACT} select * from wiki_redirects",
     "page_preview": (
         f"with {_EXTRACT}, spans as ("
@@ -408,6 +425,14 @@ ORACLES = {
         f" select l.src, {_normalize('w.title')} as title from ({_LOOPING}) l"
         " left join wiki_pages w on l.src = w.id"
     ),
+    "redirect_stats": (
+        f"with recursive {_TARGETS}, {_WALK}"
+        " select 'articles' as part, count(*) as n from title_map"
+        " union all select 'redirects', count(*) from resolved"
+        f" union all select 'loops', count(*) from ({_LOOPING})"
+        " union all select 'unresolved', count(*) from targets"
+        " where dst is null and not regexp_matches(title, '[#:]')"
+    ),
     "resolved_part_chains": (
         f"with recursive {_PART_EDGES}, {_WALK} select src, dst from resolved"
     ),

@@ -1,6 +1,7 @@
 """Registered queries: name -> function of the session and the data folder."""
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +15,7 @@ from linkloom.operators.joins import HOT_ROWS, salting_for
 from linkloom.operators.lineage import cut, scratch_path
 from linkloom.operators.spread import spread
 from linkloom.plans import extract, preview, relations
+from linkloom.plans.stats import collect_stats
 from linkloom.sinks import tables as sinks
 from linkloom.sources import dump as dumps
 from linkloom.sources import tables as sources
@@ -22,10 +24,10 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def _web(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Links, redirects and entities of the web pages. The page source is read once for links."""
-    web = inputs.table(spark, sf_dir, "pages")
-    links = cut(inputs.web_links(web))
-    return links, inputs.web_redirects(links), inputs.web_entities(web)
+    """Links, redirects and entities of the web pages. The page source is read once."""
+    parsed = cut(inputs.web_parsed(spread(inputs.table(spark, sf_dir, "pages"), "page_id")))
+    links = inputs.web_links(parsed)
+    return links, inputs.web_redirects(links), inputs.web_entities(parsed)
 
 
 def _dump(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -86,7 +88,8 @@ def aggregate_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def normalized_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
     href = F.col("href")
-    return inputs.web_anchors(inputs.table(spark, sf_dir, "pages")).select(
+    parsed = inputs.web_parsed(spread(inputs.table(spark, sf_dir, "pages"), "page_id"))
+    return inputs.web_anchors(parsed).select(
         "page_id",
         "char_start",
         "href",
@@ -160,6 +163,17 @@ def extract_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract.extract(_dump(spark, sf_dir)).links
 
 
+def extract_links_by_own_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Only links to the numbered pages count as links."""
+    numbered = lambda title: title.rlike("^page[ _][0-9]+$")
+    return extract.extract(_dump(spark, sf_dir), link_filter=numbered).links
+
+
+def extract_pages_without_headings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = extract.extract(_dump(spark, sf_dir), main_only=True, keep_section_titles=False)
+    return _array_text(found.pages)
+
+
 def extract_redirects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract.extract(_dump(spark, sf_dir)).redirects
 
@@ -224,6 +238,16 @@ def redirect_loops(spark: SparkSession, sf_dir: str) -> DataFrame:
     return redirects.redirect_loops(redirects.redirect_edges(pages), pages)
 
 
+def redirect_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The size of each part of the statistics, as rows `(part, n)`."""
+    stats = collect_stats(_wiki_pages(spark, sf_dir))
+    counts = [stats.articles.select(F.lit("articles").alias("part"), F.col("articles").alias("n"))]
+    for part in ("redirects", "loops", "unresolved"):
+        size = getattr(stats, part).agg(F.count("*").alias("n"))
+        counts.append(size.select(F.lit(part).alias("part"), "n"))
+    return reduce(DataFrame.union, counts)
+
+
 def resolved_part_chains(spark: SparkSession, sf_dir: str) -> DataFrame:
     return redirects.resolve_redirects(inputs.part_edges(inputs.table(spark, sf_dir, "part")))
 
@@ -302,6 +326,8 @@ QUERIES: dict[str, Query] = {
         page_filters,
         extract_pages,
         extract_links,
+        extract_links_by_own_filter,
+        extract_pages_without_headings,
         extract_redirects,
         page_preview,
         wiki_normalized_links,
@@ -314,6 +340,7 @@ QUERIES: dict[str, Query] = {
         unresolved_redirects,
         resolved_redirects,
         redirect_loops,
+        redirect_stats,
         resolved_part_chains,
         looping_part_chains,
         csv_pages,

@@ -18,11 +18,13 @@ def encode_field(c: Column, dtype: T.DataType) -> Column:
     return F.coalesce(escaped, text, F.lit(NULL_MARK))
 
 
-def write_csv(df: DataFrame, path: str, chunks: int | None = 10, mode: str = "error") -> None:
-    """Write `chunks` files without a header, fields quoted where needed.
+def write_csv(
+    df: DataFrame, path: str, chunks: int | None = None, mode: str = "error"
+) -> None:
+    """Write files without a header, fields quoted where needed.
 
-    `chunks=None` keeps the partitions of `df`: ten files are what a small dump asks for, while a
-    large one wants as many as it has tasks and no shuffle in front of the write.
+    `chunks` asks for that many files, each written by one task: ten will do for a small dump.
+    Without it every partition of `df` writes its own, and nothing is shuffled.
     """
     rows = df.select(*[encode_field(F.col(f.name), f.dataType).alias(f.name) for f in df.schema])
     if chunks is not None:

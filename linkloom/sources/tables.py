@@ -1,5 +1,6 @@
 """The CSV relations and the `wiki_pages` table."""
 
+import os
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -52,13 +53,28 @@ def read_redirects_csv(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return _read_csv(spark, path, schemas.REDIRECTS)
 
 
+def jdbc_source(database: str, partitions: int, max_id: int, host: str = "localhost") -> dict:
+    """Options for `read_wiki_pages` on a PostgreSQL database, read by ranges of `id`.
+
+    The port is that of the environment variable PGPORT, 8432 if it is not set.
+    """
+    port = os.environ.get("PGPORT", "8432")
+    return {
+        "url": f"jdbc:postgresql://{host}:{port}/{database}",
+        "partitionColumn": "id",
+        "lowerBound": "0",
+        "upperBound": str(max_id),
+        "numPartitions": str(partitions),
+    }
+
+
 def read_wiki_pages(
     spark: SparkSession, source: str | Mapping[str, str], limit: int | None = None
 ) -> DataFrame:
     """The table `wiki_pages(id, title, html, mediawiki)`.
 
-    `source` is a Parquet path or the options of a JDBC read. With JDBC, give `partitionColumn`
-    (`id`), `lowerBound`, `upperBound` and `numPartitions`, or one task reads it all.
+    `source` is a Parquet path or the options of a JDBC read, as `jdbc_source` gives them. Filters
+    and the column list reach the database. `limit` keeps that many rows, for a first look.
     """
     names = schemas.WIKI_PAGES.fieldNames()
     if isinstance(source, str):

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from linkloom import schemas
+from linkloom.operators.spread import spread
 from linkloom.plans.relations import aggregate_pages
 from linkloom.sinks.tables import save_parquet, save_table, write_csv
 from linkloom.sources.dump import (
@@ -14,6 +15,7 @@ from linkloom.sources.dump import (
     read_namespaces,
 )
 from linkloom.sources.tables import (
+    jdbc_source,
     read_links_csv,
     read_pages_csv,
     read_redirects_csv,
@@ -112,7 +114,7 @@ def test_pages_csv(spark, tmp_path):
         for i, t in enumerate(TRICKY)
     ]
     df = spark.createDataFrame(rows, schemas.PAGES)
-    write_csv(df, str(tmp_path / "pages"))
+    write_csv(df, str(tmp_path / "pages"), chunks=10)
     back = read_pages_csv(spark, str(tmp_path / "pages"))
     assert back.schema == df.schema
     assert back.exceptAll(df).count() == df.exceptAll(back).count() == 0
@@ -168,3 +170,19 @@ def test_bucketed_tables_join_without_a_shuffle(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     with pytest.raises(ValueError):
         save_table(pages, "bucketed_pages", buckets=4)
+
+
+def test_jdbc_source(monkeypatch):
+    monkeypatch.delenv("PGPORT", raising=False)
+    options = jdbc_source("wiki", partitions=64, max_id=10**9)
+    assert options["url"] == "jdbc:postgresql://localhost:8432/wiki"
+    assert (options["partitionColumn"], options["numPartitions"]) == ("id", "64")
+    monkeypatch.setenv("PGPORT", "5433")
+    assert jdbc_source("wiki", 1, 1, host="db")["url"] == "jdbc:postgresql://db:5433/wiki"
+
+
+def test_spread_fills_the_cores_and_leaves_large_input(spark):
+    cores = spark.sparkContext.defaultParallelism
+    assert spread(spark.range(0, 100, 1, 1), "id").rdd.getNumPartitions() == cores
+    many = spark.range(0, 100, 1, cores + 1)
+    assert spread(many, "id") is many
