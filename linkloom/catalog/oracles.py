@@ -178,7 +178,7 @@ _PLAIN_STEPS = [
 _MEDIA = (
     r"\[\[\s*(?:File|Image|Category)\s*:[^\[\]]*(?:\[\[[^\[\]]*\]\][^\[\]]*)*\]\]"
 )
-_HEADING = r"(?m)^=+[ \t]*([^\n]*?)[ \t]*=+[ \t]*$"
+_HEADING = r"(?m)^=+[ \t]*([^\n]*[^=\s])[ \t]*=+[ \t]*$"
 _TEMPLATE = (r"\{\{[^{}]*\}\}", "''", "g")
 _RENDER_STEPS = [
     (r"(?s)<!--.*?-->", "''", "g"),

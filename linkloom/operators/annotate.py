@@ -49,10 +49,11 @@ IMAGE_NAMES = ("File", "Image")
 CATEGORY_NAMES = ("Category",)
 
 _REF = r"(?is)<ref(?:\s[^>]*)?/>|<ref(?:\s[^>]*)?>.*?</ref\s*>"
-_EXTERNAL = r"\[(?:https?:|ftp:)?//[^\s\[\]]+[ \t]*([^\[\]\n]*)\]"
+# Possessive where giving back cannot help, so that a mark left open costs one look and no more.
+_EXTERNAL = r"\[(?:https?:|ftp:)?//[^\s\[\]]++[ \t]*+([^\[\]\n]*+)\]"
 _BREAK = r"(?i)</?(?:br|hr)(?:\s[^<>]*)?/?>"
 _TAG = r"</?[a-zA-Z][^<>]*>"
-_HEADING = r"(?m)^=+[ \t]*([^\n]*?)[ \t]*=+[ \t]*$"
+_HEADING = r"(?m)^=++[ \t]*+([^\n]*[^=\s])[ \t]*+=++[ \t]*+$"
 _TABLE_LINE = r"(?m)^(?:\{\|[^\n]*|\|[-}][^\n]*|[|!])"
 _LIST_MARK = r"(?m)^[*#:;]+[ \t]*"
 _LINK = r"\[\[[^\[\]]+\]\]"
@@ -128,10 +129,14 @@ def drop_media_links(text: Column, names: Iterable[str]) -> Column:
 
 
 def _shallow(names: Iterable[str]) -> str:
-    """A link of one of `names` with plain links in it at most: nearly all, in one pass."""
+    """A link of one of `names` with up to 40 plain links in it: nearly all, in one pass.
+
+    The bound is there because the pattern engine recurses once per link; the rest is left to
+    `drop_media_links`.
+    """
     return (
         rf"(?i)\[\[\s*(?:{'|'.join(names)})\s*:"
-        r"[^\[\]]*+(?:\[\[[^\[\]]*+\]\][^\[\]]*+)*+\]\]"
+        r"[^\[\]]*+(?:\[\[[^\[\]]*+\]\][^\[\]]*+){0,40}+\]\]"
     )
 
 

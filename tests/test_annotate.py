@@ -173,3 +173,29 @@ def test_rendering_is_evaluated_once(spark):
 def test_options_reach_the_text(texts):
     got = texts(["}} a {{ b"], lambda c: plain_wikitext(c, strict_depth=True), plain_wikitext)
     assert got == [(" b", " a ")]
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        "[[File:open.png " + "[[a]] b " * 20_000,
+        "[[File:x.png|" + "[[a]] " * 20_000 + "]]",
+        "=" * 20_000 + " x",
+        "== " + "= " * 20_000,
+        "[http://x " * 5_000,
+        "[[" * 20_000,
+        "}}{{" * 10_000,
+        "&" * 50_000 + "&lt;" * 10_000,
+        "'" * 50_000,
+        "{|" * 10_000 + "\n|" * 10_000,
+    ],
+    ids=lambda t: t[:8],
+)
+def test_odd_pages_neither_fail_nor_hang(spark, text):
+    df = spark.createDataFrame([(1, 0, "T", text)], DUMP)
+    row = annotate_links(df).first()
+    assert all(row.content[s.char_start : s.char_end] == s.surface for s in row.links)
+
+
+def test_headings(render):
+    assert render("==A==\n=== b c ===  \n= d\n====\n= e=f =")[0] == "A\nb c\n= d\n====\ne=f"
