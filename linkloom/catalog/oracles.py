@@ -245,7 +245,7 @@ shown as (
 ),
 outs as (
   select *, list_transform(surfaces, lambda s, i:
-    case when {wanted("hrefs[i]")} then ' ' || s || ' ' else s end) as outs
+    case when {wanted(_wikilink("hrefs[i]"))} then ' ' || s || ' ' else s end) as outs
   from shown
 ),
 annotated as (
@@ -271,7 +271,7 @@ link_starts as (
 wiki_links as (
   select page_id, char_start, cast(char_start + length(surface) as int) as char_end, surface,
     {_wikilink("href")} as title, i
-  from link_starts where {wanted("href")} and {_strip("surface")} <> ''
+  from link_starts where {wanted(_wikilink("href"))} and {_strip("surface")} <> ''
 ),
 wiki_redirects as (
   select title, redirect_target as target from annotated where is_redirect
@@ -281,7 +281,7 @@ wiki_redirects as (
 
 _EXTRACT = _extraction(r"'\1'", _entity_link)
 _NO_HEADINGS = _extraction("''", _entity_link)
-_NUMBERED = _extraction(r"'\1'", lambda x: f"regexp_matches({x}, '^page[ _][0-9]+$')")
+_NUMBERED = _extraction(r"'\1'", lambda x: f"regexp_matches({x}, '^Page [0-9]+$')")
 
 _LINK_COLUMNS = "page_id, char_start, char_end, surface, title"
 

@@ -165,7 +165,7 @@ def extract_links(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def extract_links_by_own_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Only links to the numbered pages count as links."""
-    numbered = lambda title: title.rlike("^page[ _][0-9]+$")
+    numbered = lambda title: title.rlike("^Page [0-9]+$")
     return extract.extract(_dump(spark, sf_dir), link_filter=numbered).links
 
 
@@ -183,8 +183,8 @@ def page_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _stored(spark: SparkSession, sf_dir: str) -> tuple[extract.Relations, int | None]:
-    """The relations as stored tables, and whether their links are many enough to be salted."""
-    found = extract.write_relations(_dump(spark, sf_dir), scratch_path(spark, "relations"))
+    """The relations over a stored table, and whether their links are many enough to be salted."""
+    found = extract.stage_relations(_dump(spark, sf_dir), scratch_path(spark, "relations"))
     return found, salting_for(found.links, HOT_ROWS)
 
 

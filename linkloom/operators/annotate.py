@@ -35,7 +35,7 @@ from linkloom.functions.predicates import (
     is_special_title,
 )
 from linkloom.functions.scan import let, running_total, scan
-from linkloom.functions.titles import strip
+from linkloom.functions.titles import strip, wikilink_title
 from linkloom.operators.once import with_fields
 
 # Control characters no XML text can hold; they mark places in the text between two steps.
@@ -188,7 +188,7 @@ def _link(body: Column, link_filter: LinkFilter) -> Column:
         return F.struct(
             p["link"].alias("link"),
             shown.alias("shown"),
-            link_filter(p["link"]).alias("href"),
+            link_filter(wikilink_title(p["link"])).alias("href"),
         )
 
     return let(let(F.regexp_replace(body, r"^\s*:", ""), parts), finish)
@@ -256,7 +256,7 @@ def annotate_links(
     """Add `content` and `links` to dump pages `(id, ns, title, text)`.
 
     Pages outside the main namespace, special titles and pages without text get `''` and no
-    links. `link_filter` takes a link's title and says whether it becomes a span.
+    links. `link_filter` takes a link's normalized title and says whether it becomes a span.
     `with_links=False` leaves the array empty and the text as it is.
     """
     gate = (

@@ -85,15 +85,24 @@ def extract(dump: DataFrame, **options: Any) -> Relations:
     return split_relations(annotate_dump(dump, **options))
 
 
+def stage_relations(dump: DataFrame, path: str, mode: str = "error", **options: Any) -> Relations:
+    """The three relations as views of one stored table, `path`/annotated.
+
+    The dump is parsed and rendered once, and the text is written once; a view reads only the
+    columns it needs.
+    """
+    staged = f"{path}/annotated"
+    annotated = annotate_dump(dump, **options)
+    save_parquet(annotated, staged, mode)
+    return split_relations(dump.sparkSession.read.schema(annotated.schema).parquet(staged))
+
+
 def write_relations(dump: DataFrame, path: str, mode: str = "error", **options: Any) -> Relations:
-    """Write the three relations under `path` as Parquet and return them read back.
+    """Write the three relations under `path` as Parquet, one folder each, and read them back.
 
-    The dump is parsed and rendered once: the annotated pages are stored first, and each relation
-    then reads the columns it needs from there.
+    They are written from the staged table, so that three outputs do not render the dump thrice.
     """
     spark = dump.sparkSession
-    staged = f"{path}/annotated"
-    save_parquet(annotate_dump(dump, **options), staged, mode)
-    for name, df in split_relations(spark.read.parquet(staged))._asdict().items():
+    for name, df in stage_relations(dump, path, mode, **options)._asdict().items():
         save_parquet(df, f"{path}/{name}", mode)
     return Relations(*(spark.read.parquet(f"{path}/{name}") for name in Relations._fields))

@@ -44,7 +44,10 @@ def test_offsets_count_code_points(spark):
 
 def test_rejected_link_keeps_its_text(render):
     assert render("[[Talk:x|t]] [[fr:y]]") == ("t  fr:y ", [("fr:y", "fr:y")])
-    own = {"link_filter": lambda title: title != "b"}
+    assert render("[[talk:x]] [[user_talk:y]] [[:Category:Z]]") == (
+        "talk:x user_talk:y Category:Z", [],
+    )
+    own = {"link_filter": lambda title: title != "B"}
     assert render("[[a]][[b]][[Talk:c]]", **own) == (" a b Talk:c ", [("a", "a"), ("Talk:c", "Talk:c")])
 
 

@@ -1,7 +1,7 @@
 import pytest
 
 from linkloom import schemas
-from linkloom.plans.extract import extract, write_relations
+from linkloom.plans.extract import extract, stage_relations, write_relations
 from linkloom.plans.preview import preview
 
 PAGES = [
@@ -53,6 +53,16 @@ def test_write_relations(dump, tmp_path):
     assert rows(stored.pages) == PAGE_ROWS
 
 
+def test_staged_views_read_their_columns_only(dump, tmp_path):
+    staged = stage_relations(dump, str(tmp_path))
+    for got, wanted in zip(staged, extract(dump)):
+        assert got.exceptAll(wanted).count() == wanted.exceptAll(got).count() == 0
+    plan = staged.links._jdf.queryExecution().executedPlan().toString()
+    schema = plan[plan.index("ReadSchema") :]
+    assert "links" in schema and "content" not in schema
+    assert "PushedFilters: [Not" in plan or "PushedFilters: [IsNotNull(is_redirect)" in plan
+
+
 def test_schemas(dump):
     pages, links, redirects = extract(dump)
     for df, wanted in ((pages, schemas.PAGES), (links, schemas.LINKS), (redirects, schemas.REDIRECTS)):
