@@ -6,9 +6,11 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_point
+from linkloom.catalog.oracles import ORACLES
+from linkloom.catalog.queries import QUERIES
 
 SF = Path("/root/testdata/sf0.001")
-NAMES = list(entry_point.queries())
+NAMES = list(QUERIES)
 
 
 @pytest.fixture(scope="module")
@@ -40,5 +42,6 @@ def test_entry(spark):
     assert df.count() > 0
 
 
-def test_every_query_has_its_sql():
-    assert set(entry_point.oracle_sql()) == set(NAMES)
+def test_every_query_of_the_catalog_has_its_sql():
+    assert set(ORACLES) == set(NAMES)
+    assert set(NAMES) <= set(entry_point.queries())
