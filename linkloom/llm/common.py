@@ -156,3 +156,25 @@ def mix64(x: np.ndarray) -> np.ndarray:
     x *= np.uint64(0x94D049BB133111EB)
     x ^= x >> np.uint64(31)
     return x
+
+
+def text_udf(make: Callable[[], Callable[[list[bytes]], dict]], ddl: str, slice_bytes: int = 4 << 20):
+    """A column function from UTF-8 bytes (see `utf8`) to a struct, evaluated in Arrow batches.
+
+    `make` builds, once per task, the function from a list of texts to {field: list or array}.
+    It is marked nondeterministic only so that the optimizer never evaluates it twice.
+    """
+    out = _arrow_schema(ddl)
+
+    @F.arrow_udf(returnType=f"struct<{', '.join(f'{f.strip().replace(' ', ':', 1)}' for f in ddl.split(','))}>")
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        step = make()
+        for batch in batches:
+            rows = max(1, int(len(batch) * slice_bytes / max(1, batch.nbytes)))
+            parts = [pa.array([], pa.struct(list(out)))]
+            for start in range(0, len(batch), rows):
+                made = step(batch.slice(start, rows).to_pylist())
+                parts.append(pa.StructArray.from_arrays([pa.array(made[f.name], f.type) for f in out], fields=list(out)))
+            yield pa.concat_arrays(parts)
+
+    return run.asNondeterministic()

@@ -5,11 +5,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from linkloom.llm.common import table
+from linkloom.llm.quality import rate_rows
 from linkloom.llm.sharding import shard_rows
+from linkloom.llm.toxicity import score_rows
 
 
 def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_rows(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op2_sharding": op2_sharding}
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    trusted = table(spark, sf_dir, "labels").where("quality = 1")
+    rated = rate_rows(table(spark, sf_dir, "documents"), trusted)
+    return rated.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_rows(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+QUERIES = {"op2_sharding": op2_sharding, "op9_quality": op9_quality, "op10_toxicity": op10_toxicity}
