@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from linkloom.llm.common import table
+from linkloom.llm.lexicon import encode_rows
+from linkloom.llm.licenses import scan
+from linkloom.llm.packing import pack_rows
 from linkloom.llm.quality import rate_rows
 from linkloom.llm.sharding import shard_rows
 from linkloom.llm.toxicity import score_rows
@@ -14,6 +18,18 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_rows(table(spark, sf_dir, "documents"))
 
 
+def op4_lexicon_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode_rows(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan(table(spark, sf_dir, "documents"))
+
+
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_rows(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     trusted = table(spark, sf_dir, "labels").where("quality = 1")
     rated = rate_rows(table(spark, sf_dir, "documents"), trusted)
@@ -24,4 +40,4 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_rows(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES = {"op2_sharding": op2_sharding, "op9_quality": op9_quality, "op10_toxicity": op10_toxicity}
+QUERIES = {f.__name__: f for f in (op2_sharding, op4_lexicon_bpe, op6_license_scan, op8_packing, op9_quality, op10_toxicity)}
