@@ -11,6 +11,7 @@ from linkloom.llm.licenses import scan
 from linkloom.llm.packing import pack_rows
 from linkloom.llm.quality import rate_rows
 from linkloom.llm.sharding import shard_rows
+from linkloom.llm.simhash import group_rows
 from linkloom.llm.toxicity import score_rows
 
 
@@ -22,6 +23,10 @@ def op4_lexicon_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_rows(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return group_rows(table(spark, sf_dir, "documents"))
+
+
 def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan(table(spark, sf_dir, "documents"))
 
@@ -40,4 +45,4 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_rows(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op2_sharding, op4_lexicon_bpe, op6_license_scan, op8_packing, op9_quality, op10_toxicity)}
+QUERIES = {f.__name__: f for f in (op2_sharding, op4_lexicon_bpe, op5_simhash, op6_license_scan, op8_packing, op9_quality, op10_toxicity)}
