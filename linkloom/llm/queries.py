@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from linkloom.llm.common import table
+from linkloom.llm.embeddings import link_rows
 from linkloom.llm.lexicon import encode_rows
 from linkloom.llm.licenses import scan
 from linkloom.llm.packing import pack_rows
@@ -15,6 +16,10 @@ from linkloom.llm.simhash import group_rows
 from linkloom.llm.toxicity import score_rows
 
 
+def op1_embedding_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return link_rows(table(spark, sf_dir, "embeddings"))
+
+
 def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_rows(table(spark, sf_dir, "documents"))
 
@@ -45,4 +50,4 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_rows(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op2_sharding, op4_lexicon_bpe, op5_simhash, op6_license_scan, op8_packing, op9_quality, op10_toxicity)}
+QUERIES = {f.__name__: f for f in (op1_embedding_neardup, op2_sharding, op4_lexicon_bpe, op5_simhash, op6_license_scan, op8_packing, op9_quality, op10_toxicity)}
