@@ -88,7 +88,7 @@ def _arrow_schema(schema: str) -> pa.Schema:
     kinds = {
         "bigint": pa.int64(), "int": pa.int32(), "string": pa.string(), "double": pa.float64(), "float": pa.float32(),
         "boolean": pa.bool_(), "binary": pa.binary(),
-        "array<bigint>": pa.list_(pa.int64()), "array<double>": pa.list_(pa.float64()), "array<int>": pa.list_(pa.int32()),
+        "array<bigint>": pa.list_(pa.int64()), "array<double>": pa.list_(pa.float64()), "array<string>": pa.list_(pa.string()), "array<int>": pa.list_(pa.int32()),
     }
     fields = [x.strip().split(" ") for x in schema.split(",")]
     return pa.schema([(name, kinds[kind]) for name, kind in fields])

@@ -13,6 +13,7 @@ from linkloom.llm.packing import pack_rows
 from linkloom.llm.quality import rate_rows
 from linkloom.llm.sharding import shard_rows
 from linkloom.llm.simhash import group_rows
+from linkloom.llm.suffix import dedupe_rows
 from linkloom.llm.toxicity import score_rows
 
 
@@ -24,6 +25,10 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_rows(table(spark, sf_dir, "documents"))
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedupe_rows(table(spark, sf_dir, "documents"))
+
+
 def op4_lexicon_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_rows(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -50,4 +55,4 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_rows(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op1_embedding_neardup, op2_sharding, op4_lexicon_bpe, op5_simhash, op6_license_scan, op8_packing, op9_quality, op10_toxicity)}
+QUERIES = {f.__name__: f for f in (op1_embedding_neardup, op2_sharding, op3_suffix_dedup, op4_lexicon_bpe, op5_simhash, op6_license_scan, op8_packing, op9_quality, op10_toxicity)}
