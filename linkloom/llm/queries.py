@@ -10,6 +10,7 @@ from linkloom.llm.embeddings import link_rows
 from linkloom.llm.lexicon import encode_rows
 from linkloom.llm.licenses import scan
 from linkloom.llm.packing import pack_rows
+from linkloom.llm.ppm import score_rows as ppm_scores
 from linkloom.llm.quality import rate_rows
 from linkloom.llm.sharding import shard_rows
 from linkloom.llm.simhash import group_rows
@@ -41,6 +42,10 @@ def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan(table(spark, sf_dir, "documents"))
 
 
+def op7_ppm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ppm_scores(table(spark, sf_dir, "documents"))
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_rows(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -55,4 +60,4 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_rows(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op1_embedding_neardup, op2_sharding, op3_suffix_dedup, op4_lexicon_bpe, op5_simhash, op6_license_scan, op8_packing, op9_quality, op10_toxicity)}
+QUERIES = {f.__name__: f for f in (op1_embedding_neardup, op2_sharding, op3_suffix_dedup, op4_lexicon_bpe, op5_simhash, op6_license_scan, op7_ppm_score, op8_packing, op9_quality, op10_toxicity)}
