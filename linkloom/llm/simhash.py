@@ -233,15 +233,17 @@ def group_rows(docs: DataFrame, most: int = MOST_BITS) -> DataFrame:
 def keep_first(docs: DataFrame, most: int = MOST_BITS) -> DataFrame:
     """One row of docs, with all its columns, for each group: the one with the smallest id.
 
-    Of several rows with that id one stays (the least by source columns' hash); rows without an id stay
-    only if their group has none with one.
+    Of several rows with that id the one with the least hash stays, of equal rows one. A row without
+    an id stays only if no row of its group has one.
     """
     own = [F.col(f"`{c}`") for c in docs.columns]
-    rows = staged(docs.select("doc_id", F.xxhash64(*own).alias("h"), _fingerprints()(utf8(F.col("text")))["f"].alias("f")), "fingerprints")
-    prints = rows.groupBy("f").agg(F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "h")).alias("first"))
+    # A row is known by 128 bits of hash over all its columns.
+    marks = [F.xxhash64(*own).alias("_h"), F.xxhash64(F.lit(1), *own).alias("_g")]
+    rows = staged(docs.select("doc_id", *marks, _fingerprints()(utf8(F.col("text")))["f"].alias("f")), "fingerprints")
+    prints = rows.groupBy("f").agg(F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "_h", "_g")).alias("first"))
     roots = components(links(prints, most))
     placed = prints.join(roots, prints["f"] == roots["node"], "left").select("first", F.coalesce("root", "f").alias("root"))
-    stay = placed.groupBy("root").agg(F.min("first").alias("s")).select(F.col("s.doc_id").alias("stay_id"), F.col("s.h").alias("stay_h"))
-    marked = docs.select(F.struct(*own).alias("row"), F.col("doc_id").alias("own_id"), F.xxhash64(*own).alias("own_h"))
-    same = F.col("own_id").eqNullSafe(F.col("stay_id")) & (F.col("own_h") == F.col("stay_h"))
-    return marked.join(stay, same, "left_semi").select("row.*").dropDuplicates(["doc_id", "text"] if "text" in docs.columns else ["doc_id"])
+    stay = placed.groupBy("root").agg(F.min("first").alias("s")).select(F.col("s._h").alias("_h"), F.col("s._g").alias("_g"))
+    marked = docs.select(F.struct(*own).alias("row"), *marks)
+    # The semi join deals rows by their marks; equal rows then meet without another shuffle.
+    return marked.join(stay, ["_h", "_g"], "left_semi").groupBy("_h", "_g").agg(F.first("row").alias("row")).select("row.*")

@@ -231,11 +231,12 @@ def _shared_anchors(blocks: DataFrame, buckets: int) -> DataFrame:
     return by_bucket(sent, answer, "block bigint, bucket bigint, flags binary")
 
 
-def dedupe(docs: DataFrame, extra: str | None = None) -> DataFrame:
+def dedupe(docs: DataFrame, extra: str | None = None, text: bool = False) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept (the remaining bytes), spans and extra of each row of docs.
 
     `spans` holds the removed runs as little-endian (start, end) pairs of 64-bit integers. `extra` names
-    a string column that is passed on.
+    a string column that is passed on. With `text`, kept_text comes instead of kept and spans: the
+    text without the characters that lie whole in a removed run.
     """
     given = docs.select("doc_id", utf8(F.col("text")).alias("body"), (F.col(extra) if extra else F.lit(None).cast("string")).alias("extra"))
     blocks = staged(gather(given.withColumn("doc_id", F.col("doc_id").cast("bigint")), BLOCK_BYTES), "blocks")
@@ -276,6 +277,8 @@ def dedupe(docs: DataFrame, extra: str | None = None) -> DataFrame:
     marks = staged(by_bucket(sent, answer, "block bigint, bucket bigint, marks binary"), "marks")
     answers = flags.withColumn("marks", F.lit(None).cast("binary")).unionByName(marks.withColumn("flags", F.lit(None).cast("binary")))
 
+    results = {"kept_text": pa.string()} if text else {"kept": pa.binary(), "spans": pa.binary()}
+
     def apply(row, by):
         bodies = open_block(row["body"], row["sizes"])
         b = _Block(bodies, row["ids"], buckets)
@@ -296,20 +299,21 @@ def dedupe(docs: DataFrame, extra: str | None = None) -> DataFrame:
             np.add.at(edge, where, 1)
             np.add.at(edge, where + MATCH, -1)
         gone = np.cumsum(edge)[:-1] > 0
-        out = {"doc_id": row["ids"], "n_bytes": row["sizes"], "n_removed": [], "n_spans": [], "kept": [], "spans": [], "extra": row["extra"]}
+        out = {"doc_id": row["ids"], "n_bytes": row["sizes"], "n_removed": [], "n_spans": [], **{c: [] for c in results}, "extra": row["extra"]}
         for body, s, size in zip(bodies, starts.tolist(), row["sizes"], strict=True):
             g = gone[s : s + size]
             change = np.flatnonzero(np.diff(np.r_[False, g, False].astype(np.int8))).astype(np.int64)
             out["n_removed"].append(int(np.count_nonzero(g)))
             out["n_spans"].append(len(change) // 2)
-            out["kept"].append(np.frombuffer(body, np.uint8)[~g].tobytes() if len(change) else body)
-            out["spans"].append(change.tobytes())
+            if text:
+                out["kept_text"].append(cut_characters(body, change.tobytes()))
+            else:
+                out["kept"].append(np.frombuffer(body, np.uint8)[~g].tobytes() if len(change) else body)
+                out["spans"].append(change.tobytes())
         return out
 
-    return with_answers(
-        blocks, answers, apply,
-        pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept", pa.binary()), ("spans", pa.binary()), ("extra", pa.string())]),
-    )
+    kinds = [("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), *results.items(), ("extra", pa.string())]
+    return with_answers(blocks, answers, apply, pa.schema(kinds))
 
 
 def dedupe_rows(docs: DataFrame) -> DataFrame:
