@@ -1,12 +1,15 @@
 """Quality rules: fixed base rules and a hashed n-gram log-likelihood ratio.
 
 Words and pairs of words are hashed into buckets. One multinomial over the buckets comes from all
-documents (raw), another from trusted documents (target), which is smoothed towards the raw one:
+documents (raw), another from trusted documents (target). Both are smoothed with equal pseudo-texts,
+PSEUDO n-grams a bucket for raw and the target's share of that for target, so that a bucket which is
+rare in the corpus says little and one that the trusted part lacks for its size says much:
 
-    p_target(b) = (c_target(b) + PRIOR * p_raw(b)) / (N_target + PRIOR)
+    share = N_target / N_raw
+    ratio(b) = ln((c_target(b) + PSEUDO * share) / share) - ln(c_raw(b) + PSEUDO)
 
-A document's rate is the mean over its n-grams of ln p_target(b) - ln p_raw(b). It is kept if it
-passes the base rules and its rate is at least LEAST_RATE; nothing is drawn at random.
+A document's rate is the mean of the ratios of its n-grams. It is kept if it passes the base rules
+and its rate is at least LEAST_RATE; nothing is drawn at random.
 
 The raw counts cover all documents. Trusted rows may be a sample of TRUSTED_ROWS rows at most,
 taken by the least hash of their ids.
@@ -26,9 +29,9 @@ from pyspark.sql import functions as F
 from linkloom.llm.common import map_rows, text_udf, utf8
 
 BUCKETS = 1 << 16
-PRIOR = float(BUCKETS)
+PSEUDO = 5.0
 TRUSTED_ROWS = 20_000
-LEAST_RATE = -0.2
+LEAST_RATE = -0.25
 LEAST_WORDS = 10
 MOST_REPEATED = 20  # of 100 words
 WINDOW = 5
@@ -95,7 +98,7 @@ def repeated_lines(text: bytes) -> int:
 
 
 def fit_ratios(docs: DataFrame, trusted: DataFrame, trusted_rows: int = TRUSTED_ROWS) -> np.ndarray:
-    """ln p_target - ln p_raw of each bucket. docs: (doc_id, text); trusted: (doc_id)."""
+    """The ratio of each bucket. docs: (doc_id, text); trusted: (doc_id)."""
     sample = trusted.select("doc_id").where("doc_id is not null").distinct()
     # Bounded by trusted_rows, so it may be broadcast.
     sample = F.broadcast(sample.orderBy(F.xxhash64("doc_id"), "doc_id").limit(trusted_rows).withColumn("good", F.lit(True)))
@@ -119,10 +122,12 @@ def fit_ratios(docs: DataFrame, trusted: DataFrame, trusted_rows: int = TRUSTED_
     counted = map_rows(marked.select("body", "good"), count, "bucket int, raw bigint, target bigint")
     total = counted.groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target"))
     rows = np.array(total.collect(), dtype=np.float64).reshape(-1, 3)  # BUCKETS rows at most
+    raw, target = np.zeros(BUCKETS), np.zeros(BUCKETS)
+    raw[rows[:, 0].astype(int)], target[rows[:, 0].astype(int)] = rows[:, 1], rows[:, 2]
     ratio = np.zeros(BUCKETS)
-    if len(rows) and rows[:, 2].sum():
-        p = rows[:, 1] / rows[:, 1].sum()
-        ratio[rows[:, 0].astype(int)] = np.log((rows[:, 2] / p + PRIOR) / (rows[:, 2].sum() + PRIOR))
+    if target.sum():
+        share = target.sum() / raw.sum()
+        ratio = np.log((target / share + PSEUDO) / (raw + PSEUDO))
     return ratio
 
 
