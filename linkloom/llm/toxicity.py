@@ -27,7 +27,7 @@ from linkloom.llm.common import fold, map_rows, staged, text_udf, utf8
 
 DIMENSIONS = 1 << 18
 SELECTED = 2048
-LEAST_CHI2 = 20.0
+LEAST_CHI2 = 15.0
 SAMPLE_ROWS = 20_000
 FACTORS = 8
 PREFIXES = range(3, 8)
