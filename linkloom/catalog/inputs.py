@@ -14,7 +14,7 @@ from linkloom.functions.titles import wikilink_title
 from linkloom.operators.once import with_fields
 
 ANCHOR = '<a href="/([^"]*)">([^<]*)</a>'
-TITLE = "<title>([^ <]+)"
+TITLE = "<title>([^<]+)"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -96,8 +96,12 @@ def web_pages(web: DataFrame) -> DataFrame:
 
 
 def web_entities(parsed: DataFrame) -> DataFrame:
-    """One page per title: titles repeat among web pages."""
-    return parsed.groupBy("title").agg(F.min("page_id").alias("page_id"))
+    """The titles that each page answers to: its whole title and the first word of it.
+
+    Many pages share a first word, so a link to it leads to each of them.
+    """
+    names = F.array_distinct(F.array("title", F.substring_index("title", " ", 1)))
+    return parsed.select("page_id", F.explode(names).alias("title"))
 
 
 def _chain(text: str, steps: list[tuple[str, str]]) -> str:
@@ -178,6 +182,25 @@ def wikitext(documents: DataFrame) -> DataFrame:
     return with_fields(documents, page, keep=())
 
 
+# Three brackets, many nested links, rare and long-winded entities, blank surfaces; then the text's
+# own words, letters and digits only.
+ODD_MARKUP = (
+    "x[[[File:p.png|" + "[[a]] " * 60 + "]]]y &forall;&#00000233;&#x00000e9;&thetasym; "
+    "[[b|\u3000]][[c|&emsp;]][[d|&nbsp;]] "
+)
+
+
+def odd_markup(documents: DataFrame) -> DataFrame:
+    """Dump pages `(id, ns, title, text)` of the articles' words behind odd markup."""
+    words = F.regexp_replace(F.coalesce("text", F.lit("")), "[^a-zA-Z0-9 ]", "")
+    return documents.select(
+        F.col("doc_id").alias("id"),
+        F.lit(0).alias("ns"),
+        F.lit("T").alias("title"),
+        F.concat(F.lit(ODD_MARKUP), words).alias("text"),
+    )
+
+
 def wiki_pages(dump: DataFrame) -> DataFrame:
     """`wiki_pages` rows whose `html` is missing from four in five."""
     return dump.selectExpr(*select_list(WIKI_PAGES)).withColumn("html", F.col("html").cast("string"))

@@ -87,7 +87,9 @@ web_pages as (
     false as disamb
   from pages
 ),
-entities as (select title, min(page_id) as page_id from web_pages group by title)
+entities as (
+  select title, page_id from web_pages union select string_split(title, ' ')[1], page_id from web_pages
+)
 """
 
 
@@ -440,6 +442,24 @@ ORACLES = {
     "dump_scan": f"with {_DUMP} select id, ns, title, coalesce(text, '') as text from dump",
     "dump_count": f"with {_DUMP} select count(*) as pages, cast(0 as bigint) as corrupt from dump",
 }
+ORACLES["dump_count_with_broken_pages"] = (
+    f"with {_DUMP} select count(*) filter (id % 9 <> 4) as pages,"
+    " count(*) filter (id % 9 = 4) as corrupt from dump"
+)
+ORACLES["dump_wiki_pages"] = ORACLES["wiki_pages_parquet"] = ORACLES["wiki_pages"]
+ORACLES["csv_links_in_ten_files"] = ORACLES["extract_links"]
+ORACLES["extract_pages_without_links"] = (
+    f"with {_EXTRACT} select page_id, content, cast(0 as int) as n_links from wiki_pages_rel"
+)
+# Worked out by hand: the image link is gone, one bracket on each side stays; of the three blank
+# surfaces only the no-break space is a link.
+ORACLES["odd_markup"] = """
+  select doc_id as id,
+    'x[]y ' || chr(8704) || chr(233) || chr(233) || chr(977) || '  ' || chr(12288) || '  ' || chr(8195) || '  '
+      || chr(160) || '  ' || regexp_replace(coalesce(text, ''), '[^a-zA-Z0-9 ]', '', 'g') as content,
+    cast(17 as int) as char_start, cast(18 as int) as char_end, chr(160) as surface, 'd' as link
+  from documents
+"""
 ORACLES["link_counts_after_join"] = ORACLES["link_counts"]
 ORACLES["csv_pages"] = ORACLES["extract_pages"]
 ORACLES["csv_links"] = ORACLES["extract_links"]

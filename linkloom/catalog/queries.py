@@ -11,6 +11,7 @@ from linkloom.functions import meta, predicates
 from linkloom.functions.literals import to_array_literal, to_int_array_literal
 from linkloom.functions.titles import normalize_title, wikilink_title
 from linkloom.operators import redirects
+from linkloom.operators.annotate import annotate_links
 from linkloom.operators.joins import HOT_ROWS, salting_for
 from linkloom.operators.lineage import cut, scratch_path
 from linkloom.operators.spread import spread
@@ -206,6 +207,22 @@ def wiki_aggregate_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _array_text(relations.aggregate_pages(found.pages, normalized))
 
 
+def extract_pages_without_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same text, and no links at all."""
+    annotated = extract.annotate_dump(_dump(spark, sf_dir), with_links=False)
+    return annotated.where(~F.col("is_redirect")).select(
+        "page_id", "content", F.size("links").alias("n_links")
+    )
+
+
+def odd_markup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = inputs.odd_markup(spread(inputs.table(spark, sf_dir, "documents"), "doc_id"))
+    span = F.col("s")
+    return annotate_links(pages).select("id", "content", F.explode("links").alias("s")).select(
+        "id", "content", *(span[c].alias(c) for c in ("char_start", "char_end", "surface", "link"))
+    )
+
+
 # Redirect statistics
 
 
@@ -272,14 +289,26 @@ def csv_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sources.read_links_csv(spark, path)
 
 
+def csv_links_in_ten_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "csv")
+    sinks.write_csv(extract.extract(_dump(spark, sf_dir)).links, path, chunks=10)
+    return sources.read_links_csv(spark, path)
+
+
+def wiki_pages_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "wiki_pages")
+    sinks.save_parquet(wiki_pages(spark, sf_dir), path)
+    return sources.read_wiki_pages(spark, path)
+
+
 def csv_redirects(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "csv")
     sinks.write_csv(extract.extract(_dump(spark, sf_dir)).redirects, path)
     return sources.read_redirects_csv(spark, path)
 
 
-def _write_xml(spark: SparkSession, sf_dir: str) -> str:
-    """The wikitext pages as a compressed XML dump, a part per task."""
+def _write_xml(spark: SparkSession, sf_dir: str, broken: str = "false") -> str:
+    """The wikitext pages as a compressed XML dump, a part per task; `broken` ones lose a mark."""
 
     def escaped(name: str) -> Column:
         c = F.replace(F.col(name), F.lit("&"), F.lit("&amp;"))
@@ -295,7 +324,8 @@ def _write_xml(spark: SparkSession, sf_dir: str) -> str:
         "id",
         F.coalesce(escaped("text"), F.lit("")),
     )
-    _dump(spark, sf_dir).select(page).write.option("compression", "bzip2").text(path)
+    page = F.when(F.expr(broken), F.replace(page, F.lit("</ns>"), F.lit(""))).otherwise(page)
+    _dump(spark, sf_dir).select(page.alias("value")).write.option("compression", "bzip2").text(path)
     return path
 
 
@@ -308,6 +338,14 @@ def dump_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dumps.count_pages(spark, _write_xml(spark, sf_dir))
 
 
+def dump_count_with_broken_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dumps.count_pages(spark, _write_xml(spark, sf_dir, "id % 9 = 4"))
+
+
+def dump_wiki_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dumps.build_wiki_pages(dumps.read_dump(spark, _write_xml(spark, sf_dir)))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -348,5 +386,11 @@ QUERIES: dict[str, Query] = {
         csv_redirects,
         dump_scan,
         dump_count,
+        dump_count_with_broken_pages,
+        dump_wiki_pages,
+        csv_links_in_ten_files,
+        wiki_pages_parquet,
+        extract_pages_without_links,
+        odd_markup,
     )
 }

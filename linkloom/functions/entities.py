@@ -1,94 +1,22 @@
 """Character entities to characters."""
 
 import json
+from html.entities import name2codepoint
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from linkloom.functions.scan import let
 
-# The names of U+00A0 to U+00FF in code order.
-LATIN1 = """
-nbsp iexcl cent pound curren yen brvbar sect uml copy ordf laquo not shy reg macr
-deg plusmn sup2 sup3 acute micro para middot cedil sup1 ordm raquo frac14 frac12 frac34 iquest
-Agrave Aacute Acirc Atilde Auml Aring AElig Ccedil Egrave Eacute Ecirc Euml Igrave Iacute Icirc
-Iuml ETH Ntilde Ograve Oacute Ocirc Otilde Ouml times Oslash Ugrave Uacute Ucirc Uuml Yacute
-THORN szlig agrave aacute acirc atilde auml aring aelig ccedil egrave eacute ecirc euml igrave
-iacute icirc iuml eth ntilde ograve oacute ocirc otilde ouml divide oslash ugrave uacute ucirc
-uuml yacute thorn yuml
-""".split()
-
-# Markup, punctuation and currency.
-COMMON = {
-    "quot": 0x22,
-    "amp": 0x26,
-    "lt": 0x3C,
-    "gt": 0x3E,
-    "OElig": 0x152,
-    "oelig": 0x153,
-    "Scaron": 0x160,
-    "scaron": 0x161,
-    "Yuml": 0x178,
-    "circ": 0x2C6,
-    "tilde": 0x2DC,
-    "ensp": 0x2002,
-    "emsp": 0x2003,
-    "thinsp": 0x2009,
-    "zwnj": 0x200C,
-    "zwj": 0x200D,
-    "lrm": 0x200E,
-    "rlm": 0x200F,
-    "ndash": 0x2013,
-    "mdash": 0x2014,
-    "lsquo": 0x2018,
-    "rsquo": 0x2019,
-    "sbquo": 0x201A,
-    "ldquo": 0x201C,
-    "rdquo": 0x201D,
-    "bdquo": 0x201E,
-    "dagger": 0x2020,
-    "Dagger": 0x2021,
-    "bull": 0x2022,
-    "hellip": 0x2026,
-    "permil": 0x2030,
-    "prime": 0x2032,
-    "Prime": 0x2033,
-    "lsaquo": 0x2039,
-    "rsaquo": 0x203A,
-    "euro": 0x20AC,
-    "trade": 0x2122,
-    "larr": 0x2190,
-    "uarr": 0x2191,
-    "rarr": 0x2192,
-    "darr": 0x2193,
-    "harr": 0x2194,
-    "minus": 0x2212,
-    "infin": 0x221E,
-    "asymp": 0x2248,
-    "ne": 0x2260,
-    "le": 0x2264,
-    "ge": 0x2265,
-}
-
-# The Greek letters in code order from U+0391 and U+03B1; the gap at U+03A2 is the
-# place of the final sigma.
-GREEK = """
-alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omicron pi rho sigmaf
-sigma tau upsilon phi chi psi omega
-""".split()
-
 
 def named_entities() -> dict[str, str]:
-    codes = dict(COMMON)
-    codes.update((name, 0xA0 + i) for i, name in enumerate(LATIN1))
-    codes.update((name, 0x3B1 + i) for i, name in enumerate(GREEK))
-    codes.update(
-        (name.capitalize(), 0x391 + i) for i, name in enumerate(GREEK) if name != "sigmaf"
-    )
-    return {name: chr(code) for name, code in codes.items()}
+    """The names of HTML 4."""
+    return {name: chr(code) for name, code in name2codepoint.items()}
 
 
-_NAME = r"^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,7});"
+_NAME = r"^(#[0-9]+|#[xX][0-9a-fA-F]+|[A-Za-z][A-Za-z0-9]*);"
+# Digits behind leading zeros; a number with more is no character.
+_MOST_DIGITS = 7
 
 
 def _from_code(code: Column) -> Column:
@@ -103,8 +31,10 @@ def decode_entities(text: Column) -> Column:
     table = F.from_json(F.lit(json.dumps(named_entities())), "map<string,string>")
 
     def char(name: Column) -> Column:
-        hexadecimal = F.conv(F.substr(name, F.lit(3)), 16, 10).cast("bigint")
-        decimal = F.substr(name, F.lit(2)).try_cast("bigint")
+        digits = F.regexp_replace(name, "^#[xX]?0*", "")
+        number = F.when(F.length(digits) <= _MOST_DIGITS, digits)
+        hexadecimal = F.conv(number, 16, 10).try_cast("bigint")
+        decimal = number.try_cast("bigint")
         return (
             F.when(F.lower(F.substring(name, 1, 2)) == "#x", _from_code(hexadecimal))
             .when(F.startswith(name, F.lit("#")), _from_code(decimal))

@@ -1,11 +1,12 @@
 """Page metadata read off the wikitext. `text` may be NULL in all of these."""
 
 import re
+from functools import partial
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from linkloom.functions.scan import let
+from linkloom.functions.scan import let, replace_closed_lines
 from linkloom.functions.titles import wikilink_title
 
 # Names of the templates that mark a disambiguation page. Each also counts with
@@ -37,6 +38,16 @@ PLAIN_TEXT_STEPS = [
     (r"\[.*?\]", " "),
     (r"'+", ""),
 ]
+# The mark that ends a match of a step, and a literal in every match of it.
+_CLOSING = {
+    PLAIN_TEXT_STEPS[2][0]: ("</ref>", "<ref>"),
+    PLAIN_TEXT_STEPS[3][0]: (">", "<"),
+    PLAIN_TEXT_STEPS[4][0]: (r"\}\}", "{{"),
+    PLAIN_TEXT_STEPS[6][0]: (r"\]\]", "[["),
+    PIPED_WORD: (r"\|\w+\s", "|"),
+    PLAIN_TEXT_STEPS[8][0]: (r"\]", "["),
+}
+_COLON_LINK = PLAIN_TEXT_STEPS[5][0]
 
 
 def _redirect_body(text: Column) -> Column:
@@ -79,10 +90,15 @@ def _first_parts(bodies: Column) -> Column:
     )
 
 
+def _up_to_closed(text: Column) -> Column:
+    """Each line up to its last `]]`; behind it no link ends, and a search for one would fail slowly."""
+    return F.regexp_replace(F.coalesce(text, F.lit("")), r"(.*\]\])|.+", "$1")
+
+
 def categories(text: Column) -> Column:
     """The page's categories, from every `[[Category:...]]` on one line."""
     found = F.regexp_extract_all(
-        F.coalesce(text, F.lit("")), F.lit(r"\[\[Category:(.*?)\]\]"), 1
+        _up_to_closed(text), F.lit(r"\[\[Category:(.*?)\]\]"), 1
     )
     return _first_parts(found)
 
@@ -90,36 +106,43 @@ def categories(text: Column) -> Column:
 def raw_links(text: Column) -> Column:
     """Targets of every `[[...]]` on one line, those with a colon left out."""
     found = F.regexp_extract_all(
-        F.coalesce(text, F.lit("")), F.lit(r"\[\[(.*?)\]\]"), 1
+        _up_to_closed(text), F.lit(r"\[\[(.*?)\]\]"), 1
     )
     return F.filter(_first_parts(found), lambda t: ~F.contains(t, F.lit(":")))
 
 
-def _keep_piped_words(text: Column) -> Column:
-    """`regexp_replace(text, PIPED_WORD, ' $2')` in time linear in the text.
+def _drop_colon_links(text: Column) -> Column:
+    """`regexp_replace(text, _COLON_LINK, ' ')` in time linear in the text.
 
-    After a line's last piped word every blank starts a search that runs to the end of the line
-    and fails, which is quadratic in the line. These line ends are cut out, between marks, and
-    only the rest is searched: there every search up to the last piped word succeeds.
+    Only the part of a line up to its last `]]` is searched, and in it, opening marks behind the last
+    colon, which would each search in vain, are split by a mark for the while.
     """
-    mark = "\u0001"
-    marked = F.regexp_replace(text, r"(.*\|\w+\s)|(.+)", f"$1{mark}$2{mark}")
+    mark, split = "\u0001", "\u0002"
+    marked = F.regexp_replace(text, r"(.*\]\])|(.+)", f"$1{mark}$2{mark}")
     pieces = F.split(F.replace(marked, F.lit(mark + mark), F.lit("")), mark, -1)
-    searched = F.transform(
-        pieces,
-        lambda piece, i: F.when(i % 2 == 0, F.regexp_replace(piece, PIPED_WORD, " $2")).otherwise(
-            piece
-        ),
-    )
-    return F.when(F.contains(text, F.lit("|")), F.array_join(searched, "")).otherwise(text)
+
+    def search(piece: Column) -> Column:
+        # Such a piece may begin with line ends; its last line holds the colon if one does.
+        head = F.regexp_extract(piece, r"(?s)\A.*:", 0)
+        tail = F.replace(F.substr(piece, F.length(head) + 1), F.lit("[["), F.lit(f"[{split}["))
+        found = F.regexp_replace(F.concat(head, tail), _COLON_LINK, " ")
+        return F.replace(found, F.lit(split), F.lit(""))
+
+    searched = F.transform(pieces, lambda p, i: F.when(i % 2 == 0, search(p)).otherwise(p))
+    has = F.contains(text, F.lit("[[")) & F.contains(text, F.lit(":"))
+    return F.when(has, F.array_join(searched, "")).otherwise(text)
 
 
 def plain_text_regex(text: Column) -> Column:
-    """Strip wiki markup by ten replacements in a fixed order. The mark U+0001 is no text."""
-    out = F.replace(F.coalesce(text, F.lit("")), F.lit("\u0001"), F.lit(""))
+    """Strip wiki markup by ten replacements in a fixed order. The marks U+0001 and U+0002 are no text."""
+    out = F.regexp_replace(F.coalesce(text, F.lit("")), "[\u0001\u0002]", "")
     for pattern, replacement in PLAIN_TEXT_STEPS:
-        if pattern == PIPED_WORD:
-            out = let(out, _keep_piped_words)
+        if pattern == _COLON_LINK:
+            out = let(out, _drop_colon_links)
+        elif pattern in _CLOSING:
+            step = partial(replace_closed_lines, pattern=pattern, replacement=replacement)
+            closing, opening = _CLOSING[pattern]
+            out = let(out, lambda c: step(c, closing=closing, opening=opening))  # noqa: B023
         else:
             out = F.regexp_replace(out, pattern, replacement)
     return out

@@ -105,8 +105,13 @@ def is_entity_link(title: Column) -> Column:
     return ~F.contains(title, F.lit(":")) | ~spaced.isin(LINK_NAMESPACES)
 
 
+# White space as Java's Character.isWhitespace has it: Unicode blanks but the no-break ones, and
+# the ASCII separators.
+_WHITE = r"[\t-\r\x1c-\x20\u1680\u2000-\u2006\u2008-\u200a\u2028\u2029\u205f\u3000]"
+
+
 def is_blank(surface: Column) -> Column:
-    return strip(surface) == ""
+    return surface.rlike(rf"\A{_WHITE}*\z")
 
 
 def is_redirect_row(html: Column, mediawiki: Column) -> Column:

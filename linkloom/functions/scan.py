@@ -57,3 +57,36 @@ def scan(
 def running_total(lengths: Column) -> Column:
     """For each item, the sum of the items before it."""
     return scan(lengths, F.lit(0), lambda s, x: s + x, lambda s, x: s, "int")
+
+
+def replace_closed(text: Column, pattern: str, replacement: str, closing: str, opening: str) -> Column:
+    """`regexp_replace(text, pattern, replacement)` in time linear in the text.
+
+    `pattern` ends with `closing`. Behind the last closing mark every opening mark would start a
+    search to the end of the text that fails; that tail is set aside. Texts without `opening`, a
+    literal that every match holds, stay as they are. `text` is named several times.
+    """
+    head = F.regexp_extract(text, rf"(?s)\A.*{closing}", 0)
+    done = let(
+        head,
+        lambda h: F.concat(
+            F.regexp_replace(h, pattern, replacement), F.substr(text, F.length(h) + 1)
+        ),
+    )
+    return F.when(F.contains(text, F.lit(opening)), done).otherwise(text)
+
+
+def replace_closed_lines(
+    text: Column, pattern: str, replacement: str, closing: str, opening: str
+) -> Column:
+    """The same for a pattern that stays within a line, with a tail for each line."""
+    mark = "\u0001"
+    marked = F.regexp_replace(text, rf"(.*{closing})|(.+)", f"$1{mark}$2{mark}")
+    pieces = F.split(F.replace(marked, F.lit(mark + mark), F.lit("")), mark, -1)
+    searched = F.transform(
+        pieces,
+        lambda piece, i: F.when(
+            i % 2 == 0, F.regexp_replace(piece, pattern, replacement)
+        ).otherwise(piece),
+    )
+    return F.when(F.contains(text, F.lit(opening)), F.array_join(searched, "")).otherwise(text)

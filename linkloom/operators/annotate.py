@@ -34,7 +34,7 @@ from linkloom.functions.predicates import (
     is_main,
     is_special_title,
 )
-from linkloom.functions.scan import let, running_total, scan
+from linkloom.functions.scan import let, replace_closed, running_total, scan
 from linkloom.functions.titles import strip, wikilink_title
 from linkloom.operators.once import with_fields
 
@@ -42,13 +42,16 @@ from linkloom.operators.once import with_fields
 MARK = "\u0001"
 OPENED = "\u0002"
 TRANSL = "\u0003"
+GONE = "\u0004"
 
 SPAN_TYPE = "array<struct<char_start:int,char_end:int,surface:string,link:string>>"
 
 IMAGE_NAMES = ("File", "Image")
 CATEGORY_NAMES = ("Category",)
 
-_REF = r"(?is)<ref(?:\s[^>]*)?/>|<ref(?:\s[^>]*)?>.*?</ref\s*>"
+# `<ref .../>` first: then every opening mark before the last closing one has one behind it.
+_EMPTY_REF = r"(?i)<ref(?:\s[^>]*+)?+(?<=/)>"
+_REF = r"(?is)<ref(?:\s[^>]*+)?+>.*?</ref\s*>"
 # Possessive where giving back cannot help, so that a mark left open costs one look and no more.
 _EXTERNAL = r"\[(?:https?:|ftp:)?//[^\s\[\]]++[ \t]*+([^\[\]\n]*+)\]"
 _BREAK = r"(?i)</?(?:br|hr)(?:\s[^<>]*)?/?>"
@@ -96,7 +99,8 @@ def drop_media_links(text: Column, names: Iterable[str]) -> Column:
     closes = lambda x: F.startswith(x, F.lit("]]"))
     heads = rf"(?i)^\[\[\s*(?:{'|'.join(names)})\s*:"
 
-    pieces = _pieces(text, r"\[\[|\]\]")
+    # Of three or more brackets in a row the last two open the link, also one already gone.
+    pieces = _pieces(text, rf"\[\[(?![\[{GONE}])|\]\]")
     # Backwards: how many closing marks still wait for an opening one.
     waiting = lambda s, x: (
         F.when(closes(x), s + 1)
@@ -131,8 +135,9 @@ def drop_media_links(text: Column, names: Iterable[str]) -> Column:
 def _shallow(names: Iterable[str]) -> str:
     """A link of one of `names` with up to 40 plain links in it: nearly all, in one pass.
 
-    The bound is there because the pattern engine recurses once per link; the rest is left to
-    `drop_media_links`.
+    The bound is there because the pattern engine recurses once per link; `drop_media_links` takes
+    the rest by the same rule. A mark stays in the place of what went, so that brackets on its two
+    sides don't become one.
     """
     return (
         rf"(?i)\[\[\s*(?:{'|'.join(names)})\s*:"
@@ -140,6 +145,14 @@ def _shallow(names: Iterable[str]) -> str:
     )
 
 
+def drop_media(text: Column, names: list[str]) -> Column:
+    """`drop_media_links`, with one pattern for what needs no scan."""
+    nested = rf"(?i)\[\[\s*(?:{'|'.join(names)})\s*:"
+    text = F.regexp_replace(text, _shallow(names), GONE)
+    text = let(text, lambda c: F.when(c.rlike(nested), drop_media_links(c, names)).otherwise(c))
+    return F.replace(text, F.lit(GONE), F.lit(""))
+
+
 def plain_wikitext(
     text: Column,
     keep_section_titles: bool = True,
@@ -148,20 +161,19 @@ def plain_wikitext(
 ) -> Column:
     """Rules 1 to 6: what is left is plain text and `[[...]]` links."""
     names = [name for name in media_names]
-    nested = rf"(?i)\[\[\s*(?:{'|'.join(names)})\s*:"
     replace = F.regexp_replace
 
-    text = replace(text, f"[{MARK}{OPENED}{TRANSL}]", "")
-    text = replace(text, r"(?s)<!--.*?-->", "")
+    text = replace(text, f"[{MARK}{OPENED}{TRANSL}{GONE}]", "")
+    text = let(text, lambda c: replace_closed(c, r"(?s)<!--.*?-->", "", "-->", "<!--"))
     text = replace(text, r"\|\s*\{\{transl\}\}\s*\]\]", "|" + TRANSL + "]]")
     text = let(
         text,
         lambda c: F.when(c.rlike(r"\{\{|\}\}"), drop_templates(c, strict_depth)).otherwise(c),
     )
-    text = replace(text, _REF, "")
+    text = replace(text, _EMPTY_REF, "")
+    text = let(text, lambda c: replace_closed(c, _REF, "", "(?i:</ref)\\s*>", "<"))
     text = replace(text, _EXTERNAL, "$1")
-    text = replace(text, _shallow(names), "")
-    text = let(text, lambda c: F.when(c.rlike(nested), drop_media_links(c, names)).otherwise(c))
+    text = drop_media(text, names)
     text = replace(text, _BREAK, "\n\n")
     text = replace(text, _TAG, "")
     text = replace(text, _HEADING, "$1" if keep_section_titles else "")

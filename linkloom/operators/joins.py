@@ -5,8 +5,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A key with this many rows is spread over several tasks. At most rows/HOT_ROWS keys can be hot
-# and the broadcast list holds 12 bytes for each: 2.4 MB for a trillion rows.
+# A key with this many rows is spread over several tasks. At most rows/HOT_ROWS keys can be hot.
 HOT_ROWS = 5_000_000
 
 _HASH, _SALTS, _SALT = "_key_hash", "_salts", "_salt"
@@ -46,7 +45,8 @@ def salted_left_join(
         return left
 
     columns = left.columns
-    hot = F.broadcast(hot_keys(left, key, hot_rows))
+    # No hint: how the list is joined follows from its size, which `hot_rows` decides.
+    hot = hot_keys(left, key, hot_rows)
     # A stored hash and not a random number: a task that runs again must salt alike.
     row_hash = F.xxhash64(*columns)
     salted = left.join(hot, F.xxhash64(key) == F.col(_HASH), "left").select(

@@ -9,13 +9,14 @@ SETTING = "spark.checkpoint.dir"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The session's checkpoint folder. A local session without one gets a temporary folder."""
-    named = spark.conf.get(SETTING, None) or spark.sparkContext.getCheckpointDir()
-    if named is None:
-        if not spark.sparkContext.master.startswith("local"):
+    """The session's checkpoint folder. A session of one machine without one gets a temporary folder."""
+    context = spark.sparkContext
+    named = spark.conf.get(SETTING, None) or context.getCheckpointDir()
+    if not named:
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
             raise RuntimeError(f"set {SETTING} to a folder that all executors share")
-        named = tempfile.mkdtemp(prefix="linkloom-")
-        spark.conf.set(SETTING, named)
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="linkloom-"))
+        named = context.getCheckpointDir()
     return named
 
 

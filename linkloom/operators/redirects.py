@@ -23,10 +23,12 @@ def article_count(wiki_pages: DataFrame) -> DataFrame:
     return title_map(wiki_pages).agg(F.count("*").alias("articles"))
 
 
-def redirect_targets(wiki_pages: DataFrame, hot_rows: int | None = HOT_ROWS) -> DataFrame:
+def redirect_targets(
+    wiki_pages: DataFrame, hot_rows: int | None = HOT_ROWS, titles: DataFrame | None = None
+) -> DataFrame:
     """`(src, title, dst)` for each redirect row: its target title, and the id if there is one.
 
-    Rows that name no target are left out.
+    Rows that name no target are left out. `titles` is the `title_map`, if it is there already.
     """
     target = bracketed_target(F.col("mediawiki"))
     rows = wiki_pages.where(
@@ -34,7 +36,7 @@ def redirect_targets(wiki_pages: DataFrame, hot_rows: int | None = HOT_ROWS) ->
     ).select(F.col("id").alias("src"), normalize_title(target).alias("title"))
     # Stored, so that looking for hot targets does not read the wikitext again.
     rows = cut(rows)
-    ids = title_map(wiki_pages).withColumnRenamed("id", "dst")
+    ids = (title_map(wiki_pages) if titles is None else titles).withColumnRenamed("id", "dst")
     joined = salted_left_join(rows, [ids], "title", salting_for(rows, hot_rows))
     return joined.select("src", "title", "dst")
 

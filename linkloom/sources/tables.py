@@ -34,23 +34,44 @@ def decode_field(c: Column, dtype: T.DataType) -> Column:
     return F.when(c != NULL_MARK, plain.cast(dtype))
 
 
-def _read_csv(spark: SparkSession, path: str | list[str], schema: T.StructType) -> DataFrame:
-    """`path` may be a folder, a glob or a list: chunk files simply add up."""
+def plain_field(c: Column, dtype: T.DataType) -> Column:
+    """A field of a file that knows no escapes: backslashes and the word null are text."""
+    c = F.coalesce(c, F.lit(""))
+    if isinstance(dtype, T.ArrayType):
+        integers = isinstance(dtype.elementType, (T.IntegerType, T.LongType))
+        return (from_int_array_literal if integers else from_array_literal)(c)
+    return c if isinstance(dtype, T.StringType) else c.try_cast(dtype)
+
+
+def _read_csv(
+    spark: SparkSession, path: str | list[str], schema: T.StructType, foreign: bool = False
+) -> DataFrame:
+    """`path` may be a folder, a glob or a list: chunk files simply add up.
+
+    `foreign` is for files that other programs wrote: their fields hold no NULL mark and no escapes.
+    """
+    decode = plain_field if foreign else decode_field
     text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema])
     raw = spark.read.options(**CSV_OPTIONS).schema(text).csv(path)
-    return raw.select(*[decode_field(F.col(f.name), f.dataType).alias(f.name) for f in schema])
+    return raw.select(*[decode(F.col(f.name), f.dataType).alias(f.name) for f in schema])
 
 
-def read_pages_csv(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    return _read_csv(spark, path, schemas.PAGES)
+def read_pages_csv(
+    spark: SparkSession, path: str | list[str], foreign: bool = False
+) -> DataFrame:
+    return _read_csv(spark, path, schemas.PAGES, foreign)
 
 
-def read_links_csv(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    return _read_csv(spark, path, schemas.LINKS)
+def read_links_csv(
+    spark: SparkSession, path: str | list[str], foreign: bool = False
+) -> DataFrame:
+    return _read_csv(spark, path, schemas.LINKS, foreign)
 
 
-def read_redirects_csv(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    return _read_csv(spark, path, schemas.REDIRECTS)
+def read_redirects_csv(
+    spark: SparkSession, path: str | list[str], foreign: bool = False
+) -> DataFrame:
+    return _read_csv(spark, path, schemas.REDIRECTS, foreign)
 
 
 def jdbc_source(database: str, partitions: int, max_id: int, host: str = "localhost") -> dict:
