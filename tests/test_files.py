@@ -1,9 +1,11 @@
 import bz2
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
 
 from linkloom import schemas
+from linkloom.operators.lineage import shared_dir
 from linkloom.operators.spread import spread
 from linkloom.plans.relations import aggregate_pages
 from linkloom.sinks.tables import save_parquet, save_table, write_csv
@@ -186,3 +188,31 @@ def test_spread_fills_the_cores_and_leaves_large_input(spark):
     assert spread(spark.range(0, 100, 1, 1), "id").rdd.getNumPartitions() == cores
     many = spark.range(0, 100, 1, cores + 1)
     assert spread(many, "id") is many
+
+
+def test_foreign_files_know_no_escapes(spark, tmp_path):
+    (tmp_path / "r.csv").write_text('\\\\server,null\n"a ""b""","x,\ny"\n,z\n', encoding="utf-8")
+    got = read_redirects_csv(spark, str(tmp_path), foreign=True).collect()
+    assert sorted(map(tuple, got)) == [("", "z"), ("\\\\server", "null"), ('a "b"', "x,\ny")]
+
+
+class _Context:
+    def __init__(self, master):
+        self.master, self.folder = master, None
+
+    def setCheckpointDir(self, folder):  # noqa: N802
+        self.folder = folder
+
+    def getCheckpointDir(self):  # noqa: N802
+        return self.folder
+
+
+def test_shared_folder_without_the_setting():
+    def session(master):
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: default), sparkContext=_Context(master))
+
+    own = session("local[2]")
+    assert shared_dir(own) == shared_dir(own) == own.sparkContext.folder
+    for master in ("spark://host:7077", "local-cluster[2,1,1024]"):
+        with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+            shared_dir(session(master))

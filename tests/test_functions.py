@@ -174,3 +174,9 @@ def test_scan_emits_from_the_state_before(spark):
     df = spark.createDataFrame([(list("abcdefg"),)], "a array<string>")
     joined = scan(df.a, F.lit(""), F.concat, lambda s, x: F.concat(s, F.lit("|"), x), "string")
     assert df.select(joined).first()[0][-1] == "abcdef|g"
+
+
+def test_all_names_and_any_number_of_digits(texts):
+    assert len(named_entities()) == 252
+    given = ["&forall;&part;&sum;&empty;&rArr;&hearts;&thetasym;", "&#00000233;&#x00000e9;&#X1F600;", "&#99999999999999999999;&#x110000;&#xd800;&nosuchname;"]
+    assert texts(given, decode_entities) == ["∀∂∑∅⇒♥ϑ", "éé😀", given[2]]
