@@ -2,7 +2,7 @@
 
 A text is lower-cased, every run of characters other than a-z and 0-9 becomes one blank (line and
 sentence ends stay), and four kinds of unit are compared: each sentence, each line of several
-sentences, each paragraph of several lines (between blank lines) and the whole text. A unit's bigrams are the distinct pairs of neighbouring words.
+sentences, each paragraph of several lines (between blank lines) and the whole text. A unit's bigrams are the distinct pairs of neighbouring words, each pair known by its 64-bit hash.
 
     dice(unit, template) = 2 |U and T| / (|U| + |T|)
 
@@ -82,9 +82,9 @@ TEMPLATES = [
 ]
 
 
-def template_bigrams(text: str) -> list[str]:
+def template_bigrams(text: str) -> list[tuple[str, str]]:
     words = re.sub("[^a-z0-9]+", " ", text.lower()).split()
-    return sorted({f"{a} {b}" for a, b in zip(words, words[1:], strict=False)})
+    return sorted(set(zip(words, words[1:], strict=False)))
 
 
 def normalized(text: Column) -> Column:
@@ -94,8 +94,9 @@ def normalized(text: Column) -> Column:
 
 
 def bigrams(words: Column) -> Column:
-    """The distinct neighbouring pairs of an array of words."""
-    return F.array_distinct(F.zip_with(F.slice(words, 1, F.greatest(F.size(words) - 1, F.lit(0))), F.slice(words, 2, F.size(words)), lambda a, b: F.concat_ws(" ", a, b)))
+    """The hashes of the distinct neighbouring pairs of an array of words."""
+    first, second = F.slice(words, 1, F.greatest(F.size(words) - 1, F.lit(0))), F.slice(words, 2, F.size(words))
+    return F.array_distinct(F.zip_with(first, second, lambda a, b: F.xxhash64(a, b)))
 
 
 def scan(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, least: float = LEAST_DICE) -> DataFrame:
@@ -107,15 +108,16 @@ def scan(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, least: f
     ready = [(name, template_bigrams(text)) for name, text in templates]
     low, high = least / (2 - least), (2 - least) / least
     smallest = min(len(b) for _, b in ready)
-    literal = F.array(*[F.struct(F.lit(n).alias("name"), F.array(*map(F.lit, b)).alias("bigrams"), F.lit(len(b)).alias("size")) for n, b in ready])
+    literal = F.array(*[F.struct(F.lit(n).alias("name"), F.array(*[F.xxhash64(F.lit(x), F.lit(y)) for x, y in b]).alias("bigrams"), F.lit(len(b)).alias("size")) for n, b in ready])
     body = F.col("body")
     sentences = F.split(body, "[\t\n]+")
     lines = F.filter(F.split(body, "\n"), lambda x: F.regexp_like(x, F.lit("\t *[a-z0-9]")))
-    unit = lambda kind: lambda u: F.struct(F.lit(kind).alias("kind"), F.split(F.trim(F.regexp_replace(u, "[ \t\n]+", " ")), " ").alias("words"))
+    one = lambda u: F.struct(F.lit("sentence").alias("kind"), F.split(F.trim(u), " ").alias("words"))
+    unit = lambda kind: lambda u: F.struct(F.lit(kind).alias("kind"), F.split(F.trim(F.translate(u, "\t\n", "  ")), " +").alias("words"))
     blank = r"\n\s*\n"
     paragraphs = F.when(F.regexp_like(body, F.lit(blank)), F.filter(F.split(body, blank), lambda p: F.contains(p, F.lit("\n")))).otherwise(F.array().cast("array<string>"))
     whole = F.when(F.contains(body, F.lit("\n")), F.array(body)).otherwise(F.array().cast("array<string>"))
-    units = F.concat(F.transform(sentences, unit("sentence")), F.transform(lines, unit("line")), F.transform(paragraphs, unit("paragraph")), F.transform(whole, unit("text")))
+    units = F.concat(F.transform(sentences, one), F.transform(lines, unit("line")), F.transform(paragraphs, unit("paragraph")), F.transform(whole, unit("text")))
     # n words have n - 1 distinct bigrams at most, so shorter units can't match.
     long_enough = F.filter(units, lambda u: F.size(u["words"]) - 1 >= F.lit(smallest * low))
     cut = F.transform(long_enough, lambda u: F.struct(u["kind"].alias("kind"), bigrams(u["words"]).alias("b")))
