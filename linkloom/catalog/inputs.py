@@ -190,14 +190,19 @@ ODD_MARKUP = (
 )
 
 
-def odd_markup(documents: DataFrame) -> DataFrame:
-    """Dump pages `(id, ns, title, text)` of the articles' words behind odd markup."""
+# A site whose file and category namespaces have names of their own.
+SITE_NAMES = [(0, None), (6, "Datei"), (14, "Kategorie")]
+SITE_MARKUP = "[[Datei:x.png|thumb|[[a]]]] [[Kategorie:K]] [[b]] "
+
+
+def odd_markup(documents: DataFrame, markup: str = ODD_MARKUP) -> DataFrame:
+    """Dump pages `(id, ns, title, text)` of the articles' words behind some markup."""
     words = F.regexp_replace(F.coalesce("text", F.lit("")), "[^a-zA-Z0-9 ]", "")
     return documents.select(
         F.col("doc_id").alias("id"),
         F.lit(0).alias("ns"),
         F.lit("T").alias("title"),
-        F.concat(F.lit(ODD_MARKUP), words).alias("text"),
+        F.concat(F.lit(markup), words).alias("text"),
     )
 
 

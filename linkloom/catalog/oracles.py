@@ -451,6 +451,12 @@ ORACLES["csv_links_in_ten_files"] = ORACLES["extract_links"]
 ORACLES["extract_pages_without_links"] = (
     f"with {_EXTRACT} select page_id, content, cast(0 as int) as n_links from wiki_pages_rel"
 )
+# Worked out by hand: the image and the category render nothing.
+ORACLES["extract_links_site_names"] = """
+  select doc_id as page_id, cast(3 as int) as char_start, cast(4 as int) as char_end, 'b' as surface,
+    'B' as title
+  from documents
+"""
 # Worked out by hand: the image link is gone, one bracket on each side stays; of the three blank
 # surfaces only the no-break space is a link.
 ORACLES["odd_markup"] = """

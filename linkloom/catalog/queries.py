@@ -223,6 +223,14 @@ def odd_markup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def extract_links_site_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The links of a dump whose site names its own file and category namespaces."""
+    documents = spread(inputs.table(spark, sf_dir, "documents"), "doc_id")
+    names = spark.createDataFrame(inputs.SITE_NAMES, "ns int, name string")
+    found = extract.extract(inputs.odd_markup(documents, inputs.SITE_MARKUP), namespaces=names)
+    return found.links
+
+
 # Redirect statistics
 
 
@@ -391,6 +399,7 @@ QUERIES: dict[str, Query] = {
         csv_links_in_ten_files,
         wiki_pages_parquet,
         extract_pages_without_links,
+        extract_links_site_names,
         odd_markup,
     )
 }

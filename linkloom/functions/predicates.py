@@ -5,8 +5,6 @@ from collections.abc import Callable, Iterable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from linkloom.functions.titles import strip
-
 # Prefixes that mark a page title as special whatever the site says.
 SPECIAL_PREFIXES = [
     "Media",

@@ -1,5 +1,6 @@
 """A dump's three relations: pages, links and redirects."""
 
+import re
 from typing import Any, NamedTuple
 
 from pyspark.sql import Column, DataFrame
@@ -7,8 +8,12 @@ from pyspark.sql import functions as F
 
 from linkloom.functions import meta
 from linkloom.functions.titles import wikilink_title
-from linkloom.operators.annotate import annotate_links
+from linkloom.operators.annotate import CATEGORY_NAMES, IMAGE_NAMES, annotate_links
 from linkloom.sinks.tables import save_parquet
+from linkloom.sources.dump import namespace_names
+
+# The keys of the file and the category namespace on every site.
+MEDIA_KEYS = (6, 14)
 
 
 class Relations(NamedTuple):
@@ -32,12 +37,26 @@ def page_meta(dump: DataFrame, strip_fragment: bool = False) -> DataFrame:
 
 
 def annotate_dump(
-    dump: DataFrame, main_only: bool = False, strip_fragment: bool = False, **rules: Any
+    dump: DataFrame,
+    main_only: bool = False,
+    strip_fragment: bool = False,
+    namespaces: DataFrame | None = None,
+    **rules: Any,
 ) -> DataFrame:
     """One row per page with everything the three relations need; one pass and no shuffle.
 
-    A redirect's text is not rendered. `rules` are the options of `annotate_links`.
+    A redirect's text is not rendered. `rules` are the options of `annotate_links`. `namespaces`, as
+    `read_namespaces` gives them, sets two of these: titles in the site's namespaces are special,
+    and links to its file and category namespaces render nothing, whatever their language.
     """
+    if namespaces is not None:
+        names = namespace_names(namespaces)
+        media = namespace_names(namespaces, MEDIA_KEYS)
+        rules = {
+            "site_names": names,
+            "media_names": [*IMAGE_NAMES, *CATEGORY_NAMES, *map(re.escape, media)],
+            **rules,
+        }
     pages = dump.where("ns = 0") if main_only else dump
     pages = page_meta(pages, strip_fragment)
     # Rendering starts from '' for redirects.
