@@ -23,7 +23,6 @@ Without any training text all bytes are equally likely and the base counts are 0
 
 from __future__ import annotations
 
-from itertools import chain
 from zlib import crc32
 
 import numpy as np
@@ -37,7 +36,7 @@ from linkloom.llm.common import fold, map_rows, mix64, staged, utf8
 
 ORDER, LOCAL = 5, 3
 FOLDS, HELD_OUT = 7, 2
-BLOCK_BYTES, BUCKET_BYTES = 16 << 20, 8 << 20
+BLOCK_BYTES, BUCKET_BYTES = 12 << 20, 8 << 20
 #: Bytes whose grams are sorted at a time; positions that fit beside a gram in 64 bits.
 SORTED, BESIDE = 1 << 20, 1 << 16
 
@@ -153,9 +152,15 @@ class _Block:
     """A block's texts and its distinct grams and words, by bucket and always in the same order."""
 
     def __init__(self, bodies: list[bytes], ids: list[int | None], buckets: int):
-        self.words = [tokens(b) for b in bodies]
-        self.texts = [b" ".join(w) + b"\n" for w in self.words]
         self.held_out = np.array([crc32(str(i).encode() if i is not None else b"") % FOLDS == HELD_OUT for i in ids], bool)
+        # Words are counted and let go text by text: as objects they take many times the text's room.
+        self.texts: list[bytes] = []
+        counted: dict[bytes, int] = {}
+        for body, held in zip(bodies, self.held_out.tolist(), strict=True):
+            words = tokens(body)
+            for w in words:
+                counted[w] = counted.get(w, 0) + (not held)
+            self.texts.append(b" ".join(words) + b"\n")
         found, trained = [], []
         for first, last in self._stretches(SORTED):
             for held in (False, True):
@@ -163,15 +168,12 @@ class _Block:
                 if part:
                     g, n = distinct(grams(part))
                     found.append(g)
-                    trained.append(n * (not held))
+                    trained.append((n * (not held)).astype(np.int32))
         self.grams, self.counts = distinct(np.concatenate(found), np.concatenate(trained))
-        bucket = (mix64(self.grams >> np.uint64(8 * (ORDER + 1 - LOCAL))) % np.uint64(buckets)).astype(np.int64)
+        del found, trained
+        bucket = (mix64(self.grams >> np.uint64(8 * (ORDER + 1 - LOCAL))) % np.uint64(buckets)).astype(np.int32)
         self.order = np.argsort(bucket, kind="stable")  # grams stay sorted within a bucket
         self.cut = np.searchsorted(bucket[self.order], np.arange(buckets + 1))
-        counted: dict[bytes, int] = {}
-        for ws, held in zip(self.words, self.held_out.tolist(), strict=True):
-            for w in ws:
-                counted[w] = counted.get(w, 0) + (not held)
         self.of_bucket: dict[int, list[bytes]] = {}
         for w in counted:
             self.of_bucket.setdefault(crc32(w) % buckets, []).append(w)
@@ -278,13 +280,14 @@ def score_rows(docs: DataFrame) -> DataFrame:
         for k in by["costs"]:
             cost[b.order[b.cut[k] : b.cut[k + 1]]] = _unpack(by["costs"][k], np.float64)
             count.update(zip(b.of_bucket.get(k, []), _unpack(by["known"][k], np.int64).tolist(), strict=True))
-        sizes = np.fromiter(map(len, b.words), np.int64, len(b.words))
-        c = np.fromiter((count[w] for w in chain.from_iterable(b.words)), np.float64, int(sizes.sum()))
-        # One closing 0 keeps reduceat's last place valid; texts without words are set to 0.
-        first = np.cumsum(sizes) - sizes
-        logs = np.where(sizes > 0, np.add.reduceat(np.r_[np.log10(c + 1), 0.0], first), 0.0)
-        known = np.where(sizes > 0, np.add.reduceat(np.r_[c > 0, False].astype(np.int64), first), 0)
-        tokens_each = sizes + 1
+        sizes, logs, known = [], [], []
+        for text in b.texts:
+            words = text.split()
+            c = np.fromiter(map(count.__getitem__, words), np.float64, len(words))
+            sizes.append(len(words))
+            logs.append(np.log10(c + 1).sum())
+            known.append(np.count_nonzero(c))
+        logs, known, tokens_each = np.array(logs), np.array(known), np.array(sizes) + 1
         base = logs + np.log10(ends + 1) - tokens_each * np.log10(n + v + 1)
         return {
             "doc_id": row["ids"], "held_out": b.held_out, "n_tokens": tokens_each, "n_known": known + (ends > 0),
