@@ -40,7 +40,7 @@ from linkloom.llm.common import map_rows, mix64, staged, utf8
 
 MATCH, ANCHOR = 50, 24
 #: Bytes of text in a block and, on average, per bucket.
-BLOCK_BYTES, BUCKET_BYTES = 16 << 20, 8 << 20
+BLOCK_BYTES, BUCKET_BYTES = 8 << 20, 4 << 20
 #: Windows in a batch, and bytes hashed at a time.
 BATCH_WINDOWS, CHUNK_BYTES = 1 << 16, 1 << 18
 LAST = np.iinfo(np.int64).max  # stands for a null id
