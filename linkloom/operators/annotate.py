@@ -50,8 +50,8 @@ IMAGE_NAMES = ("File", "Image")
 CATEGORY_NAMES = ("Category",)
 
 # `<ref .../>` first: then every opening mark before the last closing one has one behind it.
-_EMPTY_REF = r"(?i)<ref(?:\s[^>]*+)?+(?<=/)>"
-_REF = r"(?is)<ref(?:\s[^>]*+)?+>.*?</ref\s*>"
+_EMPTY_REF = r"(?i)<ref(?:\s[^<>]*+)?+(?<=/)>"
+_REF = r"(?is)<ref(?:\s[^<>]*+)?+>.*?</ref\s*>"
 # Possessive where giving back cannot help, so that a mark left open costs one look and no more.
 _EXTERNAL = r"\[(?:https?:|ftp:)?//[^\s\[\]]++[ \t]*+([^\[\]\n]*+)\]"
 _BREAK = r"(?i)</?(?:br|hr)(?:\s[^<>]*)?/?>"
