@@ -11,6 +11,13 @@ A unit of |U| bigrams can reach a Dice of t only with templates whose size lies
 any template isn't cut into bigrams at all. Everything happens in the document's own row: there is
 no join and no shuffle, the templates are a literal.
 
+A license of several sentences or paragraphs amid other text is found as a window, that is any run of
+neighbouring sentences (line ends also end them) with at most |T| (2 - t) / t neighbouring pairs, |T|
+counting repeated pairs too. A window never overlaps a unit that matches on its own; of overlapping
+windows the one of the larger Dice counts, then the first name, then the earliest and shortest. Only
+texts with one of the templates' longest words, and of those only templates with enough bigrams
+anywhere in the text, can have one: both bounds are exact.
+
 Rows: null, empty or one-word text matches nothing (license null, dice 0). Of equal coefficients
 the template first by name wins. Repeated rows give repeated results.
 """
@@ -99,28 +106,42 @@ def bigrams(words: Column) -> Column:
     return F.array_distinct(F.zip_with(first, second, lambda a, b: F.xxhash64(a, b)))
 
 
+def longest_words(texts: list[str], low: float) -> list[str]:
+    """Words of which a text must have one, if it is to hold `low` of any template's bigrams."""
+    chosen: set[str] = set()
+    for text in texts:
+        pairs = template_bigrams(text)
+        for word in sorted({w for p in pairs for w in p}, key=lambda w: (w not in chosen, -len(w), w)):
+            if sum(not chosen & {*p} for p in pairs) < low * len(pairs):
+                break
+            chosen.add(word)
+    return sorted(chosen)
+
+
 def scan(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, least: float = LEAST_DICE) -> DataFrame:
     """One row per row of docs (doc_id, text): license, dice, unit, template_size, n_matches, licenses.
 
-    license, dice and unit (sentence, line, paragraph or text) tell the best match, template_size its number
-    of bigrams; n_matches counts the units that match a template, licenses lists all names matched.
+    license, dice and unit (sentence, line, paragraph, text or window) tell the best match, template_size its
+    number of bigrams; n_matches counts the units and windows that match a template, licenses lists all names matched.
     """
     ready = [(name, template_bigrams(text)) for name, text in templates]
     low, high = least / (2 - least), (2 - least) / least
     smallest = min(len(b) for _, b in ready)
     literal = F.array(*[F.struct(F.lit(n).alias("name"), F.array(*[F.xxhash64(F.lit(x), F.lit(y)) for x, y in b]).alias("bigrams"), F.lit(len(b)).alias("size")) for n, b in ready])
     body = F.col("body")
-    sentences = F.split(body, "[\t\n]+")
-    lines = F.filter(F.split(body, "\n"), lambda x: F.regexp_like(x, F.lit("\t *[a-z0-9]")))
-    one = lambda u: F.struct(F.lit("sentence").alias("kind"), F.split(F.trim(u), " ").alias("words"))
-    unit = lambda kind: lambda u: F.struct(F.lit(kind).alias("kind"), F.split(F.trim(F.translate(u, "\t\n", "  ")), " +").alias("words"))
+    sentences, lines = F.split(body, "[\t\n]+"), F.split(body, "\n")
+    none = F.array().cast("array<struct<kind:string,part:int,words:array<string>>>")
+    unit = lambda kind, words: lambda u, i: F.struct(F.lit(kind).alias("kind"), i.alias("part"), words(u).alias("words"))
+    one, several = lambda u: F.split(F.trim(u), " "), lambda u: F.split(F.trim(F.translate(u, "\t\n", "  ")), " +")
     blank = r"\n\s*\n"
-    paragraphs = F.when(F.regexp_like(body, F.lit(blank)), F.filter(F.split(body, blank), lambda p: F.contains(p, F.lit("\n")))).otherwise(F.array().cast("array<string>"))
-    whole = F.when(F.contains(body, F.lit("\n")), F.array(body)).otherwise(F.array().cast("array<string>"))
-    units = F.concat(F.transform(sentences, one), F.transform(lines, unit("line")), F.transform(paragraphs, unit("paragraph")), F.transform(whole, unit("text")))
+    # Parts keep their place; what is no unit of its own is an empty one.
+    units_of = lambda parts, kind, where: F.transform(parts, unit(kind, lambda u: F.when(where(u), several(u)).otherwise(F.array().cast("array<string>"))))
+    paragraphs = F.when(F.regexp_like(body, F.lit(blank)), units_of(F.split(body, blank), "paragraph", lambda p: F.contains(p, F.lit("\n")))).otherwise(none)
+    whole = F.when(F.contains(body, F.lit("\n")), F.transform(F.array(body), unit("text", several))).otherwise(none)
+    units = F.concat(F.transform(sentences, unit("sentence", one)), units_of(lines, "line", lambda x: F.regexp_like(x, F.lit("\t *[a-z0-9]"))), paragraphs, whole)
     # n words have n - 1 distinct bigrams at most, so shorter units can't match.
     long_enough = F.filter(units, lambda u: F.size(u["words"]) - 1 >= F.lit(smallest * low))
-    cut = F.transform(long_enough, lambda u: F.struct(u["kind"].alias("kind"), bigrams(u["words"]).alias("b")))
+    cut = F.transform(long_enough, lambda u: F.struct(u["kind"].alias("kind"), u["part"].alias("part"), bigrams(u["words"]).alias("b")))
 
     def best(u: Column) -> Column:
         n = F.size(u["b"])
@@ -134,17 +155,76 @@ def scan(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, least: f
             F.struct(F.lit(-1.0).alias("dice"), F.lit("").alias("name"), F.lit(0).alias("size")),
             lambda a, r: F.when((r["dice"] > a["dice"]) | ((r["dice"] == a["dice"]) & (r["name"] < a["name"])), r).otherwise(a),
         )
-        return F.struct(top["dice"].alias("dice"), top["name"].alias("name"), top["size"].alias("size"), u["kind"].alias("kind"))
+        return F.struct(top["dice"].alias("dice"), top["name"].alias("name"), top["size"].alias("size"), u["kind"].alias("kind"), u["part"].alias("part"))
 
     matched = F.filter(F.transform(cut, best), lambda m: m["dice"] >= 0)
     first = F.aggregate(
         F.col("matched"),
-        F.struct(F.lit(0.0).alias("dice"), F.lit(None).cast("string").alias("name"), F.lit(None).cast("int").alias("size"), F.lit(None).cast("string").alias("kind")),
+        F.struct(F.lit(0.0).alias("dice"), F.lit(None).cast("string").alias("name"), F.lit(None).cast("int").alias("size"), F.lit(None).cast("string").alias("kind"), F.lit(None).cast("int").alias("part")),
         lambda a, m: F.when((m["dice"] > a["dice"]) | ((m["dice"] == a["dice"]) & (m["name"] < a["name"])), m).otherwise(a),
     )
+
+    words = lambda x: F.filter(F.split(F.translate(x, "\t\n", "  "), " "), lambda w: w != "")
+    length = lambda parts: F.aggregate(parts, F.lit(0), lambda a, x: a + F.size(words(x)))
+    parts = lambda kind: F.when(kind == "sentence", sentences).when(kind == "line", lines).when(kind == "paragraph", F.split(body, blank)).otherwise(F.array(body))
+    taken = F.transform("matched", lambda m: F.struct(length(F.slice(parts(m["kind"]), 1, m["part"])).alias("a"), length(F.slice(parts(m["kind"]), 1, m["part"] + 1)).alias("b")))
+    # `ends` holds the words before each sentence, `pairs` the hash of each word and the next one.
+    sizes = F.filter(F.transform(sentences, lambda u: F.size(words(u))), lambda n: n > 0)
+    ends = F.aggregate(sizes, F.array(F.lit(0)), lambda a, n: F.concat(a, F.array(F.element_at(a, -1) + n)))
+    pairs = F.zip_with(F.slice(words(body), 1, F.greatest(F.size(words(body)) - 1, F.lit(0))), F.slice(words(body), 2, F.size(words(body))), lambda a, b: F.xxhash64(a, b))
+    laid = F.struct(taken.alias("taken"), ends.alias("ends"), pairs.alias("pairs"))
+    repeated = F.array(*[F.lit(max(0, len(re.sub("[^a-z0-9]+", " ", t.lower()).split()) - 1)) for _, t in templates])
+    windows_of = F.zip_with(literal, repeated, lambda t, n: F.struct(t["name"].alias("name"), t["bigrams"].alias("bigrams"), t["size"].alias("size"), n.alias("pairs")))
+    possible = F.filter(windows_of, lambda t: F.size(F.array_intersect(F.col("laid.pairs"), t["bigrams"])) >= t["size"] * low)
+    at, last = lambda i: F.get(F.col("laid.ends"), i), F.size("laid.ends") - 2
+    known = F.transform(
+        possible,
+        lambda t: F.struct(
+            t.alias("t"),
+            F.aggregate(  # the pairs of the template before each sentence
+                F.sequence(F.lit(0), last),
+                F.array(F.lit(0)),
+                lambda a, i: F.concat(a, F.array(F.element_at(a, -1) + F.size(F.filter(F.slice(F.col("laid.pairs"), at(i) + 1, at(i + 1) - at(i)), lambda h: F.array_contains(t["bigrams"], h))))),
+            ).alias("hits"),
+        ),
+    )
+
+    def windows(k: Column) -> Column:
+        t, hits = k["t"], k["hits"]
+        starts = F.filter(F.sequence(F.lit(0), last), lambda i: F.get(hits, i + 1) > F.get(hits, i))
+
+        def from_start(i: Column) -> Column:
+            fits = lambda j: (
+                (at(j + 1) - at(i) - 1 <= t["pairs"] * high)
+                & (F.get(hits, j + 1) - F.get(hits, i) >= t["size"] * low)
+                & ~F.exists(F.col("laid.taken"), lambda r: (r["a"] < at(j + 1)) & (r["b"] > at(i)))
+            )
+            ends_at = F.filter(F.sequence(i, F.least(last, i + F.ceil(t["pairs"] * high).cast("int"))), fits)
+
+            def rate(j: Column) -> Column:
+                own = F.transform(F.array(F.array_distinct(F.slice(F.col("laid.pairs"), at(i) + 1, at(j + 1) - at(i) - 1))), lambda b: 2.0 * F.size(F.array_intersect(b, t["bigrams"])) / (F.size(b) + t["size"]))
+                return F.struct((-F.get(own, F.lit(0))).alias("minus"), t["name"].alias("name"), at(i).alias("a"), at(j + 1).alias("b"), t["size"].alias("size"))
+
+            return F.filter(F.transform(ends_at, rate), lambda w: w["minus"] <= -least)
+
+        return F.flatten(F.transform(starts, from_start))
+
+    rated = F.array_sort(F.flatten(F.transform("known", windows)))
+    apart = F.aggregate(
+        rated,
+        F.array().cast("array<struct<minus:double,name:string,a:int,b:int,size:int>>"),
+        lambda held, w: F.when(F.exists(held, lambda h: (h["a"] < w["b"]) & (h["b"] > w["a"])), held).otherwise(F.concat(held, F.array(w))),
+    )
+    found = F.transform(apart, lambda w: F.struct((-w["minus"]).alias("dice"), w["name"].alias("name"), w["size"].alias("size"), F.lit("window").alias("kind"), F.lit(0).alias("part")))
+    likely = F.regexp_like(body, F.lit(rf"\b(?:{'|'.join(longest_words([t for _, t in templates], low))})\b"))
     # Each step sits behind a generator of one row, which keeps the optimizer from repeating it.
     stage1 = docs.select("doc_id", F.explode(F.array(normalized(F.col("text")))).alias("body"))
-    stage2 = stage1.select("doc_id", F.explode(F.array(matched)).alias("matched"))
+    stage2 = stage1.select("doc_id", "body", F.explode(F.array(matched)).alias("matched"))
+    # Null where no window can be, so nothing below is evaluated for such a text.
+    laid_out = stage2.select("doc_id", "matched", F.explode(F.array(F.when(likely, laid))).alias("laid"))
+    counted = laid_out.select("doc_id", "matched", "laid", F.explode(F.array(F.when(F.col("laid").isNotNull(), known))).alias("known"))
+    with_windows = F.when(F.size(F.coalesce("known", F.array())) > 0, F.concat("matched", found)).otherwise(F.col("matched"))
+    stage2 = counted.select("doc_id", F.explode(F.array(with_windows)).alias("matched"))
     stage3 = stage2.select("doc_id", "matched", F.explode(F.array(first)).alias("first"))
     return stage3.select(
         "doc_id",

@@ -147,6 +147,28 @@ def test_licenses(spark):
     assert licenses.scan(frame(spark, [])).collect() == []
 
 
+def test_licenses_in_several_parts(spark):
+    r = random.Random(9)
+    other = lambda n: " ".join(f"w{r.randint(0, 5000)}" for _ in range(n))
+    mit = next(t for n, t in licenses.TEMPLATES if n == "MIT" and len(t) > 100)
+    cut = [mit.index("The above copyright"), mit.index("THE SOFTWARE IS PROVIDED")]
+    parts = [mit[: cut[0]].strip(), mit[cut[0] : cut[1]].strip(), mit[cut[1] :].strip()]
+    gpl = next(t for n, t in licenses.TEMPLATES if n == "GPL-3.0" and len(t) > 100)
+    split = "\n\n".join(parts)
+    texts = [
+        f"{other(150)}.\n\nMIT License\n\nCopyright 2020 A\n\n{split}\n\n{other(200)}.",
+        f"{other(40)}. {gpl} {other(60)}.",
+        f"{other(80)}.\n{split}\n{other(90)}.\nReleased under the MIT License.\n{other(50)}.\n{split}\n{other(9)}.",
+        "\n\n".join([other(120), *parts[:1], other(150)]),
+        f"{other(30)}.\nReleased under\nthe MIT License.\n{other(30)}.",
+    ]
+    rows = sorted(licenses.scan(frame(spark, texts)).collect(), key=lambda x: x["doc_id"])
+    assert [x["license"] for x in rows] == ["MIT", "GPL-3.0", "MIT", None, "MIT"]
+    assert [x["n_matches"] for x in rows] == [1, 1, 3, 0, 1]
+    assert [x["unit"] for x in rows] == ["window", "window", "sentence", None, "window"]
+    assert rows[0]["dice"] == rows[1]["dice"] == rows[4]["dice"] == 1
+
+
 def _plain_ppm(docs):
     def norm(t):
         return b" ".join((t or "").encode().lower().split()) + b"\n"
