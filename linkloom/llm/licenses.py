@@ -29,9 +29,11 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from linkloom.llm.license_texts import TEXTS
+
 LEAST_DICE = 0.8
 
-#: Public license notices and texts, in order of their SPDX names.
+#: Public license notices and texts, notices in order of their SPDX names, then TEXTS.
 TEMPLATES = [
     ("AGPL-3.0", "This work is licensed under the GNU Affero General Public License, version 3."),
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
@@ -86,6 +88,7 @@ TEMPLATES = [
         "this file, You can obtain one at https://mozilla.org/MPL/2.0/.",
     ),
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
+    *TEXTS,
 ]
 
 

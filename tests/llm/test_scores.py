@@ -169,6 +169,22 @@ def test_licenses_in_several_parts(spark):
     assert rows[0]["dice"] == rows[1]["dice"] == rows[4]["dice"] == 1
 
 
+def test_published_texts(spark):
+    clauses = [
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:",
+        "1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.",
+        "2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.",
+        "3. Neither the name of Acme nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.",
+    ]
+    rest = next(t for n, t in licenses.TEMPLATES if n == "BSD-2-Clause" and len(t) > 100).split("provided with the distribution.")[1].strip()
+    by_name = {n: t for n, t in licenses.TEMPLATES if len(t) > 1000}
+    ahead, after = "Copyright 2021 Acme and others\n\n", "\n\n" + " ".join(f"w{i}" for i in range(200))
+    texts = [ahead + "\n\n".join([*clauses, rest]) + after, ahead + "\n\n".join([*clauses[:3], rest]) + after]
+    texts += [ahead + by_name[n].replace(". ", ".\n") + after for n in ("Apache-2.0", "Unlicense")]
+    rows = sorted(licenses.scan(frame(spark, texts)).collect(), key=lambda x: x["doc_id"])
+    assert [x["licenses"] for x in rows] == ["BSD-3-Clause", "BSD-2-Clause", "Apache-2.0", "Unlicense"]
+
+
 def _plain_ppm(docs):
     def norm(t):
         return b" ".join((t or "").encode().lower().split()) + b"\n"
