@@ -1,12 +1,13 @@
 """DuckDB SQL for the registered queries that SQL can express.
 
 Not here: bytes' windows (op3) and 64-bit hashes (op5) are too slow or absent in SQL, tokenizers
-(op4, op8) and trained models (op7, op10) can't be expressed. These have brute-force tests.
+(op4, op8), trained models (op7, op10) and the cheapest edits (op12) can't be expressed. These have brute-force tests.
 """
 
 from __future__ import annotations
 
 from linkloom.llm.licenses import LEAST_DICE, TEMPLATES, template_bigrams
+from linkloom.llm.phrases import LEAST, SHARE, TOP
 from linkloom.llm.quality import BUCKETS, LEAST_RATE, LEAST_WORDS, MOST_REPEATED, PSEUDO, WINDOW
 from linkloom.llm.sharding import BASE, CHUNKS, Tree, standard_tree
 
@@ -157,9 +158,69 @@ select vec_id, cast(coalesce(n, 0) as bigint) as n_links, component_id, vec_id =
 from given join least_id on a = vec_id left join (select a as vec_id, count(*) as n from links group by a) using (vec_id)
 """
 
+_EXACT = r"""
+with plain as (select doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') as body from documents)
+select doc_id, min(doc_id) over same as keep_id, count(*) over same as group_size,
+  doc_id is not distinct from min(doc_id) over same as kept, sha256(body) as text_sha256
+from plain window same as (partition by body)
+"""
+
+_PHRASES = rf"""
+with docs as (
+  select row_number() over () as r, coalesce(lang, 'und') as lang,
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as body
+  from documents
+),
+pieces as (
+  select r, lang, unnest(list) as piece, generate_subscripts(list, 1) as p
+  from (select r, lang, string_split_regex(body, '[.,;:!?\x0A-\x0D]') as list from docs)
+),
+words as (
+  select r, lang, p, unnest(list) as w, generate_subscripts(list, 1) as i
+  from (select r, lang, p, regexp_extract_all(piece, '[^\x20\x09]+') as list from pieces)
+),
+near as (
+  select lang, w, lead(w) over here as w2, lead(w, 2) over here as w3 from words window here as (partition by r, p order by i)
+),
+f as (
+  select lang, 1 as size, w as phrase, count(*) as n from near group by all
+  union all select lang, 2, w || ' ' || w2, count(*) from near where w2 is not null group by all
+  union all select lang, 3, w || ' ' || w2 || ' ' || w3, count(*) from near where w3 is not null group by all
+),
+candidates as (select lang, size, phrase, n as a, string_split(phrase, ' ') as ws from f where size > 1 and n >= {LEAST}),
+cuts as (
+  select *, unnest(generate_series(1, size - 1)) as k from candidates
+),
+scored as (
+  select c.lang, c.size, c.phrase, c.a, k, x.n as l, y.n as r,
+    cast(c.a as hugeint) * c.a * 1000000 // (cast(x.n as hugeint) * y.n) as score
+  from cuts c
+  join f x on x.lang = c.lang and x.phrase = array_to_string(ws[1:k], ' ')
+  join f y on y.lang = c.lang and y.phrase = array_to_string(ws[k + 1:], ' ')
+),
+best as (select * from scored qualify row_number() over (partition by lang, phrase order by score, k) = 1),
+around as (
+  select lang, phrase, max(a) as a from (
+    select lang, array_to_string(ws[1:2], ' ') as phrase, a from candidates where size = 3
+    union all select lang, array_to_string(ws[2:3], ' '), a from candidates where size = 3
+  ) group by all
+),
+kept as (
+  select b.* from best b left join around o using (lang, phrase)
+  where b.size = 3 or o.a is null or 100 * o.a < {SHARE} * b.a
+),
+totals as (select lang, cast(sum(n) as bigint) as n from f where size = 1 group by all)
+select lang, row_number() over (partition by lang order by score desc, a desc, phrase) as rank, phrase, a, l, r, t.n as n,
+  cast(score as bigint) as score
+from kept join totals t using (lang)
+qualify row_number() over (partition by lang order by score desc, a desc, phrase) <= {TOP}
+"""
+
 ORACLES: dict[str, str] = {
     "op1_embedding_neardup": _LINKS,
     "op2_sharding": _SHARDS,
     "op6_license_scan": _LICENSES,
     "op9_quality": _QUALITY,
+    "op11_phrases": _PHRASES,
+    "op13_exact_dedup": _EXACT,
 }

@@ -7,15 +7,18 @@ from pyspark.sql import DataFrame, SparkSession
 
 from linkloom.llm.common import table
 from linkloom.llm.embeddings import link_rows
+from linkloom.llm.exact import class_rows
 from linkloom.llm.lexicon import encode_rows
 from linkloom.llm.licenses import scan
 from linkloom.llm.packing import pack_rows
+from linkloom.llm.phrases import top_phrases
 from linkloom.llm.ppm import score_rows as ppm_scores
 from linkloom.llm.quality import rate_rows
 from linkloom.llm.sharding import shard_rows
 from linkloom.llm.simhash import group_rows
 from linkloom.llm.suffix import dedupe_rows
 from linkloom.llm.toxicity import score_rows
+from linkloom.llm.turns import damage, repair_rows
 
 
 def op1_embedding_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -60,4 +63,16 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_rows(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op1_embedding_neardup, op2_sharding, op3_suffix_dedup, op4_lexicon_bpe, op5_simhash, op6_license_scan, op7_ppm_score, op8_packing, op9_quality, op10_toxicity)}
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_phrases(table(spark, sf_dir, "documents"))
+
+
+def op12_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair_rows(damage(table(spark, sf_dir, "conversations")))
+
+
+def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return class_rows(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_embedding_neardup, op2_sharding, op3_suffix_dedup, op4_lexicon_bpe, op5_simhash, op6_license_scan, op7_ppm_score, op8_packing, op9_quality, op10_toxicity, op11_phrases, op12_turn_repair, op13_exact_dedup)}

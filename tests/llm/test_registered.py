@@ -17,7 +17,7 @@ pytestmark = pytest.mark.skipif(not SF.exists(), reason="no test data")
 
 def test_all_are_registered():
     assert {*QUERIES, "pipeline"} <= set(entry_point.queries())
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
     assert set(ORACLES) <= set(QUERIES)
 
 
@@ -26,8 +26,13 @@ def test_query(spark, name):
     df = QUERIES[name](spark, str(SF))
     columns = sorted(df.columns)
     got = [tuple(r) for r in df.select(*columns).collect()]
-    whole = table(spark, str(SF), "embeddings" if name.startswith("op1_") else "documents").count()
-    assert len(got) >= whole if name.startswith("op8_") else len(got) == whole
+    docs = table(spark, str(SF), {"op1": "embeddings", "op12": "conversations"}.get(name.split("_")[0], "documents"))
+    if name.startswith("op12_"):
+        assert len(got) == docs.select("conv_id").distinct().count()
+    elif name.startswith("op8_"):
+        assert len(got) >= docs.count()
+    elif not name.startswith("op11_"):
+        assert len(got) == docs.count()
     if name in ORACLES:
         con = duckdb.connect()
         for path in SF.glob("*.parquet"):
