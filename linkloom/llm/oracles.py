@@ -179,27 +179,26 @@ words as (
   select r, lang, p, unnest(list) as w, generate_subscripts(list, 1) as i
   from (select r, lang, p, regexp_extract_all(piece, '[^\x20\x09]+') as list from pieces)
 ),
-near as (
+near as materialized (
   select lang, w, lead(w) over here as w2, lead(w, 2) over here as w3 from words window here as (partition by r, p order by i)
 ),
-f as (
+f as materialized (
   select lang, 1 as size, w as phrase, count(*) as n from near group by all
   union all select lang, 2, w || ' ' || w2, count(*) from near where w2 is not null group by all
   union all select lang, 3, w || ' ' || w2 || ' ' || w3, count(*) from near where w3 is not null group by all
 ),
-candidates as (select lang, size, phrase, n as a, string_split(phrase, ' ') as ws from f where size > 1 and n >= {LEAST}),
-cuts as (
-  select *, unnest(generate_series(1, size - 1)) as k from candidates
-),
+candidates as materialized (select lang, size, phrase, n as a, string_split(phrase, ' ') as ws from f where size > 1 and n >= {LEAST}),
+ks as (select *, unnest(generate_series(1, size - 1)) as k from candidates),
+cuts as materialized (select *, array_to_string(ws[1:k], ' ') as lp, array_to_string(ws[k + 1:], ' ') as rp from ks),
 scored as (
   select c.lang, c.size, c.phrase, c.a, k, x.n as l, y.n as r,
     cast(c.a as hugeint) * c.a * 1000000 // (cast(x.n as hugeint) * y.n) as score
   from cuts c
-  join f x on x.lang = c.lang and x.phrase = array_to_string(ws[1:k], ' ')
-  join f y on y.lang = c.lang and y.phrase = array_to_string(ws[k + 1:], ' ')
+  join f x on x.lang = c.lang and x.phrase = c.lp
+  join f y on y.lang = c.lang and y.phrase = c.rp
 ),
 best as (select * from scored qualify row_number() over (partition by lang, phrase order by score, k) = 1),
-around as (
+around as materialized (
   select lang, phrase, max(a) as a from (
     select lang, array_to_string(ws[1:2], ' ') as phrase, a from candidates where size = 3
     union all select lang, array_to_string(ws[2:3], ' '), a from candidates where size = 3
