@@ -33,13 +33,13 @@ def shared_dir(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir()
 
 
-def staged(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
+def staged(df: DataFrame, name: str, by: str | None = None, compression: str | None = None) -> DataFrame:
     """Write `df` once to a table in the shared folder, a folder for each value of `by`, and read it from there.
 
     A lost executor costs only its running tasks, and nothing upstream is computed twice.
     """
     path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path, partitionBy=by)
+    df.write.parquet(path, partitionBy=by, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -36,9 +36,9 @@ from linkloom.operators.joins import salted_left_join
 #: Shards of a cycle. Every shard is scanned three times at most, once for each length.
 SHARDS = 3
 #: Slots of the two tables.
-WORD_SLOTS, PAIR_SLOTS = 1 << 22, 1 << 24
+WORD_SLOTS, PAIR_SLOTS = 1 << 22, 1 << 26
 #: Slots that travel together, compressed.
-CHUNK = 1 << 14
+CHUNK = 1 << 16
 #: Bytes of text that a task counts together, and words it numbers at most, before it sends counts on.
 GATHER_BYTES, GATHER_WORDS = 32 << 20, 1 << 21
 #: A first or last part with more phrases than this is split among tasks.
@@ -74,12 +74,20 @@ class _Texts:
         return np.concatenate(self.ids), np.array(list(self.number), object), hashes
 
 
+def _summed(slots: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The slots in order, each once, with the sums of their counts."""
+    order = np.argsort(slots, kind="stable")
+    slots, counts = slots[order], counts[order]
+    heads = np.flatnonzero(np.append(True, slots[1:] != slots[:-1])[: len(slots)])
+    return slots[heads], np.add.reduceat(counts, heads) if len(heads) else counts
+
+
 def _pair_slots(hashes: np.ndarray, a: np.ndarray, b: np.ndarray, slots: int) -> np.ndarray:
     mixed = mix64(hashes[a] * np.uint64(0x9E3779B97F4A7C15) + hashes[b])
     return (mixed & np.uint64(slots - 1)).astype(np.int32)
 
 
-def _count(lang: str, texts: _Texts, step: int, shards: int, reached_words: np.ndarray, reached_pairs: np.ndarray, totals: dict):
+def _count(lang: str, texts: _Texts, step: int, shards: int, reached_words: np.ndarray, reached_pairs: np.ndarray, totals: list):
     """Batches of counts of what is open at this step: words, pairs, triples."""
     ids, words, hashes = texts.whole()
     words = pa.array(words, pa.binary())
@@ -94,7 +102,7 @@ def _count(lang: str, texts: _Texts, step: int, shards: int, reached_words: np.n
         n = np.bincount(ids, minlength=len(words))
         n[0] = 0
         seen = np.flatnonzero(n)
-        np.add.at(totals["words"], slots[seen], n[seen])
+        totals.append(_summed(slots[seen], n[seen]))
         yield batch(1, words.take(pa.array(seen)), slots[seen], n[seen])
         yield batch(0, pa.array([b""], pa.binary()), [0], [n.sum()])
     if not step:
@@ -108,7 +116,7 @@ def _count(lang: str, texts: _Texts, step: int, shards: int, reached_words: np.n
     code, n = np.unique(a[active].astype(np.int64) << 32 | b[active], return_counts=True)
     first, last = (code >> 32).astype(np.int32), (code & 0xFFFFFFFF).astype(np.int32)
     pair = _pair_slots(hashes, first, last, len(reached_pairs))
-    np.add.at(totals["pairs"], pair, n)
+    totals.append(_summed(pair + len(reached_words), n))
     yield batch(2, pc.binary_join_element_wise(words.take(pa.array(first)), words.take(pa.array(last)), b" "), pair, n)
     if step == 1:
         return
@@ -129,7 +137,7 @@ def _scan(shard: DataFrame, step: int, shards: int, least: int, reached) -> Data
 
     def run(batches):
         words, pairs = reached.value
-        totals = {"words": np.zeros(len(words), np.int32), "pairs": np.zeros(len(pairs), np.int32)}
+        totals: list[tuple[np.ndarray, np.ndarray]] = []
         held: dict[str, _Texts] = {}
         size = 0
 
@@ -150,12 +158,17 @@ def _scan(shard: DataFrame, step: int, shards: int, least: int, reached) -> Data
                 if size >= GATHER_BYTES or any(len(x.number) >= GATHER_WORDS // 2 for x in held.values()):
                     yield from flush()
                     held, size = {}, 0
+                    totals = [_summed(*map(np.concatenate, zip(*totals, strict=True)))] if totals else []
         yield from flush()
-        for number, counts in enumerate(np.concatenate(list(totals.values())).reshape(-1, CHUNK)):
-            if counts.any():
-                blob = zstandard.ZstdCompressor(1).compress(np.minimum(counts, least).astype(kind).tobytes())
+        if totals:
+            slots, counts = _summed(*map(np.concatenate, zip(*totals, strict=True)))
+            counts = np.minimum(counts, least).astype(kind)
+            chunks = slots // CHUNK
+            cuts = np.flatnonzero(np.diff(chunks, prepend=-1, append=-1))
+            for start, stop in zip(cuts[:-1], cuts[1:], strict=True):
+                sparse = (slots[start:stop] % CHUNK).astype(np.uint16).tobytes() + counts[start:stop].tobytes()
                 none = [pa.nulls(1, f.type) for f in _COUNTS][:5]
-                yield pa.record_batch([*none, pa.array([number], pa.int32()), pa.array([blob])], schema=_COUNTS)
+                yield pa.record_batch([*none, pa.array([chunks[start]], pa.int32()), pa.array([sparse])], schema=_COUNTS)
 
     return shard.mapInArrow(run, _DDL)
 
@@ -165,23 +178,25 @@ def _slot_totals(counts: DataFrame, least: int, slots: int) -> np.ndarray:
     kind = np.min_scalar_type(least)
 
     def merge(slices):
-        def packed(total):
-            return zstandard.ZstdCompressor(1).compress(np.minimum(total, least).astype(kind).tobytes())
+        key, total = None, np.zeros(CHUNK, np.int64)
+
+        def done():
+            return {"chunk": [key], "counts": [zstandard.ZstdCompressor(1).compress(np.minimum(total, least).astype(kind).tobytes())]}
 
-        key, total = None, None
         for part in slices:
-            for chunk, blob in zip(part["chunk"], part["counts"], strict=True):
+            for chunk, sparse in zip(part["chunk"], part["counts"], strict=True):
                 if chunk != key:
                     if key is not None:
-                        yield {"chunk": [key], "counts": [packed(total)]}
+                        yield done()
                     key, total = chunk, np.zeros(CHUNK, np.int64)
-                total += np.frombuffer(zstandard.ZstdDecompressor().decompress(blob, max_output_size=CHUNK * kind.itemsize), kind)
+                n = len(sparse) // (2 + kind.itemsize)
+                total[np.frombuffer(sparse, np.uint16, n)] += np.frombuffer(sparse, kind, n, 2 * n)
         if key is not None:
-            yield {"chunk": [key], "counts": [packed(total)]}
+            yield done()
 
     chunks = counts.where("chunk is not null").select("chunk", "counts").repartition("chunk").sortWithinPartitions("chunk")
-    whole = np.zeros((slots // CHUNK, CHUNK), np.int64)
-    for row in map_rows(chunks, merge, "chunk int, counts binary").toLocalIterator():  # a bounded number of rows
+    whole = np.zeros((slots // CHUNK, CHUNK), kind)
+    for row in map_rows(chunks, merge, "chunk int, counts binary").collect():  # at most a byte a slot, compressed
         blob = zstandard.ZstdDecompressor().decompress(bytes(row["counts"]), max_output_size=CHUNK * kind.itemsize)
         whole[row["chunk"]] = np.frombuffer(blob, kind)
     return whole.ravel()
@@ -197,14 +212,15 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, shards: int = SHARDS,
     lang = F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang")
     dealt = docs.select(lang, utf8(F.col("text")).alias("body"), F.pmod(F.monotonically_increasing_id(), F.lit(shards)).cast("int").alias("shard"))
     # One shard after the other, in stored files of its own; a row keeps its shard in each cycle.
-    parts = staged(dealt, "shards", "shard")
-    reach, totals = np.full(word_slots + pair_slots, _NEVER, np.int8), np.zeros(word_slots + pair_slots, np.int64)
+    parts = staged(dealt, "shards", "shard", "zstd")
+    reach, totals = np.full(word_slots + pair_slots, _NEVER, np.int8), np.zeros(word_slots + pair_slots, np.min_scalar_type(2 * least))
     scans, step, last = [], 0, shards - 1
     while step <= last:
         sent = spark.sparkContext.broadcast((reach[:word_slots], reach[word_slots:]))
         shard = parts.where(F.col("shard") == step % shards).select("lang", "body")
-        scans.append(staged(_scan(shard, step, shards, least, sent), "scan"))
+        scans.append(staged(_scan(shard, step, shards, least, sent), "scan", compression="zstd"))
         totals += _slot_totals(scans[-1], least, len(totals))
+        np.minimum(totals, least, out=totals)
         new = (totals >= least) & (reach == _NEVER)
         reach[new] = step
         if new.any():

@@ -43,7 +43,7 @@ def texts(seed):
     return made + ["tic tic tic tac " * 40, "new york city " * 25 + "new york. " * 12, *odd_texts(), None, ""]
 
 
-@pytest.mark.parametrize("slots", [phrases.CHUNK, phrases.WORD_SLOTS])
+@pytest.mark.parametrize("slots", [phrases.CHUNK, 1 << 20])
 @pytest.mark.parametrize(("shards", "least", "top"), [(1, 3, 40), (3, 4, 2000), (5, 10, 7)])
 def test_phrases(spark, slots, shards, least, top):
     rows = [(("en", "fr", None)[i % 3], t, "x", 5) for i, t in enumerate(texts(shards))]
