@@ -470,3 +470,31 @@ ORACLES["link_counts_after_join"] = ORACLES["link_counts"]
 ORACLES["csv_pages"] = ORACLES["extract_pages"]
 ORACLES["csv_links"] = ORACLES["extract_links"]
 ORACLES["csv_redirects"] = ORACLES["extract_redirects"]
+ORACLES["csv_links_one_file"] = ORACLES["extract_links"]
+ORACLES["csv_pages_foreign"] = ORACLES["extract_pages"]
+
+# Walks of 64 steps from a source that runs into a loop end on it; a member comes back to itself.
+_LOOPS = f"""
+looping as ({_LOOPING}),
+ends as (select src, dst from walk where depth = 64 and src in (select src from looping)),
+back as (select src, min(depth) as size from walk where src = dst group by src),
+hops as (select w.src, w.dst, w.depth from walk w join back b on w.src = b.src where w.depth <= b.size),
+members as (
+  select src, min(dst) as loop_id from hops group by src
+),
+placed as (
+  select m.src, m.loop_id, case when m.src = m.loop_id then 0 else h.depth end as place
+  from members m left join hops h on h.src = m.loop_id and h.dst = m.src
+),
+labels as (
+  select e.src, p.loop_id, own.src is not null as on_loop, cast(own.place as bigint) as place
+  from ends e join placed p on p.src = e.dst left join placed own on own.src = e.src
+)
+"""
+ORACLES["looping_part_labels"] = f"with recursive {_PART_EDGES}, {_WALK}, {_LOOPS} select * from labels"
+ORACLES["redirect_loop_titles"] = (
+    f"with recursive {_TARGETS}, {_WALK}, {_LOOPS}, reports as ("
+    f"select l.loop_id, array_agg({_normalize('w.title')} order by l.place) as titles"
+    " from labels l join wiki_pages w on w.id = l.src where l.on_loop group by l.loop_id)"
+    f" select src, loop_id, on_loop, {_array('titles')} as loop_titles from labels join reports using (loop_id)"
+)

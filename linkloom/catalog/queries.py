@@ -12,7 +12,6 @@ from linkloom.functions.literals import to_array_literal, to_int_array_literal
 from linkloom.functions.titles import normalize_title, wikilink_title
 from linkloom.operators import redirects
 from linkloom.operators.annotate import annotate_links
-from linkloom.operators.joins import HOT_ROWS, salting_for
 from linkloom.operators.lineage import cut, scratch_path
 from linkloom.operators.spread import spread
 from linkloom.plans import extract, preview, relations
@@ -61,21 +60,17 @@ def _array_text(df: DataFrame) -> DataFrame:
 
 def normalized_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     links, moved, entities = _web(spark, sf_dir)
-    return relations.normalized_links(
-        links, moved, entities, hot_rows=salting_for(links, HOT_ROWS)
-    )
+    return relations.normalized_links(links, moved, entities)
 
 
 def normalized_links_resolved(spark: SparkSession, sf_dir: str) -> DataFrame:
     links, moved, entities = _web(spark, sf_dir)
-    return relations.normalized_links(
-        links, moved, entities, "target", hot_rows=salting_for(links, HOT_ROWS)
-    )
+    return relations.normalized_links(links, moved, entities, "target")
 
 
 def link_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     links, moved, entities = _web(spark, sf_dir)
-    return relations.count_links(links, moved, entities, hot_rows=salting_for(links, HOT_ROWS))
+    return relations.count_links(links, moved, entities)
 
 
 def link_counts_after_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -183,27 +178,24 @@ def page_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _array_text(preview.preview(_dump(spark, sf_dir)))
 
 
-def _stored(spark: SparkSession, sf_dir: str) -> tuple[extract.Relations, int | None]:
-    """The relations over a stored table, and whether their links are many enough to be salted."""
-    found = extract.stage_relations(_dump(spark, sf_dir), scratch_path(spark, "relations"))
-    return found, salting_for(found.links, HOT_ROWS)
+def _stored(spark: SparkSession, sf_dir: str) -> extract.Relations:
+    """The relations over a stored table."""
+    return extract.stage_relations(_dump(spark, sf_dir), scratch_path(spark, "relations"))
 
 
 def wiki_normalized_links(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found, hot = _stored(spark, sf_dir)
-    return relations.normalized_links(found.links, found.redirects, found.pages, "target", hot)
+    found = _stored(spark, sf_dir)
+    return relations.normalized_links(found.links, found.redirects, found.pages, "target")
 
 
 def wiki_link_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found, hot = _stored(spark, sf_dir)
-    return relations.count_links(found.links, found.redirects, found.pages, hot)
+    found = _stored(spark, sf_dir)
+    return relations.count_links(found.links, found.redirects, found.pages)
 
 
 def wiki_aggregate_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found, hot = _stored(spark, sf_dir)
-    normalized = relations.normalized_links(
-        found.links, found.redirects, found.pages, hot_rows=hot
-    )
+    found = _stored(spark, sf_dir)
+    normalized = relations.normalized_links(found.links, found.redirects, found.pages)
     return _array_text(relations.aggregate_pages(found.pages, normalized))
 
 
@@ -263,6 +255,17 @@ def redirect_loops(spark: SparkSession, sf_dir: str) -> DataFrame:
     return redirects.redirect_loops(redirects.redirect_edges(pages), pages)
 
 
+def redirect_loop_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each source that runs into a loop, with the loop's titles in order."""
+    pages = _wiki_pages(spark, sf_dir)
+    return _array_text(redirects.redirect_loop_members(redirects.redirect_edges(pages), pages))
+
+
+def looping_part_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    edges = inputs.part_edges(inputs.table(spark, sf_dir, "part"))
+    return redirects.label_loops(redirects.close_redirects(edges).looping)
+
+
 def redirect_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The size of each part of the statistics, as rows `(part, n)`."""
     stats = collect_stats(_wiki_pages(spark, sf_dir))
@@ -303,6 +306,20 @@ def csv_links_in_ten_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sources.read_links_csv(spark, path)
 
 
+def csv_links_one_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A file of another program, read by many tasks."""
+    path = scratch_path(spark, "csv")
+    sinks.write_csv(extract.extract(_dump(spark, sf_dir)).links, path, chunks=1, foreign=True)
+    return sources.read_links_csv(spark, path, foreign=True)
+
+
+def csv_pages_foreign(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of another program whose texts hold line ends."""
+    path = scratch_path(spark, "csv")
+    sinks.write_csv(extract.extract(_dump(spark, sf_dir)).pages, path, foreign=True)
+    return _array_text(sources.read_pages_csv(spark, path, foreign=True))
+
+
 def wiki_pages_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "wiki_pages")
     sinks.save_parquet(wiki_pages(spark, sf_dir), path)
@@ -386,6 +403,8 @@ QUERIES: dict[str, Query] = {
         unresolved_redirects,
         resolved_redirects,
         redirect_loops,
+        redirect_loop_titles,
+        looping_part_labels,
         redirect_stats,
         resolved_part_chains,
         looping_part_chains,
@@ -397,6 +416,8 @@ QUERIES: dict[str, Query] = {
         dump_count_with_broken_pages,
         dump_wiki_pages,
         csv_links_in_ten_files,
+        csv_links_one_file,
+        csv_pages_foreign,
         wiki_pages_parquet,
         extract_pages_without_links,
         extract_links_site_names,

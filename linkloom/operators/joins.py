@@ -5,8 +5,13 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A key with this many rows is spread over several tasks. At most rows/HOT_ROWS keys can be hot.
+# A key with this many rows is spread over several tasks.
 HOT_ROWS = 5_000_000
+# Keys that the sketch follows: it finds every key with more than about a 7000th of all rows, so a
+# hot list is at most that long.
+SKETCH_KEYS = 1 << 16
+# Sketches are merged in this many groups before they meet in one task.
+SKETCH_GROUPS = 256
 
 _HASH, _SALTS, _SALT = "_key_hash", "_salts", "_salt"
 
@@ -14,41 +19,49 @@ _HASH, _SALTS, _SALT = "_key_hash", "_salts", "_salt"
 def hot_keys(df: DataFrame, key: str, hot_rows: int) -> DataFrame:
     """Hash of each key with more than `hot_rows` rows, and how many salts it takes.
 
-    Only the key column is read, and the count is combined before its shuffle. Keys that share a
-    hash share a row, which may salt one of them needlessly and changes no result.
+    One pass over the key column: each task keeps a sketch of frequent hashes, and sketches merge.
+    The list is bounded by the sketch and comes as local rows. Its counts may be a little off,
+    which changes the number of salts and no result; keys that share a hash share a row.
     """
-    return (
-        df.groupBy(F.xxhash64(key).alias(_HASH))
-        .agg(F.count("*").alias("_rows"))
-        .where(F.col("_rows") > hot_rows)
-        .select(_HASH, F.ceil(F.col("_rows") / hot_rows).cast("int").alias(_SALTS))
+    sketches = df.groupBy(F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS)).alias("_group")).agg(
+        F.expr(f"approx_top_k_accumulate(xxhash64(`{key}`), {SKETCH_KEYS})").alias("sketch")
     )
-
-
-def salting_for(df: DataFrame, hot_rows: int | None) -> int | None:
-    """`hot_rows`, or None where the stored `df` is too small to hold a hot key at all."""
-    return hot_rows if hot_rows is not None and df.count() > hot_rows else None
+    # Grouped by one value: without a group, tasks that have no rows fail to send their empty sketch.
+    merged = sketches.groupBy(F.col("_group") >= 0).agg(
+        F.expr(f"approx_top_k_combine(sketch, {SKETCH_KEYS})").alias("sketch")
+    )
+    top = merged.select(F.explode(F.expr(f"approx_top_k_estimate(sketch, {SKETCH_KEYS})")).alias("top"))
+    found = top.where(F.col("top.count") > hot_rows).select("top.item", "top.count").collect()
+    rows = [(item, -(-count // hot_rows)) for item, count in found]
+    return df.sparkSession.createDataFrame(rows, f"{_HASH} long, {_SALTS} int")
 
 
 def salted_left_join(
-    left: DataFrame, rights: Sequence[DataFrame], key: str, hot_rows: int | None = HOT_ROWS
+    left: DataFrame,
+    rights: Sequence[DataFrame],
+    key: str,
+    hot_rows: int | None = HOT_ROWS,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """`left` left-joined with each of `rights` on the column `key`, as plain SQL joins it.
 
     A hot key's rows on the left are split by a hash of the row, and the rows of that key on the
     right are repeated once per part. All joins use one key, so the left side is shuffled once.
+    The list of hot keys is short and is broadcast, so that no hot key is shuffled before it is
+    salted. `hot` is that list where `hot_keys` of a table with the same keys has it already.
     `hot_rows=None` leaves skew to adaptive execution.
     """
-    if hot_rows is None:
+    if hot is None and hot_rows is not None:
+        hot = hot_keys(left, key, hot_rows)
+    if hot is None or hot.isEmpty():
         for right in rights:
             left = left.join(right, key, "left")
         return left
 
     columns = left.columns
-    # No hint: how the list is joined follows from its size, which `hot_rows` decides.
-    hot = hot_keys(left, key, hot_rows)
     # A stored hash and not a random number: a task that runs again must salt alike.
     row_hash = F.xxhash64(*columns)
+    hot = F.broadcast(hot)
     salted = left.join(hot, F.xxhash64(key) == F.col(_HASH), "left").select(
         *columns, F.coalesce(F.pmod(row_hash, F.col(_SALTS)).cast("int"), F.lit(0)).alias(_SALT)
     )

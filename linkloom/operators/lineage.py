@@ -30,6 +30,19 @@ def cut(df: DataFrame, name: str = "stage") -> DataFrame:
 
     Unlike a checkpoint, the table is read by column and its size is known to the planner.
     """
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    return stored(df, scratch_path(df.sparkSession, name))
+
+
+def stored(df: DataFrame, path: str) -> DataFrame:
+    """Add the rows of `df` to the table at `path` and read them all from there."""
+    df.write.mode("append").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Remove a table of the shared folder that nobody reads any more."""
+    if not path.startswith(f"{shared_dir(spark)}/"):
+        raise ValueError(f"{path} is not in the shared folder")
+    jvm = spark.sparkContext._jvm
+    found = jvm.org.apache.hadoop.fs.Path(path)
+    found.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(found, True)

@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linkloom.operators.joins import HOT_ROWS, salted_left_join
+from linkloom.operators.joins import HOT_ROWS, hot_keys, salted_left_join
 
 UNRESOLVED = -1
 
@@ -66,9 +66,10 @@ def count_links(
     link costs a row per task and not a row per use. A title that several pages hold multiplies
     its links; the pages therefore enter as a number of copies per title.
     """
+    hot = None if hot_rows is None else hot_keys(links, "title", hot_rows)
     counted = links.groupBy("surface", "title").agg(F.count("surface").alias("n"))
     copies = pages.groupBy("title").agg(F.count("*").alias("copies")).where("copies > 1")
-    joined = salted_left_join(counted, [redirects, copies], "title", hot_rows)
+    joined = salted_left_join(counted, [redirects, copies], "title", None, hot)
     return joined.groupBy("surface", F.coalesce("target", "title").alias("title")).agg(
         F.sum(F.col("n") * F.coalesce("copies", F.lit(1))).alias("n")
     )

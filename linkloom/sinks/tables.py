@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from linkloom.functions.literals import to_array_literal, to_int_array_literal
-from linkloom.sources.tables import CSV_OPTIONS, NULL_MARK
+from linkloom.sources.tables import CSV_OPTIONS, NULL_MARK, escape
 
 
 def encode_field(c: Column, dtype: T.DataType) -> Column:
@@ -14,19 +14,28 @@ def encode_field(c: Column, dtype: T.DataType) -> Column:
         text = to_int_array_literal(c) if integers else to_array_literal(c)
     else:
         text = c.cast("string")
-    escaped = F.when(F.startswith(text, F.lit("\\")), F.concat(F.lit("\\"), text))
-    return F.coalesce(escaped, text, F.lit(NULL_MARK))
+    return F.coalesce(escape(text), F.lit(NULL_MARK))
+
+
+def foreign_field(c: Column, dtype: T.DataType) -> Column:
+    """A field as programs write it that know no escapes: line ends as they are, NULL as a word."""
+    if isinstance(dtype, T.ArrayType):
+        integers = isinstance(dtype.elementType, (T.IntegerType, T.LongType))
+        c = to_int_array_literal(c) if integers else to_array_literal(c)
+    return F.coalesce(c.cast("string"), F.lit("null"))
 
 
 def write_csv(
-    df: DataFrame, path: str, chunks: int | None = None, mode: str = "error"
+    df: DataFrame, path: str, chunks: int | None = None, mode: str = "error", foreign: bool = False
 ) -> None:
     """Write files without a header, fields quoted where needed.
 
     `chunks` asks for that many files, each written by one task: ten will do for a small dump.
-    Without it every partition of `df` writes its own, and nothing is shuffled.
+    Without it every partition of `df` writes its own, and nothing is shuffled. `foreign` files are
+    for programs that know no escapes.
     """
-    rows = df.select(*[encode_field(F.col(f.name), f.dataType).alias(f.name) for f in df.schema])
+    encode = foreign_field if foreign else encode_field
+    rows = df.select(*[encode(F.col(f.name), f.dataType).alias(f.name) for f in df.schema])
     if chunks is not None:
         rows = rows.repartition(chunks)
     rows.write.mode(mode).options(**CSV_OPTIONS).csv(path)

@@ -9,24 +9,44 @@ from pyspark.sql import types as T
 
 from linkloom import schemas
 from linkloom.functions.literals import from_array_literal, from_int_array_literal
+from linkloom.operators.once import with_fields
+from linkloom.sources.records import read_records
 
-# A CSV field cannot tell NULL from '': NULL is written as this mark, and a text that starts with
-# the mark's first character gets that character once more in front.
+# A CSV field cannot tell NULL from '': NULL is written as this mark. Backslashes are doubled and
+# line ends written as below, so that a record is a line and a file splits among tasks at any line.
 NULL_MARK = "\\N"
+LINE_ENDS = {"\n": "\\n", "\r": "\\r"}
 CSV_OPTIONS = {
     "quote": '"',
     "escape": '"',
-    "multiLine": "true",
     "emptyValue": "",
     "ignoreLeadingWhiteSpace": "false",
     "ignoreTrailingWhiteSpace": "false",
 }
 
 
+def escape(c: Column) -> Column:
+    c = F.replace(c, F.lit("\\"), F.lit("\\\\"))
+    for plain, written in LINE_ENDS.items():
+        c = F.replace(c, F.lit(plain), F.lit(written))
+    return c
+
+
+def unescape(c: Column) -> Column:
+    def line_ends(part: Column) -> Column:
+        for plain, written in LINE_ENDS.items():
+            part = F.replace(part, F.lit(written), F.lit(plain))
+        return part
+
+    # Between doubled backslashes a single one begins a line end.
+    parts = F.transform(F.split(c, r"\\\\", -1), line_ends)
+    return F.when(F.contains(c, F.lit("\\")), F.array_join(parts, "\\")).otherwise(c)
+
+
 def decode_field(c: Column, dtype: T.DataType) -> Column:
     # An empty field comes back as NULL; the mark is the only NULL written.
     c = F.coalesce(c, F.lit(""))
-    plain = F.when(F.startswith(c, F.lit("\\\\")), F.substr(c, F.lit(2))).otherwise(c)
+    plain = unescape(c)
     if isinstance(dtype, T.ArrayType):
         integers = isinstance(dtype.elementType, (T.IntegerType, T.LongType))
         array = from_int_array_literal if integers else from_array_literal
@@ -48,11 +68,16 @@ def _read_csv(
 ) -> DataFrame:
     """`path` may be a folder, a glob or a list: chunk files simply add up.
 
-    `foreign` is for files that other programs wrote: their fields hold no NULL mark and no escapes.
+    `foreign` is for files that other programs wrote: their fields hold no NULL mark and no escapes,
+    and may hold line ends between quotes. Both kinds of files split among tasks.
     """
     decode = plain_field if foreign else decode_field
     text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema])
-    raw = spark.read.options(**CSV_OPTIONS).schema(text).csv(path)
+    if foreign:
+        fields = F.from_csv("record", text.simpleString()[7:-1].replace(":", " "), {**CSV_OPTIONS, "multiLine": "true"})
+        raw = with_fields(read_records(spark, path), fields, keep=())
+    else:
+        raw = spark.read.options(**CSV_OPTIONS).schema(text).csv(path)
     return raw.select(*[decode(F.col(f.name), f.dataType).alias(f.name) for f in schema])
 
 

@@ -4,7 +4,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from linkloom.operators.joins import hot_keys, salted_left_join, salting_for
+from linkloom.operators.joins import hot_keys, salted_left_join
 
 
 def rows_of(df):
@@ -55,11 +55,40 @@ def test_key_column_last(spark):
     assert rows_of(got.select("v", "k", "x")) == Counter({(1, "a", 9): 1, (2, "a", 9): 1})
 
 
-def test_small_input_needs_no_salting(sides):
-    left, _, _ = sides
-    assert salting_for(left, 900) is None
-    assert salting_for(left, 899) == 899
-    assert salting_for(left, None) is None
+def test_nothing_hot_is_a_plain_join(sides):
+    left, one, _ = sides
+    assert hot_keys(left, "k", 300).isEmpty()
+    plan = salted_left_join(left, [one], "k", 300)._jdf.queryExecution().optimizedPlan().toString()
+    assert "_salt" not in plan
+
+
+def test_sketch_finds_a_third_of_the_rows_in_one_pass(spark):
+    """Among more distinct keys than the sketch follows."""
+    left = spark.range(0, 900_000, 1, 8).selectExpr("if(id % 3 = 0, 'hot', concat('k', id)) as k", "id as v")
+    found = [tuple(r) for r in hot_keys(left, "k", 10_000).collect()]
+    key = spark.sql("select xxhash64('hot')").first()[0]
+    assert [k for k, _ in found] == [key] and 25 <= found[0][1] <= 31
+    right = spark.createDataFrame([("hot", "a"), ("k1", "b"), ("k1", "c")], "k string, x string")
+    got = salted_left_join(left, [right], "k", 10_000)
+    assert got.count() == 900_001 and got.where("x is not null").count() == 300_002
+    # The rows of the hot key are dealt to many tasks.
+    salted = salted_left_join(left, [right], "k", 10_000).where("k = 'hot'")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        tasks = salted_left_join(left, [right], "k", 10_000).where("k = 'hot'").groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert salted.count() == 300_000
+    assert len(tasks) > 4 and max(r["count"] for r in tasks) < 150_000
+
+
+def test_hot_list_of_another_table(sides):
+    left, one, two = sides
+    hot = hot_keys(left, "k", 50)
+    plain = left.join(one, "k", "left")
+    assert rows_of(salted_left_join(left, [one], "k", None, hot)) == rows_of(plain)
 
 
 def test_left_side_is_shuffled_once(spark, sides):

@@ -2,11 +2,14 @@ import random
 
 import pytest
 
-from linkloom.operators.lineage import cut, shared_dir
+from linkloom.operators.lineage import cut, discard, shared_dir
 from linkloom.operators.redirects import (
     article_count,
+    close_redirects,
     follow_redirects,
+    label_loops,
     redirect_edges,
+    redirect_loop_members,
     redirect_loops,
     redirect_targets,
     resolve_redirects,
@@ -61,6 +64,67 @@ def test_only_loops(spark):
     assert follow(spark, [(1, 2), (2, 3), (3, 1)], None) == ({}, {1, 2, 3})
 
 
+def tables(spark):
+    from pathlib import Path
+
+    return {p.name for p in Path(spark.conf.get("spark.checkpoint.dir")).iterdir()}
+
+
+def test_rounds_shrink_and_leave_only_the_result(spark):
+    # One long chain, many short ones, a loop.
+    edges = [(i, i + 1) for i in range(200)] + [(1000 + 2 * i, 1001 + 2 * i) for i in range(500)] + [(5000, 5001), (5001, 5000)]
+    before = tables(spark)
+    found = close_redirects(spark.createDataFrame(edges, "src long, dst long"), None)
+    assert {r.src: r.dst for r in found.resolved.collect()} == walk(edges)[0]
+    assert {tuple(r) for r in found.looping.collect()} == {(5000, 5001), (5001, 5000)}
+    read = [a + b for a, b in found.rounds]
+    assert read == sorted(read, reverse=True) and read[0] < 2 * 202 and read[-1] < read[0] // 2
+    left = {n.rsplit("-", 5)[0] for n in tables(spark) - before}
+    assert left == {"resolved", "loops"}
+
+
+def cycles(edges):
+    """Loop id, members in order from the smallest, by plain walks."""
+    step, out = dict(edges), {}
+    for src in walk(edges)[1]:
+        at = src
+        for _ in range(len(step)):
+            at = step[at]
+        loop = [at]
+        while step[loop[-1]] != at:
+            loop.append(step[loop[-1]])
+        k = loop.index(min(loop))
+        loop = loop[k:] + loop[:k]
+        out[src] = (loop[0], src in loop, loop.index(src) if src in loop else None)
+    return out
+
+
+@pytest.mark.parametrize("hot_rows", [None, 30])
+@pytest.mark.parametrize("seed", range(2))
+def test_labels_of_loops(spark, seed, hot_rows):
+    rng = random.Random(seed)
+    edges = [(s, rng.randrange(80)) for s in range(80)]
+    ring = rng.sample(range(1000, 1100), 37)
+    edges += list(zip(ring, ring[1:] + ring[:1], strict=True)) + [(2000, 2000)]
+    # A long tail and a third of all sources onto one id of the ring.
+    edges += [(3000 + i, 3001 + i) for i in range(60)] + [(3060, ring[5])] + [(4000 + i, ring[7]) for i in range(90)]
+    df = spark.createDataFrame(edges, "src long, dst long")
+    before = tables(spark)
+    got = label_loops(close_redirects(df, hot_rows).looping, hot_rows)
+    assert {r.src: (r.loop_id, r.on_loop, r.place) for r in got.collect()} == cycles(edges)
+    assert {n.rsplit("-", 5)[0] for n in tables(spark) - before} == {"resolved", "loops", "labels"}
+
+
+def test_no_loops_to_label(spark):
+    assert label_loops(spark.createDataFrame([], "src long, dst long")).collect() == []
+
+
+def test_only_own_tables_are_removed(spark, tmp_path):
+    with pytest.raises(ValueError):
+        discard(spark, str(tmp_path))
+    assert tmp_path.exists()
+
+
 WIKI = [
     (1, "alpha", None, "text"),
     (2, "beta", None, "#REDIRECT [[alpha]]"),
@@ -98,6 +162,13 @@ def test_resolved_and_loops(wiki):
     assert {tuple(r) for r in redirect_loops(edges, wiki).collect()} == {(8, "Theta"), (9, "Iota")}
 
 
+def test_loop_members(wiki):
+    got = redirect_loop_members(redirect_edges(wiki), wiki)
+    assert {(r.src, r.loop_id, r.on_loop, tuple(r.loop_titles)) for r in got.collect()} == {
+        (8, 8, True, ("Theta", "Iota")), (9, 8, True, ("Theta", "Iota")),
+    }
+
+
 def test_collect_stats(wiki):
     stats = collect_stats(wiki)
     assert stats.articles.first().articles == stats.titles.count() == 9
