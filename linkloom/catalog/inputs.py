@@ -182,30 +182,57 @@ def wikitext(documents: DataFrame) -> DataFrame:
     return with_fields(documents, page, keep=())
 
 
-# Three brackets, many nested links, rare and long-winded entities, blank surfaces; then the text's
-# own words, letters and digits only.
+# Three brackets, many nested links, rare and long-winded entities, blank surfaces; then the whole
+# text without the characters that are markup.
 ODD_MARKUP = (
     "x[[[File:p.png|" + "[[a]] " * 60 + "]]]y &forall;&#00000233;&#x00000e9;&thetasym; "
     "[[b|\u3000]][[c|&emsp;]][[d|&nbsp;]] "
 )
 
 
-# A site whose file and category namespaces have names of their own.
-SITE_NAMES = [(0, None), (6, "Datei"), (14, "Kategorie")]
+# A site that names its file and category namespaces itself and has one for each language of its
+# articles. Every fifth page is in one of those.
 SITE_MARKUP = "[[Datei:x.png|thumb|[[a]]]] [[Kategorie:K]] [[b]] "
+SITE_TITLE = "case when doc_id % 5 = 0 then concat('Raum ', coalesce(lang, 'x'), ':T') else 'T' end"
+MARKUP_CHARACTERS = r"[\[\]{}<>&''=*#:;|!]"
+PLAIN_TEXT = f"regexp_replace(coalesce(text, ''), '{MARKUP_CHARACTERS}', '', 'g')"
 
 
-def odd_markup(documents: DataFrame, markup: str = ODD_MARKUP) -> DataFrame:
-    """Dump pages `(id, ns, title, text)` of the articles' words behind some markup."""
-    words = F.regexp_replace(F.coalesce("text", F.lit("")), "[^a-zA-Z0-9 ]", "")
+def odd_markup(documents: DataFrame, markup: str = ODD_MARKUP, title: str = "'T'") -> DataFrame:
+    """Dump pages `(id, ns, title, text)` of the articles' text behind some markup."""
+    plain = F.regexp_replace(F.coalesce("text", F.lit("")), MARKUP_CHARACTERS, "")
     return documents.select(
         F.col("doc_id").alias("id"),
         F.lit(0).alias("ns"),
-        F.lit("T").alias("title"),
-        F.concat(F.lit(markup), words).alias("text"),
+        F.expr(title).alias("title"),
+        F.concat(F.lit(markup), plain).alias("text"),
     )
 
 
+def site_header(documents: DataFrame) -> Column:
+    """The header of the site's dump, as a scalar subquery over its articles."""
+    lang = F.coalesce("lang", F.lit("x"))
+    space = F.format_string(
+        '      <namespace key="%d" case="first-letter">Raum %s</namespace>\n',
+        F.ascii(lang) * 256 + F.ascii(F.substr(lang, F.lit(2))), lang,
+    )
+    own = (
+        '<mediawiki xml:lang="en">\n  <siteinfo>\n    <namespaces>\n      <namespace key="0" case="first-letter" />\n'
+        '      <namespace key="6" case="first-letter">Datei</namespace>\n'
+        '      <namespace key="14" case="first-letter">Kategorie</namespace>\n'
+    )
+    spaces = F.array_join(F.array_sort(F.collect_set(space)), "")
+    return documents.agg(F.concat(F.lit(own), spaces, F.lit("    </namespaces>\n  </siteinfo>\n"))).scalar()
+
+
+# A closing mark too many, and text that it takes along up to the next template.
+STRAY = "case when id % 4 = 1 then 'a }} b {{c}} d ' || text else text end"
+
+
+def stray_braces(dump: DataFrame) -> DataFrame:
+    return dump.withColumn("text", F.expr(STRAY))
+
+
 def wiki_pages(dump: DataFrame) -> DataFrame:
     """`wiki_pages` rows whose `html` is missing from four in five."""
     return dump.selectExpr(*select_list(WIKI_PAGES)).withColumn("html", F.col("html").cast("string"))

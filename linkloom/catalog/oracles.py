@@ -7,7 +7,15 @@ chains by a recursive query with a depth bound.
 
 from collections.abc import Callable
 
-from linkloom.catalog.inputs import TITLE, WIKI_PAGES, WIKITEXT, select_list
+from linkloom.catalog.inputs import (
+    PLAIN_TEXT,
+    SITE_TITLE,
+    STRAY,
+    TITLE,
+    WIKI_PAGES,
+    WIKITEXT,
+    select_list,
+)
 from linkloom.functions.meta import DISAMBIGUATION_TEMPLATES
 from linkloom.functions.predicates import LINK_NAMESPACES, SPECIAL_PREFIXES
 
@@ -451,21 +459,30 @@ ORACLES["csv_links_in_ten_files"] = ORACLES["extract_links"]
 ORACLES["extract_pages_without_links"] = (
     f"with {_EXTRACT} select page_id, content, cast(0 as int) as n_links from wiki_pages_rel"
 )
-# Worked out by hand: the image and the category render nothing.
+# Worked out by hand: the image and the category render nothing, pages in the site's own namespaces
+# have no text.
 ORACLES["extract_links_site_names"] = """
   select doc_id as page_id, cast(3 as int) as char_start, cast(4 as int) as char_end, 'b' as surface,
     'B' as title
-  from documents
+  from documents where doc_id % 5 <> 0
+"""
+ORACLES["namespace_scan"] = """
+  select * from (values (0, null), (6, 'Datei'), (14, 'Kategorie')) as t(ns, name)
+  union all select distinct cast(ascii(coalesce(lang, 'x')) * 256 + ascii(substr(coalesce(lang, 'x'), 2)) as int),
+    concat('Raum ', coalesce(lang, 'x')) from documents
 """
+ORACLES["special_titles_of_site"] = (
+    f"select doc_id as id, {SITE_TITLE} as title, doc_id % 5 = 0 as is_special from documents"
+)
 # Worked out by hand: the image link is gone, one bracket on each side stays; of the three blank
 # surfaces only the no-break space is a link.
 ORACLES["odd_markup"] = """
   select doc_id as id,
     'x[]y ' || chr(8704) || chr(233) || chr(233) || chr(977) || '  ' || chr(12288) || '  ' || chr(8195) || '  '
-      || chr(160) || '  ' || regexp_replace(coalesce(text, ''), '[^a-zA-Z0-9 ]', '', 'g') as content,
+      || chr(160) || '  ' || {plain} as content,
     cast(17 as int) as char_start, cast(18 as int) as char_end, chr(160) as surface, 'd' as link
   from documents
-"""
+""".format(plain=PLAIN_TEXT)
 ORACLES["link_counts_after_join"] = ORACLES["link_counts"]
 ORACLES["csv_pages"] = ORACLES["extract_pages"]
 ORACLES["csv_links"] = ORACLES["extract_links"]
@@ -498,3 +515,44 @@ ORACLES["redirect_loop_titles"] = (
     " from labels l join wiki_pages w on w.id = l.src where l.on_loop group by l.loop_id)"
     f" select src, loop_id, on_loop, {_array('titles')} as loop_titles from labels join reports using (loop_id)"
 )
+
+ORACLES["dump_counts_while_extracting"] = ORACLES["dump_count_with_broken_pages"]
+_NUMBER = "row_number() over (order by id) - 1"
+ORACLES["page_numbers"] = (
+    f"with {_DUMP} select id, {_NUMBER} as number, cast(({_NUMBER}) % 10 as int) as chunk from dump"
+)
+ORACLES["csv_links_in_chunks"] = (
+    f"with {_EXTRACT}, numbers as (select id, {_NUMBER} as number from dump)"
+    f" select {_LINK_COLUMNS}, cast(number % 10 as int) as chunk from wiki_links join numbers on id = page_id"
+)
+ORACLES["pages_by_callback"] = (
+    f"with {_EXTRACT}, numbers as (select id, {_NUMBER} as number from dump),"
+    " sizes as (select page_id, count(*) as n from wiki_links group by page_id)"
+    " select number, a.page_id, cast(coalesce(n, 0) as int) as n_links,"
+    " cast(length(content) as int) as n_chars"
+    " from annotated a join numbers on id = a.page_id left join sizes s on s.page_id = a.page_id"
+)
+# Behind a closing mark too many the depth is -1 outside of templates and 0 inside: text goes, and what
+# stands in a template stays, but for the templates in it.
+_INSIDE = r"\{\{((?:[^{}]|\{\{[^{}]*\}\})*)\}\}"
+_STRICT = (
+    rf"'a ' || array_to_string(list_transform(regexp_extract_all("
+    rf"regexp_replace(text, '\|\s*\{{\{{transl\}}\}}\s*\]\]', '|]]', 'g'), '{_INSIDE}', 1),"
+    rf" lambda b: regexp_replace(b, '{_TEMPLATE[0]}', '', 'g')), '')"
+)
+ORACLES["extract_pages_strict_depth"] = "with {} select * from wiki_pages_rel".format(
+    _EXTRACT.replace("dump as (select", "raw as (select", 1)
+    .replace(" from documents)", f" from documents), dump as (select * replace ({STRAY} as text) from raw)", 1)
+    .replace(" then text else ''", f" then case when id % 4 = 1 then {_STRICT} else text end else ''", 1)
+)
+ORACLES["aggregate_pages_bucketed"] = ORACLES["wiki_aggregate_pages"]
+ORACLES["first_wiki_pages"] = f"{ORACLES['wiki_pages']} order by id limit 5"
+ORACLES["redirect_stats_rows"] = (
+    f"with recursive {_TARGETS}, {_WALK}"
+    " select 'titles' as part, id, cast(null as bigint) as other, title from title_map"
+    " union all select 'redirects', src, dst, null from resolved"
+    f" union all select 'loops', l.src, null, {_normalize('w.title')} from ({_LOOPING}) l"
+    " left join wiki_pages w on l.src = w.id"
+    " union all select 'unresolved', src, null, title from targets"
+    " where dst is null and not regexp_matches(title, '[#:]')"
+)

@@ -1,8 +1,11 @@
 """Registered queries: name -> function of the session and the data folder."""
 
+import uuid
 from collections.abc import Callable
 from functools import reduce
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -199,6 +202,12 @@ def wiki_aggregate_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _array_text(relations.aggregate_pages(found.pages, normalized))
 
 
+def extract_pages_strict_depth(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Templates by the exact counter: a closing mark too many takes text with it."""
+    found = extract.extract(inputs.stray_braces(_dump(spark, sf_dir)), strict_depth=True)
+    return _array_text(found.pages)
+
+
 def extract_pages_without_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same text, and no links at all."""
     annotated = extract.annotate_dump(_dump(spark, sf_dir), with_links=False)
@@ -217,10 +226,22 @@ def odd_markup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def extract_links_site_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The links of a dump whose site names its own file and category namespaces."""
-    documents = spread(inputs.table(spark, sf_dir, "documents"), "doc_id")
-    names = spark.createDataFrame(inputs.SITE_NAMES, "ns int, name string")
-    found = extract.extract(inputs.odd_markup(documents, inputs.SITE_MARKUP), namespaces=names)
-    return found.links
+    path = _write_site(spark, sf_dir)
+    names = dumps.read_namespaces(spark, path)
+    return extract.extract(dumps.read_dump(spark, path), namespaces=names).links
+
+
+def namespace_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dumps.read_namespaces(spark, _write_site(spark, sf_dir))
+
+
+def special_titles_of_site(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = _write_site(spark, sf_dir)
+    names = dumps.namespace_names(dumps.read_namespaces(spark, path))
+    title = F.col("title")
+    return dumps.read_dump(spark, path).select(
+        "id", "title", predicates.is_special_title(title, names).alias("is_special")
+    )
 
 
 # Redirect statistics
@@ -266,6 +287,19 @@ def looping_part_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return redirects.label_loops(redirects.close_redirects(edges).looping)
 
 
+def redirect_stats_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The statistics themselves, as rows `(part, id, other, title)`."""
+    stats = collect_stats(_wiki_pages(spark, sf_dir))
+    none, number = F.lit(None).cast("string"), F.lit(None).cast("long")
+    parts = [
+        stats.titles.select(F.lit("titles").alias("part"), "id", number.alias("other"), "title"),
+        stats.redirects.select(F.lit("redirects"), "src", "dst", none),
+        stats.loops.select(F.lit("loops"), "src", number, "title"),
+        stats.unresolved.select(F.lit("unresolved"), "src", number, "title"),
+    ]
+    return reduce(DataFrame.union, parts)
+
+
 def redirect_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The size of each part of the statistics, as rows `(part, n)`."""
     stats = collect_stats(_wiki_pages(spark, sf_dir))
@@ -326,14 +360,49 @@ def wiki_pages_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sources.read_wiki_pages(spark, path)
 
 
+def first_wiki_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first rows of the stored table by id, for a first look."""
+    path = scratch_path(spark, "wiki_pages")
+    sinks.save_parquet(wiki_pages(spark, sf_dir), path)
+    return sources.read_wiki_pages(spark, path, limit=5, order="id")
+
+
+def aggregate_pages_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages and links saved as tables bucketed alike, joined and grouped where they lie."""
+    found = _stored(spark, sf_dir)
+    normalized = relations.normalized_links(found.links, found.redirects, found.pages)
+    tables = []
+    for name, df in (("pages", found.pages), ("links", normalized)):
+        table = f"bucketed_{name}_{uuid.uuid4().hex}"
+        sinks.save_table(df, table, "page_id", 8)
+        tables.append(spark.table(table))
+    return _array_text(relations.aggregate_pages(*tables))
+
+
 def csv_redirects(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "csv")
     sinks.write_csv(extract.extract(_dump(spark, sf_dir)).redirects, path)
     return sources.read_redirects_csv(spark, path)
 
 
-def _write_xml(spark: SparkSession, sf_dir: str, broken: str = "false") -> str:
-    """The wikitext pages as a compressed XML dump, a part per task; `broken` ones lose a mark."""
+def _write_site(spark: SparkSession, sf_dir: str) -> str:
+    """A dump whose header has the names of the site's namespaces."""
+    documents = inputs.table(spark, sf_dir, "documents")
+    pages = inputs.odd_markup(documents, inputs.SITE_MARKUP, inputs.SITE_TITLE)
+    return _write_xml(spark, sf_dir, pages=pages, header=inputs.site_header(documents))
+
+
+def _write_xml(
+    spark: SparkSession,
+    sf_dir: str,
+    broken: str = "false",
+    pages: DataFrame | None = None,
+    header: Column | None = None,
+) -> str:
+    """Pages, else the wikitext pages, as a compressed XML dump, a part per task; `broken` ones lose a mark.
+
+    Every part begins with the header.
+    """
 
     def escaped(name: str) -> Column:
         c = F.replace(F.col(name), F.lit("&"), F.lit("&amp;"))
@@ -350,7 +419,11 @@ def _write_xml(spark: SparkSession, sf_dir: str, broken: str = "false") -> str:
         F.coalesce(escaped("text"), F.lit("")),
     )
     page = F.when(F.expr(broken), F.replace(page, F.lit("</ns>"), F.lit(""))).otherwise(page)
-    _dump(spark, sf_dir).select(page.alias("value")).write.option("compression", "bzip2").text(path)
+    if header is not None:
+        first = F.monotonically_increasing_id() % (1 << 33) == 0
+        page = F.concat(F.when(first, header).otherwise(""), page)
+    pages = _dump(spark, sf_dir) if pages is None else pages
+    pages.select(page.alias("value")).write.option("compression", "bzip2").text(path)
     return path
 
 
@@ -367,6 +440,48 @@ def dump_count_with_broken_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dumps.count_pages(spark, _write_xml(spark, sf_dir, "id % 9 = 4"))
 
 
+def dump_counts_while_extracting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same counts, taken by the job that extracts the relations."""
+    path = _write_xml(spark, sf_dir, "id % 9 = 4")
+    _, counts = extract.write_dump(spark, path, scratch_path(spark, "relations"))
+    return spark.createDataFrame([(counts["pages"], counts["corrupt"])], "pages long, corrupt long")
+
+
+def _numbered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pages of a dump in the order of their ids, with their numbers."""
+    path = _write_xml(spark, sf_dir, pages=_dump(spark, sf_dir).orderBy("id"))
+    return dumps.number_pages(dumps.read_dump(spark, path, keep_split=True))
+
+
+def page_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    number = F.col("number")
+    return _numbered(spark, sf_dir).select("id", "number", (number % 10).cast("int").alias("chunk"))
+
+
+def csv_links_in_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links in ten folders by the number of their page."""
+    path = scratch_path(spark, "chunks")
+    extract.write_chunks(extract.extract(_numbered(spark, sf_dir)), path)
+    chunks = [
+        sources.read_links_csv(spark, f"{path}/links/chunk={k}").withColumn("chunk", F.lit(k))
+        for k in range(10)
+    ]
+    return reduce(DataFrame.union, chunks)
+
+
+def pages_by_callback(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A caller's own function of each page, with its number, text and links."""
+
+    def measure(pages: pa.RecordBatch) -> pa.RecordBatch:
+        size = pc.coalesce(pc.list_value_length(pages["links"]), pa.scalar(0, pa.int32()))
+        chars = pc.cast(pc.utf8_length(pages["content"]), pa.int32())
+        columns = [pages["number"], pages["page_id"], size, chars]
+        return pa.record_batch(columns, names=["number", "page_id", "n_links", "n_chars"])
+
+    annotated = extract.annotate_dump(_numbered(spark, sf_dir))
+    return extract.each_page(annotated, measure, "number long, page_id long, n_links int, n_chars int")
+
+
 def dump_wiki_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dumps.build_wiki_pages(dumps.read_dump(spark, _write_xml(spark, sf_dir)))
 
@@ -414,6 +529,16 @@ QUERIES: dict[str, Query] = {
         dump_scan,
         dump_count,
         dump_count_with_broken_pages,
+        dump_counts_while_extracting,
+        page_numbers,
+        csv_links_in_chunks,
+        pages_by_callback,
+        namespace_scan,
+        special_titles_of_site,
+        extract_pages_strict_depth,
+        first_wiki_pages,
+        aggregate_pages_bucketed,
+        redirect_stats_rows,
         dump_wiki_pages,
         csv_links_in_ten_files,
         csv_links_one_file,

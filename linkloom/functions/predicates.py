@@ -74,16 +74,17 @@ def has_text(text: Column) -> Column:
     return F.coalesce(F.length(text), F.lit(0)) > 0
 
 
-def is_special_title(title: Column, site_names: Iterable[str] = ()) -> Column:
+def is_special_title(title: Column, site_names: Iterable[str] | Column = ()) -> Column:
     """The part before the first colon is a site namespace or one of the fixed prefixes.
 
-    `site_names` is the site's own list, as `sources.dump.namespace_names` gives it; it is a few
-    dozen names, so the test is an IN list and no join.
+    `site_names` is the site's own list, or an array column of it, as
+    `sources.dump.namespace_names` gives it.
     """
-    names = [*SPECIAL_PREFIXES, *(n for n in site_names if n)]
-    return F.coalesce(
-        F.contains(title, F.lit(":")) & prefix(title).isin(names), F.lit(False)
-    )
+    named = prefix(title).isin(SPECIAL_PREFIXES)
+    if not isinstance(site_names, Column):
+        site_names = F.array(*[F.lit(n) for n in site_names if n]).cast("array<string>")
+    named |= F.array_contains(site_names, prefix(title))
+    return F.coalesce(F.contains(title, F.lit(":")) & named, F.lit(False))
 
 
 def is_content_page(ns: Column, text: Column) -> Column:

@@ -89,7 +89,13 @@ def drop_templates(text: Column, strict_depth: bool = False) -> Column:
     return F.array_join(scan(pieces, F.lit(0), depth, kept, "string"), "")
 
 
-def drop_media_links(text: Column, names: Iterable[str]) -> Column:
+def _head(names: Iterable[str] | Column, start: str = "") -> Column:
+    """The pattern of the begin of a link to one of `names`: patterns, or a column `a|b|c` of them."""
+    names = names if isinstance(names, Column) else F.lit("|".join(names))
+    return F.concat(F.lit(rf"(?i){start}\[\[\s*(?:"), names, F.lit(r")\s*:"))
+
+
+def drop_media_links(text: Column, names: Iterable[str] | Column) -> Column:
     """Remove `[[name:...]]` for each of `names` with everything inside, nested links too.
 
     Only closed links count: a backward scan first finds the brackets that have a partner, so an
@@ -97,7 +103,7 @@ def drop_media_links(text: Column, names: Iterable[str]) -> Column:
     """
     opens = lambda x: F.startswith(x, F.lit("[["))
     closes = lambda x: F.startswith(x, F.lit("]]"))
-    heads = rf"(?i)^\[\[\s*(?:{'|'.join(names)})\s*:"
+    heads = _head(names, "^")
 
     # Of three or more brackets in a row the last two open the link, also one already gone.
     pieces = _pieces(text, rf"\[\[(?![\[{GONE}])|\]\]")
@@ -122,7 +128,7 @@ def drop_media_links(text: Column, names: Iterable[str]) -> Column:
 
     # Forwards: depth inside a dropped link, 0 outside.
     def inside(s: Column, x: Column) -> Column:
-        start = paired(x) & ((s > 0) | F.substr(x, F.lit(2)).rlike(heads))
+        start = paired(x) & ((s > 0) | F.rlike(F.substr(x, F.lit(2)), heads))
         return F.when(start, s + 1).when(closes(x) & (s > 0), s - 1).otherwise(s)
 
     def kept(s: Column, x: Column) -> Column:
@@ -132,24 +138,24 @@ def drop_media_links(text: Column, names: Iterable[str]) -> Column:
     return F.array_join(scan(marked, F.lit(0), inside, kept, "string"), "")
 
 
-def _shallow(names: Iterable[str]) -> str:
+def _shallow(names: Iterable[str] | Column) -> Column:
     """A link of one of `names` with up to 40 plain links in it: nearly all, in one pass.
 
     The bound is there because the pattern engine recurses once per link; `drop_media_links` takes
     the rest by the same rule. A mark stays in the place of what went, so that brackets on its two
     sides don't become one.
     """
-    return (
-        rf"(?i)\[\[\s*(?:{'|'.join(names)})\s*:"
-        r"[^\[\]]*+(?:\[\[[^\[\]]*+\]\][^\[\]]*+){0,40}+\]\]"
+    return F.concat(
+        _head(names), F.lit(r"[^\[\]]*+(?:\[\[[^\[\]]*+\]\][^\[\]]*+){0,40}+\]\]")
     )
 
 
-def drop_media(text: Column, names: list[str]) -> Column:
+def drop_media(text: Column, names: Iterable[str] | Column) -> Column:
     """`drop_media_links`, with one pattern for what needs no scan."""
-    nested = rf"(?i)\[\[\s*(?:{'|'.join(names)})\s*:"
-    text = F.regexp_replace(text, _shallow(names), GONE)
-    text = let(text, lambda c: F.when(c.rlike(nested), drop_media_links(c, names)).otherwise(c))
+    text = F.regexp_replace(text, _shallow(names), F.lit(GONE))
+    text = let(
+        text, lambda c: F.when(F.rlike(c, _head(names)), drop_media_links(c, names)).otherwise(c)
+    )
     return F.replace(text, F.lit(GONE), F.lit(""))
 
 
@@ -157,10 +163,9 @@ def plain_wikitext(
     text: Column,
     keep_section_titles: bool = True,
     strict_depth: bool = False,
-    media_names: Iterable[str] = (*IMAGE_NAMES, *CATEGORY_NAMES),
+    media_names: Iterable[str] | Column = (*IMAGE_NAMES, *CATEGORY_NAMES),
 ) -> Column:
     """Rules 1 to 6: what is left is plain text and `[[...]]` links."""
-    names = [name for name in media_names]
     replace = F.regexp_replace
 
     text = replace(text, f"[{MARK}{OPENED}{TRANSL}{GONE}]", "")
@@ -173,7 +178,7 @@ def plain_wikitext(
     text = replace(text, _EMPTY_REF, "")
     text = let(text, lambda c: replace_closed(c, _REF, "", "(?i:</ref)\\s*>", "<"))
     text = replace(text, _EXTERNAL, "$1")
-    text = drop_media(text, names)
+    text = drop_media(text, media_names)
     text = replace(text, _BREAK, "\n\n")
     text = replace(text, _TAG, "")
     text = replace(text, _HEADING, "$1" if keep_section_titles else "")
@@ -258,12 +263,12 @@ def link_spans(text: Column, link_filter: LinkFilter) -> Column:
 
 def annotate_links(
     dump: DataFrame,
-    site_names: Iterable[str] = (),
+    site_names: Iterable[str] | Column = (),
     link_filter: LinkFilter = is_entity_link,
     keep_section_titles: bool = True,
     strict_depth: bool = False,
     with_links: bool = True,
-    media_names: Iterable[str] = (*IMAGE_NAMES, *CATEGORY_NAMES),
+    media_names: Iterable[str] | Column = (*IMAGE_NAMES, *CATEGORY_NAMES),
 ) -> DataFrame:
     """Add `content` and `links` to dump pages `(id, ns, title, text)`.
 

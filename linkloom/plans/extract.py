@@ -1,19 +1,21 @@
 """A dump's three relations: pages, links and redirects."""
 
-import re
+from collections.abc import Callable
 from typing import Any, NamedTuple
 
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linkloom.functions import meta
 from linkloom.functions.titles import wikilink_title
 from linkloom.operators.annotate import CATEGORY_NAMES, IMAGE_NAMES, annotate_links
-from linkloom.sinks.tables import save_parquet
-from linkloom.sources.dump import namespace_names
+from linkloom.sinks.tables import save_parquet, write_csv
+from linkloom.sources.dump import count_while_reading, namespace_names, read_dump
 
 # The keys of the file and the category namespace on every site.
 MEDIA_KEYS = (6, 14)
+SITE_NAMES, MEDIA, NUMBER = "_site_names", "_media_names", "number"
 
 
 class Relations(NamedTuple):
@@ -47,17 +49,25 @@ def annotate_dump(
 
     A redirect's text is not rendered. `rules` are the options of `annotate_links`. `namespaces`, as
     `read_namespaces` gives them, sets two of these: titles in the site's namespaces are special,
-    and links to its file and category namespaces render nothing, whatever their language.
+    and links to its file and category namespaces render nothing, whatever their language. A
+    `number`, as `number_pages` gives it, is kept.
     """
+    pages = dump.where("ns = 0") if main_only else dump
     if namespaces is not None:
-        names = namespace_names(namespaces)
-        media = namespace_names(namespaces, MEDIA_KEYS)
+        # Columns of each page: a subquery can't stand inside the functions that render.
+        pages = pages.withColumns(
+            {SITE_NAMES: namespace_names(namespaces), MEDIA: namespace_names(namespaces, MEDIA_KEYS)}
+        )
+        end = r"\E"
+        quoted = F.transform(
+            MEDIA, lambda n: F.concat(F.lit(r"\Q"), F.replace(n, F.lit(end), F.lit(r"\E\\E\Q")), F.lit(end))
+        )
+        known = F.array(*map(F.lit, (*IMAGE_NAMES, *CATEGORY_NAMES)))
         rules = {
-            "site_names": names,
-            "media_names": [*IMAGE_NAMES, *CATEGORY_NAMES, *map(re.escape, media)],
+            "site_names": F.col(SITE_NAMES),
+            "media_names": F.array_join(F.concat(known, quoted), "|"),
             **rules,
         }
-    pages = dump.where("ns = 0") if main_only else dump
     pages = page_meta(pages, strip_fragment)
     # Rendering starts from '' for redirects.
     pages = pages.withColumn("text", F.when(~F.col("is_redirect"), F.col("text")))
@@ -70,6 +80,7 @@ def annotate_dump(
         "disamb",
         "categories",
         "links",
+        *(c for c in dump.columns if c == NUMBER),
     )
 
 
@@ -77,24 +88,30 @@ def exploded_links(annotated: DataFrame) -> DataFrame:
     """One row per link of each page; pages without links give none."""
     link: Column = F.col("link")
     # `explode` would push a size test of the array, and with it a second rendering, to the scan.
-    rows = annotated.select("page_id", F.explode_outer("links").alias("link"))
+    number = [c for c in annotated.columns if c == NUMBER]
+    rows = annotated.select("page_id", *number, F.explode_outer("links").alias("link"))
     return rows.where(link.isNotNull()).select(
         "page_id",
         link["char_start"].alias("char_start"),
         link["char_end"].alias("char_end"),
         link["surface"].alias("surface"),
         wikilink_title(link["link"]).alias("title"),
+        *number,
     )
 
 
 def split_relations(annotated: DataFrame) -> Relations:
-    """Redirects to one relation; every other page to `pages`, its links to `links`."""
+    """Redirects to one relation; every other page to `pages`, its links to `links`.
+
+    Pages with a `number` give it to their rows.
+    """
+    number = [c for c in annotated.columns if c == NUMBER]
     articles = annotated.where(~F.col("is_redirect"))
     return Relations(
-        pages=articles.select("page_id", "title", "content", "disamb", "categories"),
+        pages=articles.select("page_id", "title", "content", "disamb", "categories", *number),
         links=exploded_links(articles),
         redirects=annotated.where("is_redirect").select(
-            "title", F.col("redirect_target").alias("target")
+            "title", F.col("redirect_target").alias("target"), *number
         ),
     )
 
@@ -125,3 +142,35 @@ def write_relations(dump: DataFrame, path: str, mode: str = "error", **options:
     for name, df in stage_relations(dump, path, mode, **options)._asdict().items():
         save_parquet(df, f"{path}/{name}", mode)
     return Relations(*(spark.read.parquet(f"{path}/{name}") for name in Relations._fields))
+
+
+def write_dump(
+    spark: SparkSession, dump: str, path: str, mode: str = "error", **options: Any
+) -> tuple[Relations, dict[str, int]]:
+    """`write_relations` of the dump stored at `dump`, and how many pages it has and how many are corrupt.
+
+    The counts are taken while the pages are rendered; the dump is read once.
+    """
+    pages, seen = count_while_reading(read_dump(spark, dump, keep_corrupt=True))
+    relations = write_relations(pages, path, mode, **options)
+    return relations, seen.get
+
+
+def write_chunks(relations: Relations, path: str, chunks: int = 10, mode: str = "error") -> None:
+    """Write numbered relations as CSV, each into folders `chunk=0`, `chunk=1`, ... by page number.
+
+    A page's rows are in the chunk of its number modulo `chunks`. Nothing is shuffled.
+    """
+    for name, df in relations._asdict().items():
+        chunk = F.pmod(F.col(NUMBER), F.lit(chunks)).cast("int").alias("chunk")
+        write_csv(df.select("*", chunk).drop(NUMBER), f"{path}/{name}", mode=mode, by="chunk")
+
+
+def each_page(
+    annotated: DataFrame, callback: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str
+) -> DataFrame:
+    """Call `callback` on Arrow batches of pages, as `annotate_dump` gives them, for rows of `schema`.
+
+    The batches are those of the scan; the callback sees every page once, whole, with its links.
+    """
+    return annotated.mapInArrow(lambda batches: map(callback, batches), schema)

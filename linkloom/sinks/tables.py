@@ -26,19 +26,22 @@ def foreign_field(c: Column, dtype: T.DataType) -> Column:
 
 
 def write_csv(
-    df: DataFrame, path: str, chunks: int | None = None, mode: str = "error", foreign: bool = False
+    df: DataFrame, path: str, chunks: int | None = None, mode: str = "error", foreign: bool = False, by: str | None = None
 ) -> None:
     """Write files without a header, fields quoted where needed.
 
     `chunks` asks for that many files, each written by one task: ten will do for a small dump.
     Without it every partition of `df` writes its own, and nothing is shuffled. `foreign` files are
-    for programs that know no escapes.
+    for programs that know no escapes. `by` names a column whose values get a folder each.
     """
     encode = foreign_field if foreign else encode_field
-    rows = df.select(*[encode(F.col(f.name), f.dataType).alias(f.name) for f in df.schema])
+    rows = df.select(
+        *[F.col(f.name) if f.name == by else encode(F.col(f.name), f.dataType).alias(f.name) for f in df.schema]
+    )
     if chunks is not None:
         rows = rows.repartition(chunks)
-    rows.write.mode(mode).options(**CSV_OPTIONS).csv(path)
+    writer = rows.write.mode(mode).options(**CSV_OPTIONS)
+    (writer.partitionBy(by) if by else writer).csv(path)
 
 
 def save_parquet(df: DataFrame, path: str, mode: str = "error") -> None:

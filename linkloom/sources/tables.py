@@ -115,12 +115,16 @@ def jdbc_source(database: str, partitions: int, max_id: int, host: str = "localh
 
 
 def read_wiki_pages(
-    spark: SparkSession, source: str | Mapping[str, str], limit: int | None = None
+    spark: SparkSession,
+    source: str | Mapping[str, str],
+    limit: int | None = None,
+    order: str | None = None,
 ) -> DataFrame:
     """The table `wiki_pages(id, title, html, mediawiki)`.
 
     `source` is a Parquet path or the options of a JDBC read, as `jdbc_source` gives them. Filters
-    and the column list reach the database. `limit` keeps that many rows, for a first look.
+    and the column list reach the database. `limit` keeps that many rows, for a first look: any, or
+    the first by the column `order`.
     """
     names = schemas.WIKI_PAGES.fieldNames()
     if isinstance(source, str):
@@ -130,4 +134,6 @@ def read_wiki_pages(
         df = spark.read.format("jdbc").options(**options).load()
         # Ids may be 32-bit there.
         df = df.select(*[F.col(n).cast(schemas.WIKI_PAGES[n].dataType).alias(n) for n in names])
-    return df if limit is None else df.limit(limit)
+    if limit is None:
+        return df
+    return (df if order is None else df.orderBy(order)).limit(limit)

@@ -42,6 +42,17 @@ def test_entry(spark):
     assert df.count() > 0
 
 
+@pytest.mark.skipif(not SF.exists(), reason="no test data")
+def test_bucketed_tables_are_not_shuffled(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = entry_point.queries()["aggregate_pages_bucketed"](spark, str(SF))
+        plan = df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin" in plan and "Exchange" not in plan
+
+
 def test_every_query_of_the_catalog_has_its_sql():
     assert set(ORACLES) == set(NAMES)
     assert set(NAMES) <= set(entry_point.queries())

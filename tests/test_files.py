@@ -1,18 +1,22 @@
 import bz2
 from types import SimpleNamespace
 
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from pyspark.sql import functions as F
 
 from linkloom import schemas
 from linkloom.operators.lineage import shared_dir
 from linkloom.operators.spread import spread
+from linkloom.plans.extract import annotate_dump, each_page, extract, write_chunks, write_dump
 from linkloom.plans.relations import aggregate_pages
 from linkloom.sinks.tables import save_parquet, save_table, write_csv
 from linkloom.sources.dump import (
     build_wiki_pages,
     count_pages,
     namespace_names,
+    number_pages,
     read_dump,
     read_namespaces,
 )
@@ -80,8 +84,78 @@ def test_namespaces(spark, tmp_path):
     assert {tuple(r) for r in names.collect()} == {
         (-1, "Special"), (0, None), (6, "File"), (10, "Q & A"),
     }
-    assert namespace_names(names) == ["File", "Q & A", "Special"]
-    assert namespace_names(names, (6, 14)) == ["File"]
+    found = spark.range(1).select(namespace_names(names).alias("all"), namespace_names(names, (6, 14)).alias("media"))
+    assert tuple(found.first()) == (["File", "Q & A", "Special"], ["File"])
+
+
+def test_only_the_header_is_read_for_namespaces(spark, tmp_path):
+    """What follows the first block of the file is no bzip2 data: whoever reads it fails."""
+    head = HEAD + "".join(page(i, 0, f"P{i}", str(i * 7919) * 300) for i in range(600))
+    path = tmp_path / "dump.xml.bz2"
+    path.write_bytes(bz2.compress(head.encode(), 1)[:-2000] + b"broken" * 100_000)
+    with pytest.raises(Exception):
+        spark.read.text(str(path)).count()
+    assert read_namespaces(spark, str(path)).count() == 4
+    (tmp_path / "none.xml").write_text("<mediawiki></mediawiki>")
+    assert read_namespaces(spark, str(tmp_path / "none.xml")).collect() == []
+
+
+def test_site_names_with_signs(spark):
+    """Names are text, not patterns."""
+    names = spark.createDataFrame([(0, None), (6, "F.le (x)"), (14, "K\\E|b")], "ns int, name string")
+    dump = spark.createDataFrame(
+        [(1, 0, "T", "[[F.le (x):p|[[a]]]][[K\\E|b:k]][[Fxle (x):y]]z"), (2, 0, "F.le (x):T", "t")], schemas.DUMP
+    )
+    got = {r["page_id"]: r["content"] for r in extract(dump, namespaces=names).pages.collect()}
+    assert got == {1: " Fxle (x):y z", 2: ""}
+
+
+def numbered(spark, path):
+    return {r["id"]: r["number"] for r in number_pages(read_dump(spark, str(path), keep_split=True)).collect()}
+
+
+def test_page_numbers(spark, tmp_path):
+    """In the order of files and pages, without gaps, however the files are split."""
+    ids = list(range(500))
+    import random
+
+    random.Random(2).shuffle(ids)
+    for k in range(3):
+        pages = "".join(page(i, 0, f"P{i}", "x" * (i % 300)) for i in ids[k::3])
+        broken = page(9999, 0, "E", "<broken").replace("</text>", "")
+        (tmp_path / f"part{k}.xml").write_text(HEAD + broken + pages + "</mediawiki>")
+    wanted = {i: n for n, i in enumerate(i for k in range(3) for i in ids[k::3])}
+    for size in ("5k", "128m"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        spark.conf.set("spark.sql.files.openCostInBytes", "1")
+        try:
+            assert numbered(spark, tmp_path) == wanted
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+            spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_counts_while_extracting(spark, tmp_path):
+    (tmp_path / "dump.xml").write_text(DUMP)
+    found, counts = write_dump(spark, str(tmp_path / "dump.xml"), str(tmp_path / "out"))
+    assert counts == {"pages": 4, "corrupt": 1}
+    assert found.pages.count() == 4 and found.redirects.count() == 0
+
+
+def test_chunks_and_callback(spark, tmp_path):
+    (tmp_path / "dump.xml").write_text(HEAD + "".join(page(i, 0, f"P{i}", f"[[a{i}]] [[b]]") for i in range(25)) + "</mediawiki>")
+    pages = number_pages(read_dump(spark, str(tmp_path / "dump.xml"), keep_split=True))
+    write_chunks(extract(pages), str(tmp_path / "out"))
+    for k in range(10):
+        got = read_links_csv(spark, f"{tmp_path}/out/links/chunk={k}").select("page_id").distinct().collect()
+        assert {r["page_id"] % 10 for r in got} == {k}
+    assert read_links_csv(spark, f"{tmp_path}/out/links").count() == 50
+
+    def titles(batch):
+        return pa.record_batch([batch["number"], pc.utf8_upper(batch["title"])], names=["n", "t"])
+
+    found = each_page(annotate_dump(pages), titles, "n long, t string").collect()
+    assert {tuple(r) for r in found} == {(i, f"P{i}") for i in range(25)}
 
 
 @pytest.mark.parametrize("suffix", ["xml", "xml.bz2"])
