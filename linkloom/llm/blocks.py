@@ -14,7 +14,7 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from linkloom.llm.common import map_rows
+from linkloom.llm.common import free_memory, map_rows
 
 _DDL = {pa.int64(): "bigint", pa.int32(): "int", pa.float64(): "double", pa.bool_(): "boolean", pa.binary(): "binary", pa.string(): "string"}
 
@@ -81,6 +81,7 @@ def with_answers(blocks: DataFrame, answers: DataFrame, step, out: pa.Schema) ->
         by = {n: {b: x for b, x in zip(got["bucket"], got[n], strict=True) if x is not None} for n in got if n not in ("block", "bucket")}
         for row in left.to_pylist():
             made.append(pa.table(step(row, by), schema=out))
+        free_memory()
         return pa.concat_tables(made) if made else out.empty_table()
 
     return blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(run, ddl)

@@ -7,6 +7,9 @@ operator says that it keeps them, an empty table gives an empty result with the
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -79,10 +82,19 @@ def map_rows(
 
         for made in step(slices()):
             yield pa.record_batch([pa.array(made[f.name], f.type) for f in out], schema=out)
+        free_memory()
 
     return df.mapInArrow(run, schema)
 
 
+def free_memory() -> None:
+    """Give back what a task has freed: its worker lives on, and with it all that its allocators hold."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(AttributeError, OSError):  # other C libraries have no such call
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def _arrow_schema(schema: str) -> pa.Schema:
     """The Arrow form of a DDL schema (the few flat types used here)."""
     kinds = {
@@ -176,5 +188,6 @@ def text_udf(make: Callable[[], Callable[[list[bytes]], dict]], ddl: str, slice_
                 made = step(batch.slice(start, rows).to_pylist())
                 parts.append(pa.StructArray.from_arrays([pa.array(made[f.name], f.type) for f in out], fields=list(out)))
             yield pa.concat_arrays(parts)
+        free_memory()
 
     return run.asNondeterministic()

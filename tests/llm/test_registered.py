@@ -70,3 +70,23 @@ def test_stages_of_odd_rows(spark):
             got = stage(spark, docs, str(SF)).collect()
             if name == "repeated_passages":
                 assert sorted(map(repr, got)) == sorted(map(repr, docs.collect()))
+
+
+def test_stages_keep_columns_of_any_type(spark):
+    """Timestamps, maps, binaries, decimals, structs and odd names come through every stage but the last."""
+    docs = table(spark, str(SF), "documents").where("length(text) between 200 and 3000").limit(40).selectExpr(
+        "*", "timestamp_micros(1700000000123456 + doc_id) as at", "map('k', doc_id, 'z', null) as m", "cast(source as binary) as b",
+        "cast(doc_id / 7 as decimal(20, 9)) as d", "named_struct('x', array(doc_id), 'mark', 1.5D) as mark",
+        "doc_id as `a.b`", "lang as _null_text", "doc_id as `row`", "cast(null as date) as none",
+    )
+    docs = staged(docs, "typed")
+    given = {r["doc_id"]: r for r in docs.collect()}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        got = staged(stage(spark, docs, str(SF)), name)
+        assert got.dtypes == docs.dtypes
+        rows = got.collect()
+        assert rows and len({r["doc_id"] for r in rows}) == len(rows)
+        for r in rows:
+            assert [v for c, v in r.asDict().items() if c not in ("text", "n_chars")] == [
+                v for c, v in given[r["doc_id"]].asDict().items() if c not in ("text", "n_chars")
+            ]
