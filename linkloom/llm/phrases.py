@@ -26,7 +26,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import zstandard
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
@@ -131,12 +131,23 @@ def _count(lang: str, texts: _Texts, step: int, shards: int, reached_words: np.n
     yield batch(3, pc.binary_join_element_wise(*parts, b" "), np.zeros(len(n), np.int32), n)
 
 
-def _scan(shard: DataFrame, step: int, shards: int, least: int, reached) -> DataFrame:
+def _packed(spark: SparkSession, slots: np.ndarray):
+    """The slots, compressed, for all tasks: most of them have not been reached, or all have."""
+    return spark.sparkContext.broadcast((zstandard.ZstdCompressor(1).compress(slots.tobytes()), len(slots)))
+
+
+def _unpacked(sent, word_slots: int) -> tuple[np.ndarray, np.ndarray]:
+    blob, size = sent.value
+    slots = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob, max_output_size=size), np.int8)
+    return slots[:word_slots], slots[word_slots:]
+
+
+def _scan(shard: DataFrame, step: int, shards: int, least: int, reached, word_slots: int) -> DataFrame:
     """The counts that one scan of a shard adds, and each task's slot totals in chunks."""
     kind = np.min_scalar_type(least)
 
     def run(batches):
-        words, pairs = reached.value
+        words, pairs = _unpacked(reached, word_slots)
         totals: list[tuple[np.ndarray, np.ndarray]] = []
         held: dict[str, _Texts] = {}
         size = 0
@@ -216,22 +227,22 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, shards: int = SHARDS,
     reach, totals = np.full(word_slots + pair_slots, _NEVER, np.int8), np.zeros(word_slots + pair_slots, np.min_scalar_type(2 * least))
     scans, step, last = [], 0, shards - 1
     while step <= last:
-        sent = spark.sparkContext.broadcast((reach[:word_slots], reach[word_slots:]))
+        sent = _packed(spark, reach)
         shard = parts.where(F.col("shard") == step % shards).select("lang", "body")
-        scans.append(staged(_scan(shard, step, shards, least, sent), "scan", compression="zstd"))
+        scans.append(staged(_scan(shard, step, shards, least, sent, word_slots), "scan", compression="zstd"))
         totals += _slot_totals(scans[-1], least, len(totals))
         np.minimum(totals, least, out=totals)
         new = (totals >= least) & (reach == _NEVER)
         reach[new] = step
         if new.any():
             last = max(last, step + shards)
-        sent.unpersist()
+        sent.destroy()
         step += 1
-    sent = spark.sparkContext.broadcast((reach[:word_slots] < _NEVER, reach[word_slots:] < _NEVER))
+    sent = _packed(spark, reach)
 
     def possible(batches):
         """Rows of slots that reached the threshold; others can't have."""
-        words, pairs = sent.value
+        words, pairs = (slots < _NEVER for slots in _unpacked(sent, word_slots))
         for batch in batches:
             size, slot = batch.column("size").to_numpy(), batch.column("slot").to_numpy()
             keep = (size == 0) | (size == 3)
