@@ -15,8 +15,11 @@ A license of several sentences or paragraphs amid other text is found as a windo
 neighbouring sentences (line ends also end them) with at most |T| (2 - t) / t neighbouring pairs, |T|
 counting repeated pairs too. A window never overlaps a unit that matches on its own; of overlapping
 windows the one of the larger Dice counts, then the first name, then the earliest and shortest. Only
-texts with one of the templates' longest words, and of those only templates with enough bigrams
-anywhere in the text, can have one: both bounds are exact.
+templates with enough bigrams anywhere in the text can have one.
+
+A text without a third of a template's bigrams can't match it, in no unit and no window. So of each template
+just over a third are chosen, and a text with none of those chosen is done after one pattern search. This
+bound and those above are exact.
 
 Rows: null, empty or one-word text matches nothing (license null, dice 0). Of equal coefficients
 the template first by name wins. Repeated rows give repeated results.
@@ -24,14 +27,19 @@ the template first by name wins. Repeated rows give repeated results.
 
 from __future__ import annotations
 
+import math
 import re
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from xxhash import xxh64_intdigest
 
 from linkloom.llm.license_texts import TEXTS
+from linkloom.llm.simhash import signed
 
 LEAST_DICE = 0.8
+#: Words of lower-cased text, and what lies between two of them.
+WORDS, GAP = re.compile("[a-z0-9]+"), "[^a-z0-9]++"
 
 #: Public license notices and texts, notices in order of their SPDX names, then TEXTS.
 TEMPLATES = [
@@ -109,28 +117,49 @@ def bigrams(words: Column) -> Column:
     return F.array_distinct(F.zip_with(first, second, lambda a, b: F.xxhash64(a, b)))
 
 
-def longest_words(texts: list[str], low: float) -> list[str]:
-    """Words of which a text must have one, if it is to hold `low` of any template's bigrams."""
-    chosen: set[str] = set()
-    for text in texts:
-        pairs = template_bigrams(text)
-        for word in sorted({w for p in pairs for w in p}, key=lambda w: (w not in chosen, -len(w), w)):
-            if sum(not chosen & {*p} for p in pairs) < low * len(pairs):
-                break
-            chosen.add(word)
+def needed_pairs(templates: list[list[tuple[str, str]]], low: float) -> list[tuple[str, str]]:
+    """Bigrams of which a text must have one, if it is to hold `low` of any template's bigrams.
+
+    A text without the chosen ones of a template lacks more of it than it may. Long bigrams are
+    chosen, which other texts seldom have, and first those chosen for another template.
+    """
+    chosen: set[tuple[str, str]] = set()
+    for pairs in sorted(templates, key=len):
+        spare = len(pairs) - math.ceil(low * len(pairs) - 1e-9)
+        chosen |= {*sorted(pairs, key=lambda p: (p not in chosen, -len(p[0]) - len(p[1]), p))[: spare + 1]}
     return sorted(chosen)
 
 
+def pairs_pattern(pairs: list[tuple[str, str]]) -> str:
+    """A pattern for lower-cased text that holds one of the pairs of words, laid out as a tree of letters."""
+
+    def tree(tails: list[str]) -> str:
+        by_head: dict[str, list[str]] = {}
+        for tail in tails:
+            by_head.setdefault(tail[:1], []).append(tail[1:])
+        branches = [(GAP if head == " " else head) + (tree(rest) if head else "") for head, rest in sorted(by_head.items(), reverse=True)]
+        return branches[0] if len(branches) == 1 else f"(?:{'|'.join(branches)})"
+
+    return f"(?<![a-z0-9])(?:{tree([' '.join(p) for p in pairs])})(?![a-z0-9])" if pairs else "(?!)"
+
+
+def pair_hash(first: str, second: str) -> int:
+    """What F.xxhash64 makes of two words."""
+    return signed(xxh64_intdigest(second.encode(), xxh64_intdigest(first.encode(), 42)))
+
+
 def scan(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, least: float = LEAST_DICE) -> DataFrame:
     """One row per row of docs (doc_id, text): license, dice, unit, template_size, n_matches, licenses.
 
     license, dice and unit (sentence, line, paragraph, text or window) tell the best match, template_size its
     number of bigrams; n_matches counts the units and windows that match a template, licenses lists all names matched.
     """
-    ready = [(name, template_bigrams(text)) for name, text in templates]
+    ready = [(name, template_bigrams(text), len(WORDS.findall(text.lower()))) for name, text in templates]
     low, high = least / (2 - least), (2 - least) / least
-    smallest = min(len(b) for _, b in ready)
-    literal = F.array(*[F.struct(F.lit(n).alias("name"), F.array(*[F.xxhash64(F.lit(x), F.lit(y)) for x, y in b]).alias("bigrams"), F.lit(len(b)).alias("size")) for n, b in ready])
+    smallest = min(len(b) for _, b, _ in ready)
+    # One constant a template, hashed here: thousands of literal calls would cost the driver seconds.
+    hashes = lambda b: F.split(F.lit(" ".join(str(pair_hash(*p)) for p in b)), " ").cast("array<bigint>") if b else F.array().cast("array<bigint>")
+    literal = F.array(*[F.struct(F.lit(name).alias("name"), hashes(b).alias("bigrams"), F.lit(len(b)).alias("size"), F.lit(max(0, n - 1)).alias("pairs")) for name, b, n in ready])
     body = F.col("body")
     sentences, lines = F.split(body, "[\t\n]+"), F.split(body, "\n")
     none = F.array().cast("array<struct<kind:string,part:int,words:array<string>>>")
@@ -176,9 +205,7 @@ def scan(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, least: f
     ends = F.aggregate(sizes, F.array(F.lit(0)), lambda a, n: F.concat(a, F.array(F.element_at(a, -1) + n)))
     pairs = F.zip_with(F.slice(words(body), 1, F.greatest(F.size(words(body)) - 1, F.lit(0))), F.slice(words(body), 2, F.size(words(body))), lambda a, b: F.xxhash64(a, b))
     laid = F.struct(taken.alias("taken"), ends.alias("ends"), pairs.alias("pairs"))
-    repeated = F.array(*[F.lit(max(0, len(re.sub("[^a-z0-9]+", " ", t.lower()).split()) - 1)) for _, t in templates])
-    windows_of = F.zip_with(literal, repeated, lambda t, n: F.struct(t["name"].alias("name"), t["bigrams"].alias("bigrams"), t["size"].alias("size"), n.alias("pairs")))
-    possible = F.filter(windows_of, lambda t: F.size(F.array_intersect(F.col("laid.pairs"), t["bigrams"])) >= t["size"] * low)
+    possible = F.filter(literal, lambda t: F.size(F.array_intersect(F.col("laid.pairs"), t["bigrams"])) >= t["size"] * low)
     at, last = lambda i: F.get(F.col("laid.ends"), i), F.size("laid.ends") - 2
     known = F.transform(
         possible,
@@ -219,12 +246,13 @@ def scan(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, least: f
         lambda held, w: F.when(F.exists(held, lambda h: (h["a"] < w["b"]) & (h["b"] > w["a"])), held).otherwise(F.concat(held, F.array(w))),
     )
     found = F.transform(apart, lambda w: F.struct((-w["minus"]).alias("dice"), w["name"].alias("name"), w["size"].alias("size"), F.lit("window").alias("kind"), F.lit(0).alias("part")))
-    likely = F.regexp_like(body, F.lit(rf"\b(?:{'|'.join(longest_words([t for _, t in templates], low))})\b"))
+    likely = F.regexp_like(F.lower("text"), F.lit(pairs_pattern(needed_pairs([b for _, b, _ in ready], low))))
     # Each step sits behind a generator of one row, which keeps the optimizer from repeating it.
-    stage1 = docs.select("doc_id", F.explode(F.array(normalized(F.col("text")))).alias("body"))
-    stage2 = stage1.select("doc_id", "body", F.explode(F.array(matched)).alias("matched"))
-    # Null where no window can be, so nothing below is evaluated for such a text.
-    laid_out = stage2.select("doc_id", "matched", F.explode(F.array(F.when(likely, laid))).alias("laid"))
+    # Null where nothing can match, so nothing below is evaluated for such a text.
+    stage1 = docs.select("doc_id", F.explode(F.array(F.when(likely, normalized(F.col("text"))))).alias("body"))
+    nothing = F.array().cast("array<struct<dice:double,name:string,size:int,kind:string,part:int>>")
+    stage2 = stage1.select("doc_id", "body", F.explode(F.array(F.when(body.isNotNull(), matched).otherwise(nothing))).alias("matched"))
+    laid_out = stage2.select("doc_id", "matched", F.explode(F.array(F.when(body.isNotNull(), laid))).alias("laid"))
     counted = laid_out.select("doc_id", "matched", "laid", F.explode(F.array(F.when(F.col("laid").isNotNull(), known))).alias("known"))
     with_windows = F.when(F.size(F.coalesce("known", F.array())) > 0, F.concat("matched", found)).otherwise(F.col("matched"))
     stage2 = counted.select("doc_id", F.explode(F.array(with_windows)).alias("matched"))
