@@ -21,6 +21,7 @@ result. Extra columns are not read, whatever their names.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -48,8 +49,11 @@ LEAST, SHARE, TOP = 10, 50, 2000
 ORDER = ("-score", "-a", "phrase")
 _NEVER = 100
 _CUTS = bytes.maketrans(b".,;:!?\n\x0b\x0c\r", b"," * 10)
-_COUNTS = pa.schema([("lang", pa.string()), ("size", pa.int32()), ("phrase", pa.binary()), ("slot", pa.int32()), ("n", pa.int64()), ("chunk", pa.int32()), ("counts", pa.binary())])
-_DDL = "lang string, size int, phrase binary, slot int, n bigint, chunk int, counts binary"
+#: Phrases with their counts travel in parts of so many, packed: (phrase, slot, n) in one value.
+PART = 1 << 16
+_COUNTS = pa.schema([("lang", pa.string()), ("size", pa.int32()), ("part", pa.binary()), ("chunk", pa.int32()), ("counts", pa.binary())])
+_DDL = "lang string, size int, part binary, chunk int, counts binary"
+
 
 
 class _Texts:
@@ -87,6 +91,13 @@ def _pair_slots(hashes: np.ndarray, a: np.ndarray, b: np.ndarray, slots: int) ->
     return (mixed & np.uint64(slots - 1)).astype(np.int32)
 
 
+def _part(rows: pa.RecordBatch) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, rows.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+        out.write_batch(rows)
+    return sink.getvalue().to_pybytes()
+
+
 def _count(lang: str, texts: _Texts, step: int, shards: int, reached_words: np.ndarray, reached_pairs: np.ndarray, totals: list):
     """Batches of counts of what is open at this step: words, pairs, triples."""
     ids, words, hashes = texts.whole()
@@ -94,8 +105,10 @@ def _count(lang: str, texts: _Texts, step: int, shards: int, reached_words: np.n
     opened = lambda first, last: (np.maximum(first, last) < step) & (step <= np.maximum(first, last) + shards)
 
     def batch(size: int, phrase, slot, n):
-        rows = len(n)
-        return pa.record_batch([pa.repeat(pa.scalar(lang, pa.string()), rows), pa.repeat(pa.scalar(size, pa.int32()), rows), phrase, pa.array(slot, pa.int32()), pa.array(n, pa.int64()), pa.nulls(rows, pa.int32()), pa.nulls(rows, pa.binary())], schema=_COUNTS)
+        whole = pa.record_batch([phrase, pa.array(slot, pa.int32()), pa.array(n, pa.int64())], names=["phrase", "slot", "n"])
+        parts = [_part(whole.slice(at, PART)) for at in range(0, len(n), PART)]
+        rows = len(parts)
+        return pa.record_batch([pa.repeat(pa.scalar(lang, pa.string()), rows), pa.repeat(pa.scalar(size, pa.int32()), rows), pa.array(parts, pa.binary()), pa.nulls(rows, pa.int32()), pa.nulls(rows, pa.binary())], schema=_COUNTS)
 
     slots = (hashes & np.uint64(len(reached_words) - 1)).astype(np.int32)
     if step < shards:
@@ -178,7 +191,7 @@ def _scan(shard: DataFrame, step: int, shards: int, least: int, reached, word_sl
             cuts = np.flatnonzero(np.diff(chunks, prepend=-1, append=-1))
             for start, stop in zip(cuts[:-1], cuts[1:], strict=True):
                 sparse = (slots[start:stop] % CHUNK).astype(np.uint16).tobytes() + counts[start:stop].tobytes()
-                none = [pa.nulls(1, f.type) for f in _COUNTS][:5]
+                none = [pa.nulls(1, f.type) for f in _COUNTS][:3]
                 yield pa.record_batch([*none, pa.array([chunks[start]], pa.int32()), pa.array([sparse])], schema=_COUNTS)
 
     return shard.mapInArrow(run, _DDL)
@@ -241,20 +254,32 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, shards: int = SHARDS,
     sent = _packed(spark, reach)
 
     def possible(batches):
-        """Rows of slots that reached the threshold; others can't have."""
+        """Phrases of slots that reached the threshold, others can't have; equal ones are added up, as many as fit."""
         words, pairs = (slots < _NEVER for slots in _unpacked(sent, word_slots))
+        held: dict[tuple, list[pa.Table]] = {}
+        bytes_held = 0
+
+        def flush():
+            for (lang, size), tables in held.items():
+                summed = pa.concat_tables(tables).group_by("phrase", use_threads=False).aggregate([("n", "sum")])
+                for rows in summed.select(["phrase", "n_sum"]).to_batches(max_chunksize=PART):
+                    yield pa.record_batch([pa.repeat(pa.scalar(lang, pa.string()), len(rows)), pa.repeat(pa.scalar(size, pa.int32()), len(rows)), *rows.columns], names=["lang", "size", "phrase", "n"])
+
         for batch in batches:
-            size, slot = batch.column("size").to_numpy(), batch.column("slot").to_numpy()
-            keep = (size == 0) | (size == 3)
-            keep[size == 1] = words[slot[size == 1]]
-            keep[size == 2] = pairs[slot[size == 2]]
-            yield batch.filter(pa.array(keep)).select(["lang", "size", "phrase", "n"])
-
-    ddl = "lang string, size int, phrase binary, n bigint"
-    counted = [scan.where("phrase is not null").select("lang", "size", "phrase", "slot", "n").mapInArrow(possible, ddl) for scan in scans]
-    whole = counted[0]
-    for more in counted[1:]:
-        whole = whole.union(more)
+            for lang, size, part in zip(*(batch.column(c) for c in ("lang", "size", "part")), strict=True):
+                rows = pa.ipc.open_stream(part.as_buffer()).read_all()
+                if size.as_py() in (1, 2):
+                    reached = words if size.as_py() == 1 else pairs
+                    rows = rows.filter(pa.array(reached[rows.column("slot").to_numpy()]))
+                held.setdefault((lang.as_py(), size.as_py()), []).append(rows.select(["phrase", "n"]))
+                bytes_held += rows.nbytes
+                if bytes_held >= GATHER_BYTES:
+                    yield from flush()
+                    held, bytes_held = {}, 0
+        yield from flush()
+
+    packed = [scan.where("part is not null").select("lang", "size", "part") for scan in scans]
+    whole = reduce(DataFrame.union, packed).mapInArrow(possible, "lang string, size int, phrase binary, n bigint")
     found = whole.groupBy("lang", "size", "phrase").agg(F.sum("n").alias("n")).where((F.col("n") >= least) | (F.col("size") == 0))
     return staged(found.withColumn("phrase", F.col("phrase").cast("string")), "phrases")
 
