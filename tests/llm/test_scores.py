@@ -7,6 +7,7 @@ from zlib import crc32
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from linkloom.llm import licenses, ppm, quality, toxicity
 from tests.llm.helpers import frame, odd_texts
@@ -147,6 +148,29 @@ def test_licenses(spark):
     assert licenses.scan(frame(spark, [])).collect() == []
 
 
+def test_needed_pairs(spark):
+    """A text with two thirds of a template's bigrams, whichever, has one of the needed pairs; hashes are Spark's."""
+    r = random.Random(4)
+    ready = [licenses.template_bigrams(t) for _, t in licenses.TEMPLATES]
+    needed = set(licenses.needed_pairs(ready, 2 / 3))
+    texts, wanted = [], []
+    for pairs in ready:
+        least = math.ceil(2 * len(pairs) / 3)
+        assert len(pairs) - len(needed & {*pairs}) < least
+        for _ in range(20):
+            assert needed & {*r.sample(pairs, least)}
+    for a, b in [*r.sample(sorted(needed), 40), ("the", "of"), ("x", "licensed")]:
+        for text in (f"so {a} {b} on", f"{a}.\n\t{b}", f"x{a} {b}", f"{a} {b}x", f"{a} x {b}"):
+            texts.append(text.upper())
+            words = licenses.WORDS.findall(text)
+            wanted.append(any(p in needed for p in zip(words, words[1:], strict=False)))
+    pattern = licenses.pairs_pattern(sorted(needed))
+    rows = frame(spark, texts).select("doc_id", F.regexp_like(F.lower("text"), F.lit(pattern)).alias("hit")).collect()
+    assert [x["hit"] for x in sorted(rows, key=lambda x: x["doc_id"])] == wanted
+    hashed = spark.range(1).select(F.xxhash64(F.lit("mit"), F.lit("license")).alias("h")).first()["h"]
+    assert hashed == licenses.pair_hash("mit", "license")
+
+
 def test_licenses_in_several_parts(spark):
     r = random.Random(9)
     other = lambda n: " ".join(f"w{r.randint(0, 5000)}" for _ in range(n))
