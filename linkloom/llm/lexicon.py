@@ -19,6 +19,7 @@ from __future__ import annotations
 import hashlib
 import json
 import os
+import string
 import tempfile
 import unicodedata
 import uuid
@@ -38,6 +39,8 @@ LEXICON_WORDS = 60_000
 LONGEST_WORD = 48  # bytes of a word in the lexicon
 #: Words that a counting task holds before it passes them on; chunks that a worker remembers.
 HELD, REMEMBERED = 300_000, 1_000_000
+#: Words merged at a time, and ids decoded at a time.
+ROWS, DECODED = 1 << 14, 1 << 17
 
 _BLANK = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 _CHUNKS = regex.compile(f"[^{_BLANK}]+")
@@ -54,7 +57,10 @@ def chunks(text: str) -> list[str]:
 
 
 def words(chunk: str) -> list[str]:
-    return [chunk] if chunk.isalpha() else _KINDS.findall(chunk)
+    if chunk.isalpha():
+        return [chunk]
+    letters = chunk.rstrip(string.punctuation)  # "word." needs no pattern
+    return [letters, chunk[len(letters) :]] if letters.isalpha() else _KINDS.findall(chunk)
 
 
 class Bpe:
@@ -78,7 +84,17 @@ class Bpe:
         signs = {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in plain)}
         self.inner = [self.ids[signs[b]] for b in range(256)]
         self.last = [self.ids[signs[b] + self.end] for b in range(256)]
-        self.tokens = {i: t.encode() for t, i in (self.ids | self.special).items()}
+        # The same as arrays: sorted pairs with their ranks, and all tokens after one another.
+        self.width = max((self.ids | self.special).values()) + 1
+        keys = np.array([a * self.width + b for a, b in self.ranks], np.int64)
+        order = np.argsort(keys)
+        self.pair_keys, self.pair_ranks = keys[order], np.array(list(self.ranks.values()), np.int32)[order]
+        self.tokens = [b" "] * self.width
+        for t, i in (self.ids | self.special).items():
+            self.tokens[i] += t.encode()
+        self.token_sizes = np.fromiter(map(len, self.tokens), np.int32, self.width)
+        self.token_starts = np.cumsum(self.token_sizes) - self.token_sizes
+        self.token_bytes = np.frombuffer(b"".join(self.tokens), np.uint8)
 
     def merge(self, word: bytes) -> list[int]:
         """The ids of a word: the lowest rank first, the leftmost of equals."""
@@ -97,6 +113,70 @@ class Bpe:
                 pairs[i] = rank((ids[i], ids[i + 1]), none)
         return ids
 
+    def _rank(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        key = a.astype(np.int64) * self.width + b
+        at = np.minimum(np.searchsorted(self.pair_keys, key), len(self.pair_keys) - 1)
+        return np.where(self.pair_keys[at] == key, self.pair_ranks[at], len(self.made)).astype(np.int32)
+
+    def merge_all(self, asked: list[bytes]) -> list[bytes]:
+        """`merge` of many words, as little-endian unsigned 32-bit ids; words of like length go together."""
+        out = [b""] * len(asked)
+        size = np.fromiter(map(len, asked), np.int64, len(asked))
+        for least, most in ((1, 8), (9, 16), (17, 32)):
+            at = np.flatnonzero((size >= least) & (size <= most))
+            for s in range(0, len(at), ROWS):
+                part = at[s : s + ROWS].tolist()
+                for i, made in zip(part, self._merge_rows([asked[i] for i in part], size[part]), strict=True):
+                    out[i] = made
+        for i in np.flatnonzero(size > 32).tolist():
+            out[i] = np.array(self.merge(asked[i]), "<u4").tobytes()
+        return out
+
+    def _merge_rows(self, asked: list[bytes], size: np.ndarray) -> list[bytes]:
+        """A row for each word; in each turn every row's best pair becomes one id and the rest moves up."""
+        n, wide, none = len(asked), int(size.max()), len(self.made)
+        text, every = np.frombuffer(b"".join(asked), np.uint8), np.arange(n)
+        row = np.repeat(every, size)
+        column = np.arange(len(text)) - np.repeat(np.cumsum(size) - size, size)
+        ids = np.zeros((n, wide + 1), np.int32)
+        ids[row, column] = np.array(self.inner, np.int32)[text]
+        ids[every, size - 1] = np.array(self.last, np.int32)[text[np.cumsum(size) - 1]]
+        rank = np.full((n, wide + 1), none, np.int32)  # of the pair that starts here
+        row, column = row[column < size[row] - 1], column[column < size[row] - 1]
+        rank[row, column] = self._rank(ids[row, column], ids[row, column + 1])
+        made, places, left, live = np.array([*self.made, 0], np.int32), np.arange(wide + 1), size.copy(), every
+        while len(live):
+            ranks = rank[live]
+            at = ranks.argmin(1)  # the leftmost of equals
+            best = ranks[np.arange(len(live)), at]
+            go = best < none
+            live, at, best, ranks = live[go], at[go], best[go], ranks[go]
+            up = np.minimum(places + (places > at[:, None]), wide)
+            now, ranks = np.take_along_axis(ids[live], up, 1), np.take_along_axis(ranks, up, 1)
+            each = np.arange(len(live))
+            now[each, at] = made[best]
+            left[live] -= 1
+            ranks[each, at] = np.where(at + 1 < left[live], self._rank(now[each, at], now[each, np.minimum(at + 1, wide)]), none)
+            k = np.flatnonzero(at > 0)
+            ranks[k, at[k] - 1] = self._rank(now[k, at[k] - 1], now[k, at[k]])
+            ids[live], rank[live] = now, ranks
+        flat = ids[places < left[:, None]].astype("<u4").tobytes()
+        ends = (np.cumsum(left) * 4).tolist()
+        return [flat[e - 4 * m : e] for e, m in zip(ends, left.tolist(), strict=True)]
+
+    def decode(self, texts: list[bytes]) -> list[bytes]:
+        """The tokens of each text's ids with a blank between them, as UTF-8."""
+        flat, made, sizes = np.frombuffer(b"".join(texts), "<u4"), bytearray(), [np.zeros(0, np.int64)]
+        for s in range(0, len(flat), DECODED):
+            ids = flat[s : s + DECODED]
+            size = self.token_sizes[ids]
+            shift = self.token_starts[ids] - (np.cumsum(size) - size)
+            made += self.token_bytes[np.repeat(shift, size) + np.arange(int(size.sum()))].tobytes()
+            sizes.append(size)
+        ends = np.r_[0, np.cumsum(np.concatenate(sizes), dtype=np.int64)]
+        cut = ends[np.r_[0, np.cumsum([len(t) // 4 for t in texts], dtype=np.int64)]].tolist()
+        return [bytes(made[s + 1 : e]) for s, e in zip(cut[:-1], cut[1:], strict=True)]
+
     def _merge_long(self, ids: list[int]) -> list[int]:
         n, ranks = len(ids), self.ranks
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
@@ -190,9 +270,10 @@ class Lexicon:
         sizes = np.fromfile(path, np.int64, 6)
         kinds, start, got = (np.int64, np.int32, np.int32, np.int32, np.uint32, np.uint8), 48, []
         for n, kind in zip(sizes, kinds, strict=True):
-            got.append(np.memmap(path, kind, "r", start, (int(n),)) if n else np.zeros(0, kind))
+            got.append(np.memmap(path, kind, "r", start, (int(n),)).view(np.ndarray) if n else np.zeros(0, kind))
             start += int(n) * np.dtype(kind).itemsize
         self.keys, self.target, self.passed, self.at, self.flat, self.ends = got
+        self.bytes = memoryview(self.flat).cast("B") if len(self.flat) else memoryview(b"")
 
     def numbers(self, asked: list[bytes]) -> np.ndarray:
         """The number of each word, -1 for a word that isn't there. All walk a byte at a time."""
@@ -222,7 +303,12 @@ class Lexicon:
         return out
 
     def ids(self, number: int) -> bytes:
-        return self.flat[self.at[number] : self.at[number + 1]].tobytes()
+        return self.all_ids(np.array([number]))[0]
+
+    def all_ids(self, numbers: np.ndarray) -> list[bytes]:
+        """The ids of numbered words, as little-endian unsigned 32-bit integers."""
+        starts, ends = (self.at[numbers] * 4).tolist(), (self.at[numbers + 1] * 4).tolist()
+        return [self.bytes[s:e].tobytes() for s, e in zip(starts, ends, strict=True)]
 
 
 def frequent_words(docs: DataFrame, tokenizer_path: str, most: int = LEXICON_WORDS) -> list[bytes]:
@@ -273,7 +359,7 @@ def publish(spark: SparkSession, found: list[bytes], tokenizer_path: str) -> str
     bpe = Bpe(tokenizer_path)
     name = f"lexicon-{uuid.uuid4().hex}.bin"
     path = os.path.join(tempfile.mkdtemp(prefix="llm-"), name)
-    save(path, found, [bpe.merge(w) for w in found])
+    save(path, found, [np.frombuffer(i, "<u4").tolist() for i in bpe.merge_all(found)])
     spark.sparkContext.addFile(path)
     return name
 
@@ -284,27 +370,32 @@ class Encoder:
     def __init__(self, tokenizer_path: str, lexicon_path: str):
         self.bpe, self.lexicon = Bpe(tokenizer_path), Lexicon(lexicon_path)
         self.ids: dict[str, bytes] = {}
-        self.shown: dict[str, bytes] = {}
 
     def _word_ids(self, asked: list[str]) -> dict[str, bytes]:
         raw = [w.encode() for w in asked]
-        out = {}
-        for w, b, n in zip(asked, raw, self.lexicon.numbers(raw).tolist(), strict=True):
-            out[w] = self.lexicon.ids(n) if n >= 0 else np.array(self.bpe.merge(b), np.uint32).tobytes()
+        number = self.lexicon.numbers(raw)
+        known, other = np.flatnonzero(number >= 0), np.flatnonzero(number < 0)
+        out = dict(zip([asked[i] for i in known.tolist()], self.lexicon.all_ids(number[known]), strict=True))
+        other = other.tolist()
+        out.update(zip([asked[i] for i in other], self.bpe.merge_all([raw[i] for i in other]), strict=True))
         return out
 
     def _learn(self, new: list[str]) -> None:
-        special = self.bpe.special
-        parts = {c: words(c) for c in new if c[0] != "\0" or c[1:] not in special}
-        of_word = self._word_ids(list({w for ws in parts.values() for w in ws}))
-        tokens = self.bpe.tokens
+        special, several = self.bpe.special, {}
+        single = []
         for c in new:
-            if c in parts:
-                made = b"".join([of_word[w] for w in parts[c]])
+            if c.isalpha():
+                single.append(c)
+            elif c[0] == "\0" and c[1:] in special:
+                self.ids[c] = np.array([special[c[1:]]], "<u4").tobytes()
             else:
-                made = np.array([special[c[1:]]], np.uint32).tobytes()
-            self.ids[c] = made
-            self.shown[c] = b" ".join([tokens[i] for i in np.frombuffer(made, np.uint32).tolist()])
+                several[c] = words(c)
+        of_word = self._word_ids(list(set(single).union(*several.values())))
+        for c in single:
+            self.ids[c] = of_word[c]
+        of = of_word.__getitem__
+        for c, parts in several.items():
+            self.ids[c] = b"".join(map(of, parts))
 
     def encode(self, texts: list[str]) -> list[tuple[bytes, bytes]]:
         """(ids as little-endian unsigned 32-bit integers, decoded UTF-8) of each text."""
@@ -317,10 +408,10 @@ class Encoder:
                 split.append(chunks(text))
         if len(self.ids) > REMEMBERED:
             self.ids.clear()
-            self.shown.clear()
         self._learn(list(set().union(*split).difference(self.ids)))
-        ids, shown = self.ids.__getitem__, self.shown.__getitem__
-        return [(b"".join(map(ids, cs)), b" ".join(map(shown, cs))) for cs in split]
+        ids = self.ids.__getitem__
+        made = [b"".join(map(ids, cs)) for cs in split]
+        return list(zip(made, bpe.decode(made), strict=True))
 
 
 @lru_cache(maxsize=1)

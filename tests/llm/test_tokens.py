@@ -40,6 +40,30 @@ def test_automaton_numbers_its_words(tmp_path):
     assert len(got.ends) < len(found)  # suffixes are shared
 
 
+def test_merging_many_words_as_one_by_one():
+    r, bpe = random.Random(5), lexicon.Bpe(WORDS)
+    found = [bytes(r.choice(b"etaoin shrdlu\xc3\xa9\x00\xff'9") for _ in range(n % 45 + 1)) for n in range(3000)]
+    found += [b"a" * n for n in range(1, 70)] + [b"the", b"the"]
+    assert [np.frombuffer(x, "<u4").tolist() for x in bpe.merge_all(found)] == [bpe.merge(w) for w in found]
+    assert bpe.merge_all([]) == []
+
+
+@pytest.mark.parametrize("chunk", ["word.", "word'", "'s", "it's", "a1.", "don't!?", "...", "x²", "é,", "'ll.", "l'"])
+def test_words_of_a_chunk(chunk):
+    assert lexicon.words(chunk) == lexicon._KINDS.findall(chunk)
+
+
+def test_encode_long_null_and_repeated_rows(spark):
+    long = "".join(f"word{i % 977} 'tis über{i % 89}-" + ("x" * 300 if i % 5000 == 0 else "") for i in range(60_000))  # over 1 MB
+    texts = [long, None, "", long, "<|endoftext|>" * 3]
+    rows = spark.createDataFrame([(7 if i < 2 else None, t) for i, t in enumerate(texts)], "doc_id bigint, text string")
+    library = Tokenizer.from_file(WORDS)
+    got = Counter((x["doc_id"], tuple(x["ids"]), x["decoded"]) for x in lexicon.encode_rows(rows, WORDS, 50, digest=False).collect())
+    ids = [library.encode(t or "", add_special_tokens=False).ids for t in texts]
+    want = Counter((7 if i < 2 else None, tuple(x), library.decode(x, skip_special_tokens=False)) for i, x in enumerate(ids))
+    assert got == want
+
+
 def test_empty_tables(spark):
     none = frame(spark, [])
     assert lexicon.encode_rows(none, WORDS).collect() == []
