@@ -2,8 +2,9 @@
 
 A vector is scaled to length 1, padded to a power of two and rotated by three turns of random
 signs and a fast Hadamard transform. Its hash is the nearest vertex of the cross-polytope, that is
-the coordinate of the largest absolute value and its sign. HASHES of these make a bucket, TABLES
-buckets a vector. In each table a vector also lies in PROBES - 1 more buckets: those whose vertices
+the coordinate of the largest absolute value and its sign. HASHES of these make a bucket, and a vector
+lies in a bucket of each table. Wider vectors get more tables, so that of pairs just above the
+threshold at most about one in a thousand is missed at any width (`table_count`). In each table a vector also lies in PROBES - 1 more buckets: those whose vertices
 are the next nearest in sum. A pair is a candidate if one's first bucket is among the other's; each
 candidate is verified by its cosine in double precision, so no false link is made. The share of
 links found is measured against brute force in the tests.
@@ -28,7 +29,7 @@ from pyspark.sql import functions as F
 from linkloom.llm.common import components, map_rows, staged
 
 LEAST_COSINE = 0.95
-TABLES, HASHES, PROBES = 3, 2, 4
+HASHES, PROBES = 2, 4
 #: Nearest vertices of one hash among which probes are chosen.
 NEAREST = 4
 BLOCK = 2048
@@ -45,9 +46,15 @@ def hadamard(x: np.ndarray) -> np.ndarray:
     return x / np.sqrt(n)
 
 
-def buckets(unit: np.ndarray, tables: int = TABLES, probes: int = PROBES) -> np.ndarray:
+def table_count(dim: int) -> int:
+    """Tables for vectors of a width: five up to 64 numbers, one more for each further factor of four."""
+    return 5 + max(0, ((dim - 1).bit_length() - 5) // 2)
+
+
+def buckets(unit: np.ndarray, tables: int | None = None, probes: int = PROBES) -> np.ndarray:
     """Bucket ids of each row, shape (rows, tables, probes), the first one its own."""
     rows, dim = unit.shape
+    tables = tables or table_count(dim)
     wide = 1 << max(1, (dim - 1).bit_length())
     padded = np.zeros((rows, wide))
     padded[:, :dim] = unit
@@ -107,7 +114,7 @@ def valid(vector: F.Column) -> F.Column:
     return vector.isNotNull() & (F.size(vector) > 0) & ok & F.exists(vector, lambda x: x != 0)
 
 
-def link_rows(vectors: DataFrame, least: float = LEAST_COSINE, tables: int = TABLES, probes: int = PROBES) -> DataFrame:
+def link_rows(vectors: DataFrame, least: float = LEAST_COSINE, tables: int | None = None, probes: int = PROBES) -> DataFrame:
     """vec_id, n_links, component_id, kept of every row of vectors (vec_id, embedding)."""
     rows = vectors.select("vec_id", F.when(F.coalesce(valid(F.col("embedding")), F.lit(False)), F.col("embedding").cast("array<double>")).alias("e"))
     nodes = rows.where("e is not null").groupBy("e").agg(F.count("*").alias("copies"), F.min("vec_id").alias("first"))
@@ -122,7 +129,7 @@ def link_rows(vectors: DataFrame, least: float = LEAST_COSINE, tables: int = TAB
                 vec /= np.linalg.norm(vec, axis=1, keepdims=True)
                 found = buckets(vec, tables, probes)
                 flat = found.reshape(len(at), -1)
-                for t in range(tables):
+                for t in range(found.shape[1]):
                     for p in range(probes):
                         yield {
                             "dim": [dim] * len(at), "tab": [t] * len(at), "bucket": found[:, t, p], "node": [part["node"][i] for i in at],
@@ -146,7 +153,7 @@ def link_rows(vectors: DataFrame, least: float = LEAST_COSINE, tables: int = TAB
 
         def group_links(g):
             vec, node, copies = np.array(g["unit"]), np.array(g["node"]), np.array(g["copies"])
-            found = np.array(g["found"]).reshape(len(node), tables, probes)
+            found = np.array(g["found"]).reshape(len(node), -1, probes)
             mine = np.array(g["mine"])
             lo, hi = g["lo"][0], g["hi"][0]
             left = np.flatnonzero(mine == lo)
