@@ -7,9 +7,12 @@ Strings (windows) are judged on the input; overlaps count; matches never cross d
 2. Each window belongs to its anchor, the least hash of the ANCHOR-byte strings in it. Equal windows
    have equal anchors, and neighbouring windows mostly share theirs, so a document falls into runs
    of windows. Blocks send the distinct anchors' hashes to buckets; a bucket answers which of them
-   occur in two documents. A window whose anchor doesn't is no repeat.
+   occur in two documents, and which are hot: in more than HOT_TEXTS different texts. A window whose
+   anchor doesn't occur twice is no repeat.
 3. For the other anchors, blocks send the text of each run (equal texts once, with their smallest
-   id) to the anchor's bucket.
+   id) to the anchor's bucket. Runs of a hot anchor are taken apart into windows, and each goes to
+   one of SPLIT times as many further buckets by a hash of its MATCH bytes, so that equal windows still
+   meet and a phrase shorter than MATCH that many documents hold doesn't fill one bucket.
 4. A bucket is an index family. Its texts come in batches of ascending ids. A new batch gets its
    suffix array: the starts of its windows sorted by their first MATCH bytes. It is merge-scanned
    against each existing level, which finds all windows that smaller ids have, then becomes a level;
@@ -43,6 +46,8 @@ MATCH, ANCHOR = 50, 24
 BLOCK_BYTES, BUCKET_BYTES = 8 << 20, 4 << 20
 #: Windows in a batch, and bytes hashed at a time.
 BATCH_WINDOWS, CHUNK_BYTES = 1 << 16, 1 << 18
+#: Different texts (summed over blocks) beyond which an anchor is hot, and further buckets for each bucket.
+HOT_TEXTS, SPLIT = 4096, 8
 LAST = np.iinfo(np.int64).max  # stands for a null id
 
 _MULTIPLIERS = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
@@ -98,6 +103,19 @@ def windows(text: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return out.reshape(-1).view(f"S{MATCH + 1}")
 
 
+def window_hashes(text: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of the window at each place."""
+    out, view = np.zeros(len(starts), np.uint64), np.lib.stride_tricks.sliding_window_view(text, MATCH)
+    words = -(-MATCH // 8)
+    for s in range(0, len(starts), CHUNK_BYTES):
+        part = starts[s : s + CHUNK_BYTES]
+        wide = np.zeros((len(part), 8 * words), np.uint8)
+        wide[:, :MATCH] = view[part]
+        for column in wide.view(np.uint64).T:
+            out[s : s + len(part)] = mix64(out[s : s + len(part)] * _MULTIPLIERS[0] + column)
+    return out
+
+
 class IndexFamily:
     """Levels of sorted windows, all from smaller ids than those of the next batch."""
 
@@ -160,7 +178,7 @@ class _Block:
     """The runs of a block by bucket, always in the same order."""
 
     def __init__(self, bodies: list[bytes], ids: list[int | None], buckets: int):
-        self.bodies, self.ids = bodies, _numbers(ids)
+        self.bodies, self.ids, self.buckets = bodies, _numbers(ids), buckets
         self.doc, self.start, self.count, anchor = runs(bodies)
         bucket = (anchor % np.uint64(buckets)).astype(np.int64)
         order = np.lexsort((anchor, bucket))
@@ -182,52 +200,97 @@ class _Block:
         ids = self.ids[self.doc]
         return np.minimum.reduceat(ids, self.first) != np.maximum.reduceat(ids, self.first) if len(self.first) else np.zeros(0, bool)
 
-    def shared(self, flags: dict[int, bytes]) -> dict[int, np.ndarray]:
-        """The runs of each bucket whose anchor its answer marks."""
-        out = {}
+    def texts(self) -> np.ndarray:
+        """In how many different texts each distinct anchor lies here (some may be equal below 16)."""
+        ends = np.r_[self.first[1:], len(self.group)]
+        count = ends - self.first
+        for k in np.flatnonzero(count >= 16).tolist():
+            count[k] = len({self._text(*run) for run in self._runs(slice(self.first[k], ends[k]))})
+        return np.minimum(count, 65535).astype(np.uint16)
+
+    def _text(self, doc: int, start: int, count: int) -> bytes:
+        return self.bodies[doc][start : start + count + MATCH - 1]
+
+    def _runs(self, at) -> Iterator[tuple[int, int, int]]:
+        return zip(self.doc[at].tolist(), self.start[at].tolist(), self.count[at].tolist(), strict=True)
+
+    def shared(self, flags: dict[int, bytes]) -> dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """(document, start, windows) of what each bucket is asked about: runs, or windows of hot anchors."""
+        out, hot_runs = {}, []
         for bucket, part in self.parts():
-            marked = np.unpackbits(np.frombuffer(flags[bucket], np.uint8), count=part.stop - part.start).astype(bool)
+            n = part.stop - part.start
+            marked, hot = np.unpackbits(np.frombuffer(flags[bucket], np.uint8), count=2 * n).astype(bool).reshape(2, n)
             lo = self.first[part.start]
             hi = self.first[part.stop] if part.stop < len(self.first) else len(self.group)
             at = np.arange(lo, hi)
-            out[bucket] = at[marked[self.group[at] - part.start]]
+            of = self.group[at] - part.start
+            whole = at[(marked & ~hot)[of]]
+            if len(whole):
+                out[bucket] = self.doc[whole], self.start[whole], self.count[whole]
+            hot_runs.append(at[(marked & hot)[of]])
+        at = np.concatenate(hot_runs) if hot_runs else np.zeros(0, np.int64)
+        if len(at):
+            out.update(self._windows(at))
         return out
 
-    def pieces(self, at: np.ndarray) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    def _windows(self, at: np.ndarray) -> dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """The windows of some runs, dealt to the further buckets."""
+        n = self.count[at]
+        doc = np.repeat(self.doc[at], n)
+        start = np.arange(len(doc)) - np.repeat(np.cumsum(n) - n - self.start[at], n)
+        sizes = np.fromiter(map(len, self.bodies), np.int64, len(self.bodies))
+        hashes = window_hashes(np.frombuffer(b"".join(self.bodies), np.uint8), (np.cumsum(sizes) - sizes)[doc] + start)
+        bucket = (hashes % np.uint64(SPLIT * self.buckets)).astype(np.int64) + self.buckets
+        order = np.argsort(bucket, kind="stable")
+        doc, start, bucket = doc[order], start[order], bucket[order]
+        cut = np.flatnonzero(np.diff(bucket)) + 1
+        parts = zip(np.split(doc, cut), np.split(start, cut), strict=True)
+        return {int(b): (d, s, np.ones(len(d), np.int64)) for b, (d, s) in zip(bucket[np.r_[0, cut]], parts, strict=True)}
+
+    def pieces(self, doc: np.ndarray, start: np.ndarray, count: np.ndarray) -> tuple[list[bytes], np.ndarray, np.ndarray]:
         """The distinct texts of some runs, their smallest ids, and each run's place among them."""
         number: dict[bytes, int] = {}
-        place = np.zeros(len(at), np.int64)
-        for k, (d, s, n) in enumerate(zip(self.doc[at].tolist(), self.start[at].tolist(), self.count[at].tolist(), strict=True)):
-            place[k] = number.setdefault(self.bodies[d][s : s + n + MATCH - 1], len(number))
+        place = np.zeros(len(doc), np.int64)
+        for k, run in enumerate(zip(doc.tolist(), start.tolist(), count.tolist(), strict=True)):
+            place[k] = number.setdefault(self._text(*run), len(number))
         least = np.full(len(number), LAST, np.int64)
-        np.minimum.at(least, place, self.ids[self.doc[at]])
+        np.minimum.at(least, place, self.ids[doc])
         return list(number), least, place
 
 
 def _shared_anchors(blocks: DataFrame, buckets: int) -> DataFrame:
-    """(block, bucket, flags): for each block's distinct anchors of a bucket, does it occur in two ids."""
+    """(block, bucket, flags): a bit for each of a block's distinct anchors of a bucket that occurs in two
+    ids, then a bit for each that is hot."""
 
     def send(slices):
         for part in slices:
             for block, ids, sizes, body in zip(part["block"], part["ids"], part["sizes"], part["body"], strict=True):
                 b = _Block(open_block(body, sizes), ids, buckets)
-                hashes, several = (b.anchor[b.first] >> np.uint64(32)).astype(np.uint32), b.several()
-                got = [(k, hashes[p].tobytes(), np.packbits(several[p]).tobytes()) for k, p in b.parts()]
+                hashes, several, texts = (b.anchor[b.first] >> np.uint64(32)).astype(np.uint32), b.several(), b.texts()
+                pack = zstandard.ZstdCompressor(1).compress  # nearly all are 1
+                got = [(k, hashes[p].tobytes(), np.packbits(several[p]).tobytes(), pack(texts[p].tobytes())) for k, p in b.parts()]
                 if got:
-                    k, h, m = zip(*got, strict=True)
-                    yield {"block": [block] * len(k), "bucket": k, "hashes": h, "several": m}
+                    k, h, m, n = zip(*got, strict=True)
+                    yield {"block": [block] * len(k), "bucket": k, "hashes": h, "several": m, "texts": n}
 
     def answer(rows):
         each = [np.frombuffer(r["hashes"], np.uint32) for r in rows]
         several = [np.unpackbits(np.frombuffer(r["several"], np.uint8), count=len(h)).astype(bool) for r, h in zip(rows, each, strict=True)]
         flat = np.sort(np.concatenate(each + [h[m] for h, m in zip(each, several, strict=True)]))
         shared = np.unique(flat[1:][flat[1:] == flat[:-1]])
+        total = np.zeros(len(shared), np.int64)
+        places = []
         for r, h in zip(rows, each, strict=True):
             place = np.minimum(np.searchsorted(shared, h), max(0, len(shared) - 1))
             hit = shared[place] == h if len(shared) else np.zeros(len(h), bool)
-            yield {"block": [r["block"]], "bucket": [r["bucket"]], "flags": [np.packbits(hit).tobytes()]}
-
-    sent = map_rows(blocks, send, "block bigint, bucket bigint, hashes binary, several binary")
+            texts = np.frombuffer(zstandard.ZstdDecompressor().decompress(r["texts"]), np.uint16)
+            np.add.at(total, place[hit], texts[hit])
+            places.append((place, hit))
+        hot = np.r_[total > HOT_TEXTS, False]  # the last for no shared anchor
+        for r, (place, hit) in zip(rows, places, strict=True):
+            yield {"block": [r["block"]], "bucket": [r["bucket"]], "flags": [np.packbits(np.r_[hit, hit & hot[place]]).tobytes()]}
+
+    sent = map_rows(blocks, send, "block bigint, bucket bigint, hashes binary, several binary, texts binary")
     return by_bucket(sent, answer, "block bigint, bucket bigint, flags binary")
 
 
@@ -247,14 +310,13 @@ def dedupe(docs: DataFrame, extra: str | None = None, text: bool = False) -> Dat
     def send(row, by):
         b = _Block(open_block(row["body"], row["sizes"]), row["ids"], buckets)
         out = {"block": [], "bucket": [], "sizes": [], "ids": [], "text": []}
-        for bucket, at in b.shared(by["flags"]).items():
-            if len(at):
-                pieces, least, _ = b.pieces(at)
-                out["block"].append(row["block"])
-                out["bucket"].append(bucket)
-                out["sizes"].append(np.array(list(map(len, pieces)), np.int32).tobytes())
-                out["ids"].append(least.tobytes())
-                out["text"].append(zstandard.ZstdCompressor(3).compress(b"".join(pieces)))
+        for bucket, asked in b.shared(by["flags"]).items():
+            pieces, least, _ = b.pieces(*asked)
+            out["block"].append(row["block"])
+            out["bucket"].append(bucket)
+            out["sizes"].append(np.array(list(map(len, pieces)), np.int32).tobytes())
+            out["ids"].append(least.tobytes())
+            out["text"].append(zstandard.ZstdCompressor(3).compress(b"".join(pieces)))
         return out
 
     sent = with_answers(
@@ -284,18 +346,15 @@ def dedupe(docs: DataFrame, extra: str | None = None, text: bool = False) -> Dat
         b = _Block(bodies, row["ids"], buckets)
         starts = np.cumsum(row["sizes"]) - row["sizes"]
         edge = np.zeros(sum(row["sizes"]) + 1, np.int32)
-        for bucket, at in b.shared(by["flags"]).items():
-            if not len(at):
-                continue
-            pieces, least, place = b.pieces(at)
+        for bucket, (doc, start, n) in b.shared(by["flags"]).items():
+            pieces, least, place = b.pieces(doc, start, n)
             counts = np.array(list(map(len, pieces))) - MATCH + 1
             bits = np.unpackbits(np.frombuffer(by["marks"][bucket], np.uint8), count=int(counts.sum())).astype(bool)
             first = np.cumsum(counts) - counts
-            n = b.count[at]
-            run = np.repeat(np.arange(len(at)), n)
+            run = np.repeat(np.arange(len(doc)), n)
             offset = np.arange(len(run)) - (np.cumsum(n) - n)[run]
-            hit = bits[first[place][run] + offset] | (b.ids[b.doc[at]] > least[place])[run]
-            where = (starts[b.doc[at]] + b.start[at])[run][hit] + offset[hit]
+            hit = bits[first[place][run] + offset] | (b.ids[doc] > least[place])[run]
+            where = (starts[doc] + start)[run][hit] + offset[hit]
             np.add.at(edge, where, 1)
             np.add.at(edge, where + MATCH, -1)
         gone = np.cumsum(edge)[:-1] > 0

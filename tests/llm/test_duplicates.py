@@ -58,6 +58,20 @@ def test_recall_just_above_the_threshold():
     assert found.mean() > 0.97
 
 
+@pytest.mark.parametrize("dim", [64, 256, 768])
+@pytest.mark.parametrize("cosine", [0.9501, 0.97])
+def test_planted_pairs_by_width(dim, cosine):
+    rng = np.random.default_rng(dim)
+    x = rng.normal(size=(1500, dim))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    y = rng.normal(size=x.shape)
+    y -= (y * x).sum(1, keepdims=True) * x
+    y /= np.linalg.norm(y, axis=1, keepdims=True)
+    a, b = embeddings.buckets(x), embeddings.buckets(cosine * x + np.sqrt(1 - cosine**2) * y)
+    found = ((b == a[:, :, :1]).any(2) | (a == b[:, :, :1]).any(2)).any(1)
+    assert found.mean() >= 0.995
+
+
 def test_fingerprint():
     def plain(text):
         words = text.lower().split()
@@ -142,8 +156,10 @@ def _brute(docs):
     return out
 
 
-@pytest.mark.parametrize("small", [True, False])
+@pytest.mark.parametrize("small", [True, False, "hot"])
 def test_repeated_passages(spark, monkeypatch, small):
+    if small == "hot":
+        monkeypatch.setattr(suffix, "HOT_TEXTS", 2)
     if small:
         for name, value in (("BLOCK_BYTES", 3000), ("BUCKET_BYTES", 4000), ("BATCH_WINDOWS", 300), ("CHUNK_BYTES", 700)):
             monkeypatch.setattr(suffix, name, value)
@@ -180,6 +196,51 @@ def test_repeated_passages(spark, monkeypatch, small):
     assert suffix.dedupe_rows(df.where("doc_id < 0")).collect() == []
 
 
+def _sharing_a_phrase(n):
+    """Documents of which most hold one phrase of 41 bytes in surroundings of their own, and some repeat others."""
+    r = random.Random(9)
+    phrase = "a phrase shorter than any passage that goes"[:41]
+    out = []
+    for i in range(n):
+        left, right = ("".join(r.choice("abcdefgh ") for _ in range(40)) for _ in range(2))
+        out.append(left + phrase + right if i % 50 else out[r.randrange(i)][:70] + left if i else left)
+    return out
+
+
+def test_phrase_in_most_documents(spark):
+    texts = _sharing_a_phrase(6000)
+    bodies = [t.encode() for t in texts]
+    want = _brute(list(enumerate(bodies)))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(3)
+    got = {x["doc_id"]: x for x in suffix.dedupe(df).collect()}
+    assert len(got) == len(texts)
+    assert sum(gone.any() for gone in want) > 100
+    for i, gone in enumerate(want):
+        assert got[i]["kept"] == np.frombuffer(bodies[i], np.uint8)[~gone].tobytes()
+
+
+def test_windows_of_a_hot_anchor_spread():
+    bodies = [t.encode() for t in _sharing_a_phrase(6000)]
+    block = suffix._Block(bodies, list(range(6000)), 12)
+    assert block.texts().max() > suffix.HOT_TEXTS
+    hot = {k: block.texts()[p] > suffix.HOT_TEXTS for k, p in block.parts()}
+    flags = lambda marks: {k: np.packbits(np.r_[np.ones(len(m), bool), m]).tobytes() for k, m in marks.items()}
+    whole = block.shared(flags({k: m & False for k, m in hot.items()}))
+    split = block.shared(flags(hot))
+    count = lambda asked: {k: int(n.sum()) for k, (_, _, n) in asked.items()}
+    assert sum(count(whole).values()) == sum(count(split).values()) == sum(len(b) - 49 for b in bodies if len(b) >= 50)
+    beyond = {k: n for k, n in count(split).items() if k >= 12}
+    assert len(beyond) == 12 * suffix.SPLIT
+    assert max(beyond.values()) < 2 * sum(beyond.values()) / len(beyond)
+    # Equal windows meet in one bucket.
+    home = {}
+    for k, (doc, start, n) in split.items():
+        if k >= 12:
+            assert (n == 1).all()
+            for d, s in zip(doc.tolist(), start.tolist(), strict=True):
+                assert home.setdefault(bodies[d][s : s + 50], k) == k
+
+
 def test_cut_characters():
     body = "aéb".encode()
     spans = lambda *x: np.array(x, np.int64).tobytes()
