@@ -11,7 +11,8 @@ logistic loss with fixed seeds, on a sample of SAMPLE_ROWS labelled rows at most
 least hash of their ids. All rows are scored.
 
 Rows: null or wordless text has no terms and the score of the bare w0. Labels that are null don't
-train, of several labels of an id the larger counts; with no training row (or none of one class) the score is the share of label 1 (0 if none).
+train, of several labels of an id the larger counts, of several texts of an id the one whose list of
+buckets is least; with no training row (or none of one class) the score is the share of label 1 (0 if none).
 """
 
 from __future__ import annotations
@@ -127,7 +128,9 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> M
     # Bounded by sample_rows, so it may be broadcast.
     sample = F.broadcast(usable.groupBy("doc_id").agg(F.max("toxic").alias("toxic")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows))
     texts = docs.select("doc_id", "text").join(sample, "doc_id").select("doc_id", "toxic", utf8(F.col("text")).alias("body"))
-    rows = staged(texts.select("doc_id", "toxic", _buckets_udf()(F.col("body"))["terms"].alias("terms")), "toxicity")
+    found = texts.select("doc_id", "toxic", _buckets_udf()(F.col("body"))["terms"].alias("terms"))
+    # One row an id, so that no repeated id outweighs others or outgrows the bound; rows meet after partial minima.
+    rows = staged(found.groupBy("doc_id").agg(F.max("toxic").alias("toxic"), F.min("terms").alias("terms")), "toxicity")
     n, n1 = rows.agg(F.count("*"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
     if not n or n1 in (0, n):
         share = n1 / n if n else 0.0

@@ -102,6 +102,31 @@ def test_toxicity_of_odd_rows(spark):
     assert toxicity.score_rows(frame(spark, []), labels).collect() == []
 
 
+def test_repeated_ids_train_once(spark):
+    texts, toxic = _toxic_corpus()
+    labels = spark.createDataFrame([(i, y) for i, y in enumerate(toxic)], "doc_id bigint, toxic int")
+    ids = list(range(len(texts)))
+    once = toxicity.fit(frame(spark, texts), labels)
+    hot = next(i for i in ids if toxic[i])
+    often = toxicity.fit(frame(spark, texts + [texts[hot]] * (len(texts) // 2), ids + [hot] * (len(texts) // 2)), labels)
+    assert often.chosen == once.chosen
+    assert often.bias == once.bias and (often.linear == once.linear).all() and (often.factors == once.factors).all()
+
+
+def test_toxicity_of_a_long_text(spark):
+    texts, toxic = _toxic_corpus()
+    labels = spark.createDataFrame([(i, y) for i, y in enumerate(toxic)], "doc_id bigint, toxic int")
+    machine = toxicity.fit(frame(spark, texts), labels)
+    long = "plain words of no harm " * 50_000 + " ".join(texts[:50])  # over 1 MB
+    other = [long, None, "", long]
+    score = toxicity.scoring(spark, machine)
+    rows = frame(spark, other).select("doc_id", score(toxicity.utf8(toxicity.F.col("text")))["score"].alias("score")).collect()
+    present = {b for w in toxicity.words(long.encode()) for b in toxicity.terms(w) if b in machine.chosen}
+    want = machine.score(sorted(machine.chosen[b] for b in present))
+    bare = machine.score([])
+    assert {r["doc_id"]: r["score"] for r in rows} == pytest.approx({0: want, 1: bare, 2: bare, 3: want})
+
+
 def test_machine_is_the_sum_over_pairs():
     rng = np.random.default_rng(3)
     m = toxicity.Machine(0.3, {}, rng.normal(size=6), rng.normal(size=(6, 4)))
