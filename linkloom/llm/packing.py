@@ -172,7 +172,8 @@ def pack(spark: SparkSession, cut: DataFrame, length: int = LENGTH) -> DataFrame
         by_length[size].append(tuple(rest))
     kind = "length bigint, slots array<struct<lo:bigint,hi:bigint,base:bigint,k:int,at:int>>"
     table = spark.createDataFrame([(s, v) for s, v in by_length.items()], kind)
-    one = table.select("length", F.explode("slots").alias("s")).select("length", "s.*")
+    # Each length adds three patterns at most, so the sequence length bounds the table, not the data; it may be broadcast.
+    one = F.broadcast(table.select("length", F.explode("slots").alias("s")).select("length", "s.*"))
     hit = (F.col("rank") >= F.col("lo")) & (F.col("rank") < F.col("hi"))
     step = F.col("rank") - F.col("lo")
     return (

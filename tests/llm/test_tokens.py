@@ -91,6 +91,26 @@ def test_pieces_and_sequences(spark):
         assert at <= 256
 
 
+def test_full_pieces_meet_a_broadcast_table(spark):
+    """A third of all pieces has one length; they find their slots without a shuffle on it."""
+    texts = ["word " * 3000] * 20 + [None, ""] + [f"text {i} " * i for i in range(40)]
+    made = packing.pack_rows(frame(spark, texts, [5] * 20 + list(range(42))), BYTES, 256)
+    got = made.collect()
+    by_sequence = {}
+    for r in got:
+        by_sequence.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+    for placed in by_sequence.values():
+        end = 0
+        for offset, length in sorted(placed):
+            assert offset == end
+            end += length
+        assert end <= 256
+    library = Tokenizer.from_file(BYTES)
+    assert sum(r["length"] for r in got) == sum(len(library.encode(t or "", add_special_tokens=False).ids) + 1 for t in texts)
+    plan = made._jdf.queryExecution().optimizedPlan().toString()
+    assert "rightHint=(strategy=broadcast)" in plan
+
+
 def test_shortest_pack_first():
     r = random.Random(2)
     histogram = dict(Counter(min(2048, int(r.expovariate(1 / 400)) + 1) for _ in range(50_000)))
