@@ -1,14 +1,21 @@
-"""Near-duplicate texts by the Jaccard similarity of their shingles.
+"""Near-duplicate texts: SimHash and the generalised pigeonhole principle, verified by Jaccard similarity.
 
 Two texts link if their sets of SHINGLE-word shingles have a Jaccard similarity of LEAST_JACCARD or
-more. Candidates share one of BANDS keys, each made of ROWS minimum hashes; a pair at similarity s
-shares one with a chance of 1 - (1 - s^ROWS)^BANDS (0.99993 at 0.8, more above). Each candidate is
-verified by its sets, so no false link is made.
+more. Equal sets collapse first. Candidates come from op 5's method (`simhash.py`), over TABLES SimHash
+fingerprints of a set:
 
-Equal sets collapse first. In each bucket of a key, rounds compare one set (a pivot, of a component
-drawn by hash) with those that aren't joined to it yet, so a dense group costs its size and not its
-square. After PIVOT_ROUNDS all pairs of a bucket that lie in different components are compared, so
-the components are those of all candidates. Pairs meet their texts by the pivot and a salt.
+1. The bits of each fingerprint are grouped into PARTS partitions by correlation, a dynamic program
+   chooses each fingerprint's thresholds, and it probes its partitions' values within them. Sets that
+   differ in MOST bits of a fingerprint or fewer meet for certain. At a similarity of 0.8 a bit differs
+   with a chance of 0.15, so a partition of 16 bits agrees with 0.07, and one of TABLES * PARTS with 0.9999.
+2. Members of a bucket are candidates at NEAR or fewer differing bits of that fingerprint, and go on if
+   the bits of all fingerprints differ in no more than FAR says.
+3. Each of those is verified by its sets, so no false link is made.
+
+A bucket gives each member its nearest candidates of other components, FIRST at first and MORE times as many
+in each further round, until none is left out. First the nearest of all of a node are verified, then what still
+lies in different components. So a dense group costs little more than its size; candidates that don't link
+are all compared. A bucket is in one task, as 8-byte numbers.
 
 Rows: null or wordless text has the empty set, which equals itself and links to nothing else. A text
 of fewer words than a shingle is one shingle.
@@ -19,22 +26,28 @@ from __future__ import annotations
 from itertools import accumulate
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from linkloom.llm.common import components, map_rows, staged, text_udf, utf8
-from linkloom.llm.simhash import signed
+from linkloom.llm.common import components, map_rows, mix64, staged, text_udf, utf8
+from linkloom.llm.simhash import BITS, bit_table, group_bits, places, signed, thresholds
 
 SHINGLE, LEAST_JACCARD, SEED = 5, 0.8, 42
-BANDS, ROWS = 24, 5
-PIVOT_ROUNDS = 3
-#: Pairs of one pivot in a group, and parts that a bucket is dealt into.
-GROUP, SALTS = 1000, 16
+TABLES, PARTS, MOST, NEAR = 32, 4, 3, 12
+#: Differing bits of all fingerprints, for sets of fewer than FEW shingles (their bits tie often) and for others.
+#: At a similarity of 0.8 their mean is 383 at 4 shingles and 310 at many, their deviation 16 to 17.
+FAR, FEW = (455, 380), 32
+#: Candidates of a member in the first round, factor of each further round, and members of a bucket compared at a time.
+FIRST, MORE, SMALL, CHUNK = 2, 64, 8, 2048
+#: Candidates of a node that are verified before the rest.
+NEAREST = 3
+#: Pairs of one text in a group.
+GROUP = 1000
 
 _rng = np.random.default_rng(5)
-_FACTORS = _rng.integers(0, 2**63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_SHIFTS = _rng.integers(0, 2**63, BANDS * ROWS, dtype=np.uint64)
+_FACTORS = _rng.integers(0, 2**63, TABLES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_SHIFTS = _rng.integers(0, 2**63, TABLES, dtype=np.uint64)
 
 
 def shingles(text: bytes) -> np.ndarray:
@@ -50,14 +63,15 @@ def shingles(text: bytes) -> np.ndarray:
     return np.array(sorted({xxh64_intdigest(joined[a : b - 1], SEED) for a, b in zip(starts, ends[SHINGLE - 1 :], strict=True)}), np.uint64)
 
 
-def bands(found: np.ndarray) -> list[int]:
-    """The keys of a set. Sets of fewer than 4 can only link to equal ones and have none."""
+def sketch(found: np.ndarray) -> list[int]:
+    """The fingerprints of a set. Sets of fewer than 4 can only link to equal ones and have none."""
     if len(found) < 4:
         return []
-    least = np.full(BANDS * ROWS, np.iinfo(np.uint64).max, np.uint64)
-    for i in range(0, len(found), 1 << 12):
-        least = np.minimum(least, (found[i : i + (1 << 12), None] * _FACTORS + _SHIFTS).min(0))
-    return [signed(xxh64_intdigest(least[k * ROWS : (k + 1) * ROWS].tobytes(), k)) for k in range(BANDS)]
+    ones = np.zeros(TABLES * BITS, np.int64)
+    for i in range(0, len(found), 256):
+        h = mix64(found[i : i + 256, None] * _FACTORS + _SHIFTS)
+        ones += np.unpackbits(h.view(np.uint8), axis=1).sum(0, dtype=np.uint16)
+    return np.packbits(2 * ones > len(found)).view(np.int64).tolist()
 
 
 def jaccard(a: np.ndarray, b: np.ndarray) -> float:
@@ -67,15 +81,141 @@ def jaccard(a: np.ndarray, b: np.ndarray) -> float:
 
 def _sets():
     def step(texts):
-        out = {"node": [], "n": [], "keys": []}
+        out = {"node": [], "n": [], "prints": []}
         for t in texts:
             found = shingles(t)
             out["node"].append(signed(xxh64_intdigest(found.tobytes(), SEED)))
             out["n"].append(len(found))
-            out["keys"].append(bands(found))
+            out["prints"].append(sketch(found))
         return out
 
-    return text_udf(lambda: step, "node bigint, n bigint, keys array<bigint>")
+    return text_udf(lambda: step, "node bigint, n bigint, prints array<bigint>")
+
+
+def partitions(nodes: DataFrame) -> list[tuple[list[list[int]], np.ndarray]]:
+    """For each fingerprint its bits grouped by correlation, and each bit's frequency of 1."""
+    half = np.triu_indices(BITS)
+
+    def count(slices):
+        both, n = np.zeros((TABLES, BITS, BITS)), 0
+        for part in slices:
+            f = np.array(part["prints"], np.int64)
+            for t in range(TABLES):
+                b = bit_table(f[:, t]).astype(np.float32)
+                both[t] += b.T @ b
+            n += len(f)
+        counts = both[:, *half].reshape(-1).astype(np.int64)
+        yield {"at": [*range(len(counts)), -1], "n": [*counts.tolist(), n]}
+
+    rows = map_rows(nodes.select("prints"), count, "at int, n bigint").groupBy("at").agg(F.sum("n").alias("n")).collect()  # 66,561 rows
+    got = {r["at"]: r["n"] for r in rows}
+    out, size = [], len(half[0])
+    for t in range(TABLES):
+        both = np.zeros((BITS, BITS))
+        both[half] = [got.get(t * size + i, 0) for i in range(size)]
+        both = np.maximum(both, both.T) / max(1, got.get(-1, 0))
+        out.append(group_bits(both, PARTS))
+    return out
+
+
+def probed(nodes: DataFrame) -> DataFrame:
+    """key, f, node, own: the values of its fingerprints' partitions that each node has (own) or probes."""
+    grouped, n = partitions(nodes), nodes.count()
+
+    def step(slices):
+        for part in slices:
+            every, f = np.array(part["node"], np.int64), np.array(part["prints"], np.int64)
+            for t, (groups, p) in enumerate(grouped):
+                mine = f[:, t]
+                key, at, own = places(mine, groups, thresholds(bit_table(mine), groups, p, n, MOST))
+                yield {"key": key | t << 40, "f": mine[at], "node": every[at], "own": own}
+
+    return map_rows(nodes.select("node", "prints"), step, "key bigint, f bigint, node bigint, own boolean", 1 << 20)
+
+
+def _small(key, f, node, root, own):
+    """(a, b): the candidates of buckets of at most SMALL members, sorted by key."""
+    out = [np.zeros((0, 2), np.int64)]
+    for d in range(1, SMALL):
+        at = np.flatnonzero(key[d:] == key[:-d])
+        if not len(at):
+            break
+        at = at[(own[at] | own[at + d]) & (root[at] != root[at + d]) & (np.bitwise_count(f[at] ^ f[at + d]) <= NEAR)]
+        out.append(np.c_[node[at], node[at + d]])
+    return np.concatenate(out)
+
+
+def _large(f, node, root, own, most: int, within: bool):
+    """The candidates of one bucket, `most` for each member, and whether some were left out.
+
+    `within`: members are compared in chunks of like fingerprints only. Else all that aren't in the
+    commonest component are compared with all.
+    """
+    out, left, m = [np.zeros((0, 2), np.int64)], False, len(f)
+    if within:
+        order = np.argsort(f, kind="stable")
+        asks = [(order[i : i + CHUNK], order[i : i + CHUNK]) for i in range(0, m, CHUNK)]
+        left = m > CHUNK
+    else:
+        _, label, counts = np.unique(root, return_inverse=True, return_counts=True)
+        minor = np.flatnonzero(label != counts.argmax())
+        asks = [(minor[i : i + 64], np.arange(m)) for i in range(0, len(minor), 64)]
+    for q, c in asks:
+        near = np.bitwise_count(f[q, None] ^ f[None, c])
+        near[(near > NEAR) | (root[q, None] == root[None, c]) | ~(own[q, None] | own[None, c])] = 255
+        if most < len(c):
+            left |= bool(((near < 255).sum(1) > most).any())
+            place = np.argpartition(near, most, axis=1)[:, :most]
+            i, k = np.nonzero(np.take_along_axis(near, place, 1) < 255)
+            j = place[i, k]
+        else:
+            i, j = np.nonzero(near < 255)
+        out.append(np.c_[node[q[i]], node[c[j]]])
+    return np.concatenate(out), left
+
+
+def candidates(buckets: DataFrame, most: int, within: bool) -> DataFrame:
+    """x, y (x < y), and key: the candidates of buckets (key, f, node, own, root), or the key of a bucket that left some out."""
+
+    def step(slices):
+        names = ("key", "f", "node", "root", "own")
+        held: list[list[np.ndarray]] = []
+
+        def joined():
+            return [np.concatenate(c) for c in zip(*held, strict=True)]
+
+        def made(columns):
+            key = columns[0]
+            if not len(key):
+                return
+            starts = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+            sizes = np.diff(np.r_[starts, len(key)])
+            few = np.repeat(sizes <= SMALL, sizes)
+            pairs, keys = [_small(*(c[few] for c in columns))], []
+            for s, n in zip(starts[sizes > SMALL].tolist(), sizes[sizes > SMALL].tolist(), strict=True):
+                found, left = _large(*(c[s : s + n] for c in columns[1:]), most, within)
+                pairs.append(found)
+                if left:
+                    keys.append(int(key[s]))
+            pairs = np.concatenate(pairs)
+            pairs = np.unique(np.sort(pairs[pairs[:, 0] != pairs[:, 1]], axis=1), axis=0)
+            yield {"x": pairs[:, 0], "y": pairs[:, 1], "key": [None] * len(pairs)}
+            if keys:
+                yield {"x": [None] * len(keys), "y": [None] * len(keys), "key": keys}
+
+        for part in slices:  # sorted by key: all but the last are complete
+            held.append([np.array(part["f"], np.int64).view(np.uint64) if n == "f" else np.array(part[n]) for n in names])
+            if held[0][0][0] == held[-1][0][-1]:
+                continue  # one key so far
+            columns = joined()
+            last = int(np.searchsorted(columns[0], columns[0][-1]))
+            yield from made([c[:last] for c in columns])
+            held = [[c[last:] for c in columns]]
+        if held:
+            yield from made(joined())
+
+    dealt = buckets.select("key", "f", "node", "root", "own").repartition("key").sortWithinPartitions("key")
+    return map_rows(dealt, step, "x bigint, y bigint, key bigint")
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
@@ -104,39 +244,46 @@ def _verified(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
 
 
 def links(nodes: DataFrame, bodies: DataFrame, least: float = LEAST_JACCARD) -> DataFrame:
-    """node, root of the components of nodes (node, n, keys, mark). bodies: (mark, body) of the nodes' first rows."""
+    """node, root of the components of nodes (node, n, prints, mark). bodies: (mark, body) of the nodes' first rows."""
     spark = nodes.sparkSession
-    keyed = nodes.select("node", "n", F.explode("keys").alias("key")).withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(SALTS)).cast("int"))
-    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
-    several = keyed.groupBy("key").agg(F.count("*").alias("m")).where("m > 1").select("key", salts)
-    bucket = staged(keyed.join(several, ["key", "salt"]), "shared")
-    used = bucket.select("node").distinct().join(nodes.select("node", "mark"), "node")
-    texts = staged(bodies.join(used, "mark").groupBy("node").agg(F.first("body").alias("body")), "texts")
-    edges = spark.createDataFrame([], "a bigint, b bigint")
-    compared, roots = spark.createDataFrame([], "x bigint, y bigint"), spark.createDataFrame([], "node bigint, root bigint")
-    for turn in range(PIVOT_ROUNDS + 1):
-        now = bucket.join(roots, "node", "left").select("key", "salt", "node", "n", F.coalesce("root", "node").alias("root"))
-        drawn = F.min(F.struct(F.xxhash64("root", F.lit(turn)), F.xxhash64("node", F.lit(turn)), F.struct("node", "n", "root").alias("p"))).alias("d")
-        mixed = now.groupBy("key").agg(drawn, F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi")
-        mixed = staged(mixed.select("key", salts, F.col("d.p.node").alias("y"), F.col("d.p.n").alias("yn"), F.col("d.p.root").alias("yr")), "pivots")
-        if mixed.isEmpty():  # each bucket lies in one component
-            break
-        pairs = now.join(mixed, ["key", "salt"]).where("root <> yr")
-        if turn == PIVOT_ROUNDS:
-            # Of two sets in different components one at least isn't in the pivot's.
-            other = pairs.select("key", F.col("node").alias("y"), F.col("n").alias("yn"), F.col("root").alias("yr"), salts)
-            pairs = now.join(other, ["key", "salt"]).where("root <> yr")
-        pairs = pairs.where(F.least("n", "yn") >= least * F.greatest("n", "yn")).select(F.col("node").alias("x"), "y").distinct()
-        if turn == PIVOT_ROUNDS:  # both ends may be a y
-            pairs = pairs.groupBy(F.least("x", "y").alias("lo"), F.greatest("x", "y").alias("hi")).agg(F.first("x").alias("x"), F.first("y").alias("y")).select("x", "y")
-        known = compared.union(compared.select("y", "x"))
-        pairs = staged(pairs.join(known, ["x", "y"], "left_anti"), "pairs")
-        compared = compared.union(pairs)
-        if pairs.isEmpty():
-            continue
-        edges = edges.union(_verified(pairs, texts, least))
-        roots = components(edges)
-    return roots
+    nodes = nodes.where("size(prints) > 0")
+    edges, roots = spark.createDataFrame([], "a bigint, b bigint"), spark.createDataFrame([], "node bigint, root bigint")
+    compared = spark.createDataFrame([], "x bigint, y bigint")
+    dense, most = None, FIRST
+    every = probed(nodes)
+    while True:
+        if dense is None:
+            now = every.withColumn("root", F.col("node"))
+        else:
+            now = dense.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        found = staged(candidates(now, most, dense is None), "candidates")
+        pairs = found.where("key is null").select("x", "y").distinct().join(compared, ["x", "y"], "left_anti")
+        one, other = (nodes.select(F.col("node").alias(c), F.col("n").alias(f"{c}n"), F.col("prints").alias(f"{c}p")) for c in "xy")
+        far = F.aggregate(F.zip_with("xp", "yp", lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda a, b: a + b)
+        scored = pairs.join(one, "x").join(other, "y").where(F.least("xn", "yn") >= least * F.greatest("xn", "yn"))
+        scored = scored.select("x", "y", far.alias("far"), F.when(F.least("xn", "yn") < FEW, FAR[0]).otherwise(FAR[1]).alias("limit"))
+        scored = staged(scored.where("far <= limit").select("x", "y", "far"), "scored")
+        if not scored.isEmpty():
+            compared = compared.union(scored.select("x", "y"))
+            used = scored.select(F.explode(F.array("x", "y")).alias("node")).distinct().join(nodes.select("node", "mark"), "node")
+            texts = staged(bodies.join(used, "mark").select("node", "body"), "texts")
+            ends = scored.select(F.col("x").alias("end"), "*").union(scored.select(F.col("y").alias("end"), "*"))
+            rank = F.row_number().over(Window.partitionBy("end").orderBy("far", "x", "y"))
+            first = staged(ends.withColumn("rank", rank).where(F.col("rank") <= NEAREST).select("x", "y").distinct(), "first")
+            edges = edges.union(_verified(first, texts, least))
+            roots = components(edges)
+            rest = scored.select("x", "y").join(first, ["x", "y"], "left_anti")
+            for c in "xy":
+                rest = rest.join(roots.select(F.col("node").alias(c), F.col("root").alias(f"{c}r")), c, "left").withColumn(f"{c}r", F.coalesce(f"{c}r", c))
+            rest = staged(rest.where("xr <> yr").select("x", "y"), "rest")
+            if not rest.isEmpty():
+                edges = edges.union(_verified(rest, texts, least))
+                roots = components(edges)
+        left = found.where("key is not null").select("key").distinct()
+        if left.isEmpty():
+            return roots
+        dense = staged((every if dense is None else dense).join(left, "key", "left_semi"), "dense")
+        most *= MORE
 
 
 def keep_first(docs: DataFrame, least: float = LEAST_JACCARD) -> DataFrame:
@@ -150,9 +297,9 @@ def keep_first(docs: DataFrame, least: float = LEAST_JACCARD) -> DataFrame:
     docs = given.select("row.doc_id", "row.text", "mark")
     rows = staged(docs.select("doc_id", "mark", _sets()(utf8(F.col("text"))).alias("s")).select("doc_id", "mark", "s.*"), "shingled")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "mark")).alias("first")
-    nodes = staged(rows.groupBy("node").agg(first, F.first("n").alias("n"), F.first("keys").alias("keys")), "sets")
+    nodes = staged(rows.groupBy("node").agg(first, F.first("n").alias("n"), F.first("prints").alias("prints")), "sets")
     bodies = docs.select("mark", utf8(F.col("text")).alias("body"))
-    roots = links(nodes.select("node", "n", "keys", "first.mark"), bodies, least)
+    roots = links(nodes.select("node", "n", "prints", "first.mark"), bodies, least)
     placed = nodes.join(roots, "node", "left").select("first", F.coalesce("root", "node").alias("root"))
     stay = placed.groupBy("root").agg(F.min("first").alias("s")).select(F.col("s.mark").alias("mark"))
     return given.join(stay, "mark", "left_semi").select("row.*")

@@ -79,7 +79,11 @@ def correlated_groups(prints: DataFrame, parts: int = PARTS) -> tuple[list[list[
     rows = map_rows(prints.select("f"), count, "at int, n bigint").groupBy("at").agg(F.sum("n").alias("n")).collect()  # 4097 rows
     got = {r["at"]: r["n"] for r in rows}
     n = max(1, got.get(-1, 0))
-    both = np.array([got.get(i, 0) for i in range(BITS * BITS)], float).reshape(BITS, BITS) / n
+    return group_bits(np.array([got.get(i, 0) for i in range(BITS * BITS)], float).reshape(BITS, BITS) / n, parts)
+
+
+def group_bits(both: np.ndarray, parts: int) -> tuple[list[list[int]], np.ndarray]:
+    """Bits grouped by correlation, and each bit's frequency, from how often each two bits are both 1."""
     p = both.diagonal().copy()
     spread = np.sqrt(np.maximum(p * (1 - p), 1e-12))
     corr = np.abs((both - np.outer(p, p)) / np.outer(spread, spread))
@@ -172,14 +176,20 @@ def forest(f: np.ndarray, own: np.ndarray, most: int = MOST_BITS) -> list[tuple[
 
 def keys(f: np.ndarray, groups: list[list[int]], allowed: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(key, fingerprint, own) of each fingerprint's own values and of the values it probes."""
+    key, at, own = places(f, groups, allowed)
+    return key, f[at], own
+
+
+def places(f: np.ndarray, groups: list[list[int]], allowed: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """As `keys`, with the position of the fingerprint in place of it."""
     bits, out = bit_table(f).astype(np.int64), []
     for i, g in enumerate(groups):
         value = bits[:, g] @ (1 << np.arange(len(g)))
-        out.append((value | i << 32, f, np.ones(len(f), bool)))
+        out.append((value | i << 32, np.arange(len(f)), np.ones(len(f), bool)))
         for t in range(1, int(allowed[:, i].max(initial=0)) + 1):
             # The masks of exactly t bits, for those whose threshold reaches t.
             at, masks = np.flatnonzero(allowed[:, i] >= t), _flips(len(g), t)
-            out.append((((value[at, None] ^ masks[None]) | i << 32).reshape(-1), np.repeat(f[at], len(masks)), np.zeros(len(at) * len(masks), bool)))
+            out.append((((value[at, None] ^ masks[None]) | i << 32).reshape(-1), np.repeat(at, len(masks)), np.zeros(len(at) * len(masks), bool)))
     return tuple(map(np.concatenate, zip(*out, strict=True)))
 
 
