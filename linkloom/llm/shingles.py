@@ -7,7 +7,8 @@ fingerprints of a set:
 1. The bits of each fingerprint are grouped into PARTS partitions by correlation, a dynamic program
    chooses each fingerprint's thresholds, and it probes its partitions' values within them. Sets that
    differ in MOST bits of a fingerprint or fewer meet for certain. At a similarity of 0.8 a bit differs
-   with a chance of 0.15, so a partition of 16 bits agrees with 0.07, and one of TABLES * PARTS with 0.9999.
+   with a chance of 0.15, so a partition of 16 bits agrees with 0.07, and one of TABLES * PARTS with 0.9999
+   (0.99 for sets of 4 and 5, whose bits tie often).
 2. Members of a bucket are candidates at NEAR or fewer differing bits of that fingerprint, and go on if
    the bits of all fingerprints differ in no more than FAR says.
 3. Each of those is verified by its sets, so no false link is made.
