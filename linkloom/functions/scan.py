@@ -1,6 +1,7 @@
 """Named intermediate values and left-to-right scans, inside the row."""
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -59,6 +60,19 @@ def running_total(lengths: Column) -> Column:
     return scan(lengths, F.lit(0), lambda s, x: s + x, lambda s, x: s, "int")
 
 
+def holds(text: Column, *literals: str) -> Column:
+    """Whether `text` holds one of `literals`; a search of bytes, far cheaper than a pattern's."""
+    return reduce(Column.__or__, (F.contains(text, F.lit(x)) for x in literals))
+
+
+def replace_marked(text: Column, pattern: str, replacement: str, *literals: str) -> Column:
+    """`regexp_replace(text, pattern, replacement)`; every match must hold one of `literals`."""
+    return let(
+        text,
+        lambda c: F.when(holds(c, *literals), F.regexp_replace(c, pattern, replacement)).otherwise(c),
+    )
+
+
 def replace_closed(text: Column, pattern: str, replacement: str, closing: str, opening: str) -> Column:
     """`regexp_replace(text, pattern, replacement)` in time linear in the text.
 

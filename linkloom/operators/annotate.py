@@ -34,7 +34,7 @@ from linkloom.functions.predicates import (
     is_main,
     is_special_title,
 )
-from linkloom.functions.scan import let, replace_closed, running_total, scan
+from linkloom.functions.scan import holds, let, replace_closed, replace_marked, running_total, scan
 from linkloom.functions.titles import strip, wikilink_title
 from linkloom.operators.once import with_fields
 
@@ -139,14 +139,14 @@ def drop_media_links(text: Column, names: Iterable[str] | Column) -> Column:
 
 
 def _shallow(names: Iterable[str] | Column) -> Column:
-    """A link of one of `names` with up to 40 plain links in it: nearly all, in one pass.
+    """A link of one of `names` with up to 400 plain links in it: nearly all, in one pass.
 
-    The bound is there because the pattern engine recurses once per link; `drop_media_links` takes
-    the rest by the same rule. A mark stays in the place of what went, so that brackets on its two
-    sides don't become one.
+    The pattern engine takes the links of a possessive group in a loop. The bound is there because a
+    link left open is searched that far; `drop_media_links` takes the rest by the same rule. A mark
+    stays in the place of what went, so that brackets on its two sides don't become one.
     """
     return F.concat(
-        _head(names), F.lit(r"[^\[\]]*+(?:\[\[[^\[\]]*+\]\][^\[\]]*+){0,40}+\]\]")
+        _head(names), F.lit(r"[^\[\]]*+(?:\[\[[^\[\]]*+\]\][^\[\]]*+){0,400}+\]\]")
     )
 
 
@@ -165,26 +165,30 @@ def plain_wikitext(
     strict_depth: bool = False,
     media_names: Iterable[str] | Column = (*IMAGE_NAMES, *CATEGORY_NAMES),
 ) -> Column:
-    """Rules 1 to 6: what is left is plain text and `[[...]]` links."""
-    replace = F.regexp_replace
+    """Rules 1 to 6: what is left is plain text and `[[...]]` links.
 
-    text = replace(text, f"[{MARK}{OPENED}{TRANSL}{GONE}]", "")
+    A step's pattern is searched only in texts with one of the literals that every match holds.
+    """
+    text = replace_marked(text, f"[{MARK}{OPENED}{TRANSL}{GONE}]", "", MARK, OPENED, TRANSL, GONE)
     text = let(text, lambda c: replace_closed(c, r"(?s)<!--.*?-->", "", "-->", "<!--"))
-    text = replace(text, r"\|\s*\{\{transl\}\}\s*\]\]", "|" + TRANSL + "]]")
+    text = replace_marked(text, r"\|\s*\{\{transl\}\}\s*\]\]", "|" + TRANSL + "]]", "{{tran")
     text = let(
-        text,
-        lambda c: F.when(c.rlike(r"\{\{|\}\}"), drop_templates(c, strict_depth)).otherwise(c),
+        text, lambda c: F.when(holds(c, "{{", "}}"), drop_templates(c, strict_depth)).otherwise(c)
     )
-    text = replace(text, _EMPTY_REF, "")
-    text = let(text, lambda c: replace_closed(c, _REF, "", "(?i:</ref)\\s*>", "<"))
-    text = replace(text, _EXTERNAL, "$1")
+    text = replace_marked(text, _EMPTY_REF, "", "/>")
+    text = let(text, lambda c: replace_closed(c, _REF, "", "(?i:</ref)\\s*>", "</"))
+    text = replace_marked(text, _EXTERNAL, "$1", "//")
     text = drop_media(text, media_names)
-    text = replace(text, _BREAK, "\n\n")
-    text = replace(text, _TAG, "")
-    text = replace(text, _HEADING, "$1" if keep_section_titles else "")
-    text = replace(text, _TABLE_LINE, "")
-    text = replace(text, _LIST_MARK, "")
-    text = replace(text, r"'{2,}", "")
+    text = let(
+        text,
+        lambda c: F.when(
+            holds(c, "<"), F.regexp_replace(F.regexp_replace(c, _BREAK, "\n\n"), _TAG, "")
+        ).otherwise(c),
+    )
+    text = replace_marked(text, _HEADING, "$1" if keep_section_titles else "", "=")
+    text = replace_marked(text, _TABLE_LINE, "", "|", "!")
+    text = replace_marked(text, _LIST_MARK, "", "*", "#", ":", ";")
+    text = replace_marked(text, r"'{2,}", "", "''")
     return let(text, decode_entities)
 
 

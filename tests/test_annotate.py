@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from linkloom.functions import meta
 from linkloom.operators.annotate import (
+    IMAGE_NAMES,
+    _shallow,
     annotate_links,
     drop_media,
     drop_media_links,
@@ -171,6 +173,18 @@ def test_any_number_of_nested_links(render, n):
     assert (content, links) == ("x[]y", [])
 
 
+def test_sixty_nested_links_need_no_scan(texts):
+    """One pass of the pattern takes them; so does it a page's worth, without recursion."""
+    text = lambda n: "x[[File:p.png|" + "[[a]] " * n + "]]y"
+    found = texts([text(60), text(400), text(401)], lambda c: F.regexp_replace(c, _shallow(IMAGE_NAMES), F.lit("-")))
+    assert found == ["x-y", "x-y", text(401)]
+
+
+@pytest.mark.parametrize("n", [399, 400, 401, 5000])
+def test_many_nested_links(render, n):
+    assert render("x[[File:p.png|" + "[[a]] " * n + "]]y") == ("xy", [])
+
+
 def test_blank_surfaces(render):
     content, links = render("[[a|\u3000]][[b|&emsp;]][[c|&#x2028;]][[d|&nbsp;]][[e|\u202f]]")
     assert [link for _, link in links] == ["d", "e"]

@@ -11,7 +11,7 @@ from linkloom.functions.literals import (
     to_array_literal,
     to_int_array_literal,
 )
-from linkloom.functions.scan import running_total, scan
+from linkloom.functions.scan import holds, replace_marked, running_total, scan
 from linkloom.functions.titles import (
     abbreviate,
     bracketed_target,
@@ -180,3 +180,9 @@ def test_all_names_and_any_number_of_digits(texts):
     assert len(named_entities()) == 252
     given = ["&forall;&part;&sum;&empty;&rArr;&hearts;&thetasym;", "&#00000233;&#x00000e9;&#X1F600;", "&#99999999999999999999;&#x110000;&#xd800;&nosuchname;"]
     assert texts(given, decode_entities) == ["∀∂∑∅⇒♥ϑ", "éé😀", given[2]]
+
+
+def test_a_pattern_is_searched_where_a_literal_is(texts):
+    """The same text, whether a literal of the pattern is there or not."""
+    found = texts(["a=b", "ab", "", None], lambda c: replace_marked(c, "(=+)|b", "-$1", "=", "!"), lambda c: holds(c, "a", "!"))
+    assert found == [("a-=-", True), ("ab", True), ("", False), (None, None)]
