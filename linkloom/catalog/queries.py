@@ -82,7 +82,10 @@ def link_counts_after_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def aggregate_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = inputs.web_pages(inputs.table(spark, sf_dir, "pages"))
-    return _array_text(relations.aggregate_pages(pages, normalized_links(spark, sf_dir)))
+    links, moved, entities = _web(spark, sf_dir)
+    # Many pages answer to one title: their ids travel as arrays.
+    normalized = relations.normalized_links(links, moved, entities, by_link=True)
+    return _array_text(relations.aggregate_pages(pages, normalized))
 
 
 def normalized_titles(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,6 +1,6 @@
 """Derived relations: normalized links, link counts, pages with their links."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from linkloom.operators.joins import HOT_ROWS, hot_keys, salted_left_join
@@ -18,15 +18,23 @@ def normalized_links(
     pages: DataFrame,
     resolve_id: str = "source",
     hot_rows: int | None = HOT_ROWS,
+    by_link: bool = False,
 ) -> DataFrame:
     """Links with their title sent through one redirect, and the id of the page they name.
 
     `resolve_id="source"` looks the id up by the link's own title, so a link through a redirect
     normally gets -1. `"target"` looks up the title behind the redirect. A title that `redirects`
-    or `pages` holds twice gives two rows, as the joins say.
+    or `pages` holds twice gives two rows, as the joins say. `by_link` (with `"source"`) gives the
+    pages of a title as one row with an array `link_ids`, in order, in place of a row for each.
     """
+    if by_link and resolve_id != "source":
+        raise ValueError("by_link needs resolve_id 'source'")
     if resolve_id == "source":
-        lookups = [redirects, _ids(pages)]
+        ids = _ids(pages)
+        if by_link:
+            each = F.collect_list(F.coalesce("link_id", F.lit(UNRESOLVED)))
+            ids = ids.groupBy("title").agg(F.sort_array(each).alias("link_ids"))
+        lookups = [redirects, ids]
     elif resolve_id == "target":
         # One lookup by title: redirects with the id of their target, and every page title that
         # no redirect takes away. The links are joined once.
@@ -37,13 +45,15 @@ def normalized_links(
         lookups = [through.unionByName(direct, allowMissingColumns=True)]
     else:
         raise ValueError("resolve_id is 'source' or 'target'")
+    unresolved = F.lit(UNRESOLVED)
+    link_id = F.coalesce("link_ids", F.array(unresolved)) if by_link else F.coalesce("link_id", unresolved)
     return salted_left_join(links, lookups, "title", hot_rows).select(
         "page_id",
         "char_start",
         "char_end",
         "surface",
         F.coalesce("target", "title").alias("link"),
-        F.coalesce("link_id", F.lit(UNRESOLVED)).alias("link_id"),
+        link_id.alias("link_ids" if by_link else "link_id"),
     )
 
 
@@ -80,13 +90,20 @@ def aggregate_pages(pages: DataFrame, normalized: DataFrame) -> DataFrame:
 
     The links are grouped by `page_id` before the join, so no article text is grouped on;
     `page_id` is unique in `pages`. One page's links are one row of the result by definition, and
-    were one row of the dump before.
+    were one row of the dump before. `normalized` may be that of `by_link`: a link then travels once
+    with the pages of its title, and is multiplied in the row of its page.
     """
-    spans = normalized.groupBy("page_id").agg(
-        F.sort_array(
-            F.collect_list(F.struct("char_start", "char_end", "link", "link_id"))
-        ).alias("spans")
-    )
+
+    def multiplied(x: Column) -> Column:
+        start, end, link = (x[c].alias(c) for c in ("char_start", "char_end", "link"))
+        return F.transform(x["link_ids"], lambda i: F.struct(start, end, link, i.alias("link_id")))
+
+    if "link_ids" in normalized.columns:
+        links = F.collect_list(F.struct("char_start", "char_end", "link", "link_ids"))
+        links = F.flatten(F.transform(links, multiplied))
+    else:
+        links = F.collect_list(F.struct("char_start", "char_end", "link", "link_id"))
+    spans = normalized.groupBy("page_id").agg(F.sort_array(links).alias("spans"))
     return pages.join(spans, "page_id").select(
         *(pages[c] for c in pages.columns),
         F.col("spans.char_start").alias("char_starts"),

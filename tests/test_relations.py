@@ -97,3 +97,16 @@ def test_pages_give_two_columns_to_the_link_join(spark, relations, tmp_path):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<page_id:bigint,title:string>" in plan
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+@pytest.mark.parametrize("hot_rows", [1, None])
+def test_pages_of_a_title_travel_as_an_array(relations, hot_rows):
+    links, redirects, pages = relations
+    pages = pages.unionByName(pages.where("page_id = 1").withColumn("page_id", F.lit(None).cast("long")))
+    plain = normalized_links(links, redirects, pages, hot_rows=hot_rows)
+    grouped = normalized_links(links, redirects, pages, hot_rows=hot_rows, by_link=True)
+    assert grouped.count() == links.count() < plain.count()
+    rows = [sorted(map(str, aggregate_pages(pages, x).collect())) for x in (plain, grouped)]
+    assert rows[0] == rows[1]
+    with pytest.raises(ValueError):
+        normalized_links(*relations, resolve_id="target", by_link=True)
