@@ -452,7 +452,9 @@ def dump_counts_while_extracting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _numbered(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The pages of a dump in the order of their ids, with their numbers."""
-    path = _write_xml(spark, sf_dir, pages=_dump(spark, sf_dir).orderBy("id"))
+    # The documents are sorted, not the wikitext: a sort computes its input twice.
+    documents = inputs.table(spark, sf_dir, "documents").orderBy("doc_id")
+    path = _write_xml(spark, sf_dir, pages=inputs.wikitext(documents))
     return dumps.number_pages(dumps.read_dump(spark, path, keep_split=True))
 
 
@@ -482,6 +484,7 @@ def pages_by_callback(spark: SparkSession, sf_dir: str) -> DataFrame:
         return pa.record_batch(columns, names=["number", "page_id", "n_links", "n_chars"])
 
     annotated = extract.annotate_dump(_numbered(spark, sf_dir))
+    annotated = annotated.select("number", "page_id", "content", "links")
     return extract.each_page(annotated, measure, "number long, page_id long, n_links int, n_chars int")
 
 

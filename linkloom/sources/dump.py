@@ -97,7 +97,8 @@ def number_pages(dump: DataFrame) -> DataFrame:
     files = files.select("file", ahead.alias("_files"))
     offset = F.coalesce("_files", F.lit(0)) + F.coalesce("_in_file", F.lit(0)) - F.col("_first")
     offsets = splits.join(files, "file").select("file", "start", offset.alias("_offset"))
-    numbered = rows.join(offsets, ["file", "start"])
+    # Dealt by split, the texts would go to a few tasks.
+    numbered = rows.join(F.broadcast(offsets), ["file", "start"])
     return numbered.withColumn("number", F.col("_row") + F.col("_offset")).drop("file", "start", "_row", "_offset")
 
 

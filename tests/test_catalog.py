@@ -6,6 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_point
+from linkloom.catalog import queries
 from linkloom.catalog.oracles import ORACLES
 from linkloom.catalog.queries import QUERIES
 
@@ -56,3 +57,28 @@ def test_bucketed_tables_are_not_shuffled(spark):
 def test_every_query_of_the_catalog_has_its_sql():
     assert set(ORACLES) == set(NAMES)
     assert set(NAMES) <= set(entry_point.queries())
+
+
+def _sample(spark, tmp_path):
+    rows = [(i, f"a the [[b]] {i}", "en", "s") for i in range(1, 20)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").write.parquet(str(tmp_path / "documents.parquet"))
+    return str(tmp_path)
+
+
+def test_numbered_pages_are_not_dealt_by_split(spark, tmp_path, monkeypatch):
+    """Documents are sorted before they become wikitext, and the numbers come by a broadcast."""
+    plans, write = [], queries._write_xml
+
+    def seen(*args, pages):
+        plans.append(pages._jdf.queryExecution().optimizedPlan().toString())
+        return write(*args, pages=pages)
+
+    monkeypatch.setattr(queries, "_write_xml", seen)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        numbered = queries._numbered(spark, _sample(spark, tmp_path))
+        assert "SortMergeJoin" not in numbered._jdf.queryExecution().executedPlan().toString().partition("BroadcastExchange")[0]
+        assert [r["number"] for r in numbered.orderBy("id").collect()] == list(range(19))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plans[0].index("Generate") < plans[0].index("Sort")
