@@ -466,7 +466,9 @@ def page_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
 def csv_links_in_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links in ten folders by the number of their page."""
     path = scratch_path(spark, "chunks")
-    extract.write_chunks(extract.extract(_numbered(spark, sf_dir)), path)
+    # Rendered once: each relation of `extract` would render the dump anew when it is written.
+    found = extract.stage_relations(_numbered(spark, sf_dir), scratch_path(spark, "relations"))
+    extract.write_chunks(found, path)
     chunks = [
         sources.read_links_csv(spark, f"{path}/links/chunk={k}").withColumn("chunk", F.lit(k))
         for k in range(10)

@@ -65,6 +65,18 @@ def _sample(spark, tmp_path):
     return str(tmp_path)
 
 
+def test_chunks_are_written_from_rendered_pages(spark, tmp_path, monkeypatch):
+    plans, write = [], queries.extract.write_chunks
+
+    def seen(found, path):
+        plans.extend(df._jdf.queryExecution().optimizedPlan().toString() for df in found)
+        write(found, path)
+
+    monkeypatch.setattr(queries.extract, "write_chunks", seen)
+    assert queries.csv_links_in_chunks(spark, _sample(spark, tmp_path)).count() > 0
+    assert len(plans) == 3 and not any("transl" in plan for plan in plans)
+
+
 def test_numbered_pages_are_not_dealt_by_split(spark, tmp_path, monkeypatch):
     """Documents are sorted before they become wikitext, and the numbers come by a broadcast."""
     plans, write = [], queries._write_xml
