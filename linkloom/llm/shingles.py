@@ -13,10 +13,13 @@ fingerprints of a set:
    the bits of all fingerprints differ in no more than FAR says.
 3. Each of those is verified by its sets, so no false link is made.
 
-A bucket gives each member its nearest candidates of other components, FIRST at first and MORE times as many
-in each further round, until none is left out. First the nearest of all of a node are verified, then what still
-lies in different components. So a dense group costs little more than its size; candidates that don't link
-are all compared. A bucket is in one task, as 8-byte numbers.
+A bucket gives its pairs of candidates, FIRST for each member at most. One with more gives no pair but the lists of
+members that candidates join, a row for each. Nodes that such lists join are a cluster, dealt into blocks of about
+SMALL * MORE nodes (or SETS shingles). A block is resolved in its task, with all fingerprints and with the sets:
+each node is verified against its nearest of other components until one links, so that only links leave the
+task. Then the nodes outside a cluster's largest component are compared with its other blocks, after their
+fingerprints have told which of them hold a candidate. So no row stands for a pair of a dense group; the comparisons
+in memory grow with the square of a cluster, dealt over its blocks. A bucket is in one task, as 8-byte numbers.
 
 Rows: null or wordless text has the empty set, which equals itself and links to nothing else. A text
 of fewer words than a shingle is one shingle.
@@ -24,25 +27,27 @@ of fewer words than a shingle is one shingle.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from itertools import accumulate
 
 import numpy as np
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from linkloom.llm.common import components, map_rows, mix64, staged, text_udf, utf8
-from linkloom.llm.simhash import BITS, bit_table, group_bits, places, signed, thresholds
+from linkloom.llm.common import Forest, components, map_rows, mix64, staged, text_udf, utf8
+from linkloom.llm.simhash import BITS, bit_table, forest, group_bits, places, signed, thresholds
 
 SHINGLE, LEAST_JACCARD, SEED = 5, 0.8, 42
 TABLES, PARTS, MOST, NEAR = 32, 4, 3, 12
 #: Differing bits of all fingerprints, for sets of fewer than FEW shingles (their bits tie often) and for others.
 #: At a similarity of 0.8 their mean is 383 at 4 shingles and 310 at many, their deviation 16 to 17.
 FAR, FEW = (455, 380), 32
-#: Candidates of a member in the first round, factor of each further round, and members of a bucket compared at a time.
-FIRST, MORE, SMALL, CHUNK = 2, 64, 8, 2048
-#: Candidates of a node that are verified before the rest.
-NEAREST = 3
+#: Pairs of a bucket for each member; members of a bucket that gives all its pairs, nodes of a block for each of
+#: these, and members of a bucket compared with all at a time.
+FIRST, MORE, SMALL, CHUNK = 2, 64, 8, 256
+#: Shingles of a block.
+SETS = 1 << 20
 #: Pairs of one text in a group.
 GROUP = 1000
 
@@ -134,52 +139,51 @@ def probed(nodes: DataFrame) -> DataFrame:
     return map_rows(nodes.select("node", "prints"), step, "key bigint, f bigint, node bigint, own boolean", 1 << 20)
 
 
-def _small(key, f, node, root, own):
+def _small(key, f, node, own):
     """(a, b): the candidates of buckets of at most SMALL members, sorted by key."""
     out = [np.zeros((0, 2), np.int64)]
     for d in range(1, SMALL):
         at = np.flatnonzero(key[d:] == key[:-d])
         if not len(at):
             break
-        at = at[(own[at] | own[at + d]) & (root[at] != root[at + d]) & (np.bitwise_count(f[at] ^ f[at + d]) <= NEAR)]
+        at = at[(own[at] | own[at + d]) & (np.bitwise_count(f[at] ^ f[at + d]) <= NEAR)]
         out.append(np.c_[node[at], node[at + d]])
     return np.concatenate(out)
 
 
-def _large(f, node, root, own, most: int, within: bool):
-    """The candidates of one bucket, `most` for each member, and whether some were left out.
+def _large(f, node, own, most: int):
+    """The candidates of one bucket, or None if there are more than `most` for each member."""
+    out, n, m = [np.zeros((0, 2), np.int64)], 0, len(f)
+    for start in range(0, m, CHUNK):
+        end = min(start + CHUNK, m)
+        near = np.bitwise_count(f[start:end, None] ^ f[None, start:]) <= NEAR
+        i, j = np.nonzero(np.triu(near & (own[start:end, None] | own[None, start:]), 1))
+        n += len(i)
+        if n > most * m:
+            return None
+        out.append(np.c_[node[start + i], node[start + j]])
+    return np.concatenate(out)
+
+
+def _joined(f, node, own) -> list[list[int]]:
+    """The members of one bucket that candidates join, a list for each group."""
+    groups, found = Forest(len(f)), {}
+    edges = forest(f.view(np.int64), own, NEAR)
+    for i, j in edges:
+        groups.join(i, j)
+    for i in sorted({i for edge in edges for i in edge}):
+        found.setdefault(groups.root(i), []).append(int(node[i]))
+    return list(found.values())
+
 
-    `within`: members are compared in chunks of like fingerprints only. Else all that aren't in the
-    commonest component are compared with all.
+def candidates(buckets: DataFrame, most: int = FIRST, apart: bool = True) -> DataFrame:
+    """x, y (x < y): the candidates of buckets (key, f, node, own); or key, members: the members of a dense bucket.
+
+    `apart`: a row for each group of members that candidates join. Else one for the bucket.
     """
-    out, left, m = [np.zeros((0, 2), np.int64)], False, len(f)
-    if within:
-        order = np.argsort(f, kind="stable")
-        asks = [(order[i : i + CHUNK], order[i : i + CHUNK]) for i in range(0, m, CHUNK)]
-        left = m > CHUNK
-    else:
-        _, label, counts = np.unique(root, return_inverse=True, return_counts=True)
-        minor = np.flatnonzero(label != counts.argmax())
-        asks = [(minor[i : i + 64], np.arange(m)) for i in range(0, len(minor), 64)]
-    for q, c in asks:
-        near = np.bitwise_count(f[q, None] ^ f[None, c])
-        near[(near > NEAR) | (root[q, None] == root[None, c]) | ~(own[q, None] | own[None, c])] = 255
-        if most < len(c):
-            left |= bool(((near < 255).sum(1) > most).any())
-            place = np.argpartition(near, most, axis=1)[:, :most]
-            i, k = np.nonzero(np.take_along_axis(near, place, 1) < 255)
-            j = place[i, k]
-        else:
-            i, j = np.nonzero(near < 255)
-        out.append(np.c_[node[q[i]], node[c[j]]])
-    return np.concatenate(out), left
-
-
-def candidates(buckets: DataFrame, most: int, within: bool) -> DataFrame:
-    """x, y (x < y), and key: the candidates of buckets (key, f, node, own, root), or the key of a bucket that left some out."""
 
     def step(slices):
-        names = ("key", "f", "node", "root", "own")
+        names = ("key", "f", "node", "own")
         held: list[list[np.ndarray]] = []
 
         def joined():
@@ -192,17 +196,21 @@ def candidates(buckets: DataFrame, most: int, within: bool) -> DataFrame:
             starts = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
             sizes = np.diff(np.r_[starts, len(key)])
             few = np.repeat(sizes <= SMALL, sizes)
-            pairs, keys = [_small(*(c[few] for c in columns))], []
+            pairs, keys, members = [_small(*(c[few] for c in columns))], [], []
             for s, n in zip(starts[sizes > SMALL].tolist(), sizes[sizes > SMALL].tolist(), strict=True):
-                found, left = _large(*(c[s : s + n] for c in columns[1:]), most, within)
-                pairs.append(found)
-                if left:
-                    keys.append(int(key[s]))
+                own = [c[s : s + n] for c in columns[1:]]
+                found = _large(*own, most)
+                if found is None:
+                    lists = _joined(*own) if apart else [own[1].tolist()]
+                    keys += [int(key[s])] * len(lists)
+                    members += lists
+                else:
+                    pairs.append(found)
             pairs = np.concatenate(pairs)
             pairs = np.unique(np.sort(pairs[pairs[:, 0] != pairs[:, 1]], axis=1), axis=0)
-            yield {"x": pairs[:, 0], "y": pairs[:, 1], "key": [None] * len(pairs)}
+            yield {"x": pairs[:, 0], "y": pairs[:, 1], "key": [None] * len(pairs), "members": [None] * len(pairs)}
             if keys:
-                yield {"x": [None] * len(keys), "y": [None] * len(keys), "key": keys}
+                yield {"x": [None] * len(keys), "y": [None] * len(keys), "key": keys, "members": members}
 
         for part in slices:  # sorted by key: all but the last are complete
             held.append([np.array(part["f"], np.int64).view(np.uint64) if n == "f" else np.array(part[n]) for n in names])
@@ -215,8 +223,104 @@ def candidates(buckets: DataFrame, most: int, within: bool) -> DataFrame:
         if held:
             yield from made(joined())
 
-    dealt = buckets.select("key", "f", "node", "root", "own").repartition("key").sortWithinPartitions("key")
-    return map_rows(dealt, step, "x bigint, y bigint, key bigint")
+    dealt = buckets.select("key", "f", "node", "own").repartition("key").sortWithinPartitions("key")
+    return map_rows(dealt, step, "x bigint, y bigint, key bigint, members array<bigint>")
+
+
+def clusters(lists: DataFrame) -> DataFrame:
+    """node, root: the nodes that lists (members) join, roots too."""
+
+    def step(slices):
+        up: dict[int, int] = {}  # a node of each task's own lists, once
+
+        def root(x):
+            while up.setdefault(x, x) != x:
+                up[x] = x = up[up[x]]
+            return x
+
+        for part in slices:
+            for members in part["members"]:
+                first = root(members[0])
+                for x in members[1:]:
+                    up[root(x)] = first
+        yield {"a": list(up), "b": [root(x) for x in up]}
+
+    found = components(staged(map_rows(lists, step, "a bigint, b bigint"), "joined"), "clusters")
+    return found.union(found.select("root", "root").distinct())
+
+
+def _likely(n, prints, ns, all_prints, least: float) -> np.ndarray:
+    """Differing bits of all fingerprints of a node from those of others, 9999 where they tell that it doesn't link."""
+    far = np.bitwise_count(all_prints ^ prints).sum(1, dtype=np.int64)
+    low, high = np.minimum(ns, n), np.maximum(ns, n)
+    far[(far > np.where(low < FEW, FAR[0], FAR[1])) | (low < least * high)] = 9999
+    return far
+
+
+def _met(placed: DataFrame, schema: str, least: float, found: Callable) -> DataFrame:
+    """What `found` gives for the nodes of each block.
+
+    placed: cluster, part, ask, node, root, n, prints and, if sets are needed, body. The nodes of a block come before
+    those that ask it. `found` is called once for each node, with the block's nodes so far, the likely ones among
+    them (nearest first), the node itself and a dictionary of its own for the block; it yields rows.
+    """
+    names = schema.replace(",", "").split(" ")[::2]
+    extra = ["body"] if "body" in placed.columns else []
+
+    def step(slices):
+        key = None
+        for part in slices:
+            out: list[tuple] = []
+            for at in range(len(part["node"])):
+                if key != (key := (part["cluster"][at], part["part"][at])):
+                    held, size, ns, prints, memory = [], 0, np.zeros(64, np.int64), np.zeros((64, TABLES), np.uint64), {}
+                one = {c: part[c][at] for c in ("cluster", "part", "ask", "node", "root", "n")}
+                if extra:
+                    one["set"] = shingles(part["body"][at])
+                own = np.array(part["prints"][at], np.int64).view(np.uint64)
+                far = _likely(one["n"], own, ns[:size], prints[:size], least)
+                near = np.flatnonzero(far < 9999)
+                out += found(held, near[np.argsort(far[near], kind="stable")].tolist(), one, memory)
+                if not one["ask"]:
+                    if size == len(ns):
+                        ns, prints = np.r_[ns, ns], np.r_[prints, prints]
+                    ns[size], prints[size], size = one["n"], own, size + 1
+                    held.append(one)
+            yield {c: [r[i] for r in out] for i, c in enumerate(names)}
+
+    columns = ["cluster", "part", "ask", "node", "root", "n", "prints", *extra]
+    dealt = placed.select(*columns).repartition("cluster", "part").sortWithinPartitions("cluster", "part", "ask")
+    return staged(map_rows(dealt, step, schema), "met")
+
+
+def _links_met(placed: DataFrame, least: float, asked: bool) -> DataFrame:
+    """Links (a, b) that join the components (root) of each block's nodes as all their links do; `asked`: of asking nodes only."""
+
+    def found(held, near, one, up):
+        def root(x):
+            while up.setdefault(x, x) != x:
+                up[x] = x = up[up[x]]
+            return x
+
+        if asked and not one["ask"]:
+            return
+        for i in near:
+            a, b = root(one["root"]), root(held[i]["root"])
+            if a != b and jaccard(one["set"], held[i]["set"]) >= least:
+                up[a] = b
+                yield one["node"], held[i]["node"]
+
+    return _met(placed, "a bigint, b bigint", least, found)
+
+
+def _asks(placed: DataFrame, least: float) -> DataFrame:
+    """node, cluster, part: the blocks in which an asking node has a likely one of another component."""
+
+    def found(held, near, one, _):
+        if one["ask"] and any(held[i]["root"] != one["root"] for i in near):
+            yield one["node"], one["cluster"], one["part"]
+
+    return _met(placed, "node bigint, cluster bigint, part int", least, found)
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
@@ -244,47 +348,62 @@ def _verified(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
     return staged(map_rows(met, step, "a bigint, b bigint"), "near")
 
 
+def _resolved(nodes: DataFrame, bodies: DataFrame, edges: DataFrame, least: float) -> DataFrame:
+    """node, root by edges and by all links within the clusters of nodes (cluster, node, n, prints, mark)."""
+    sums = nodes.groupBy("cluster").agg(F.count("*").alias("c"), F.sum("n").alias("s"))
+    parts = sums.select("cluster", F.ceil(F.greatest(F.col("c") / (SMALL * MORE), F.col("s") / SETS)).cast("int").alias("parts"))
+    own = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
+    placed = nodes.join(parts, "cluster").select("*", own.alias("part"), F.lit(False).alias("ask"))
+    placed = staged(bodies.join(placed, "mark").drop("mark"), "placed")
+    edges = edges.union(_links_met(placed.withColumn("root", F.col("node")), least, False))
+    roots = components(edges)
+    many = placed.where("parts > 1")
+    if many.isEmpty():
+        return roots
+    # Nodes outside the largest component of their cluster are compared with its other blocks.
+    rooted = many.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    largest = rooted.groupBy("cluster", "root").agg(F.count("*").alias("c")).groupBy("cluster").agg(F.max_by("root", F.struct("c", "root")).alias("largest"))
+    rooted = staged(rooted.join(largest, "cluster"), "rooted")
+    asking = rooted.where("root <> largest").withColumn("ask", F.lit(True)).withColumnRenamed("part", "own")
+    block = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")
+    asking = asking.drop("body").select("*", block).where("part <> own")
+    columns = ["cluster", "part", "ask", "node", "root", "n", "prints"]
+    asks = _asks(rooted.select(*columns).union(asking.select(*columns)), least)
+    if asks.isEmpty():
+        return roots
+    told = rooted.drop("part", "ask").join(asks, ["cluster", "node"]).withColumn("ask", F.lit(True))
+    used = rooted.join(asks.select("cluster", "part").distinct(), ["cluster", "part"], "left_semi")
+    columns.append("body")
+    return components(edges.union(_links_met(used.select(*columns).union(told.select(*columns)), least, True)))
+
+
 def links(nodes: DataFrame, bodies: DataFrame, least: float = LEAST_JACCARD) -> DataFrame:
     """node, root of the components of nodes (node, n, prints, mark). bodies: (mark, body) of the nodes' first rows."""
     spark = nodes.sparkSession
     nodes = nodes.where("size(prints) > 0")
-    edges, roots = spark.createDataFrame([], "a bigint, b bigint"), spark.createDataFrame([], "node bigint, root bigint")
-    compared = spark.createDataFrame([], "x bigint, y bigint")
-    dense, most = None, FIRST
-    every = probed(nodes)
-    while True:
-        if dense is None:
-            now = every.withColumn("root", F.col("node"))
-        else:
-            now = dense.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        found = staged(candidates(now, most, dense is None), "candidates")
-        pairs = found.where("key is null").select("x", "y").distinct().join(compared, ["x", "y"], "left_anti")
-        one, other = (nodes.select(F.col("node").alias(c), F.col("n").alias(f"{c}n"), F.col("prints").alias(f"{c}p")) for c in "xy")
-        far = F.aggregate(F.zip_with("xp", "yp", lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda a, b: a + b)
-        scored = pairs.join(one, "x").join(other, "y").where(F.least("xn", "yn") >= least * F.greatest("xn", "yn"))
-        scored = scored.select("x", "y", far.alias("far"), F.when(F.least("xn", "yn") < FEW, FAR[0]).otherwise(FAR[1]).alias("limit"))
-        scored = staged(scored.where("far <= limit").select("x", "y", "far"), "scored")
-        if not scored.isEmpty():
-            compared = compared.union(scored.select("x", "y"))
-            used = scored.select(F.explode(F.array("x", "y")).alias("node")).distinct().join(nodes.select("node", "mark"), "node")
-            texts = staged(bodies.join(used, "mark").select("node", "body"), "texts")
-            ends = scored.select(F.col("x").alias("end"), "*").union(scored.select(F.col("y").alias("end"), "*"))
-            rank = F.row_number().over(Window.partitionBy("end").orderBy("far", "x", "y"))
-            first = staged(ends.withColumn("rank", rank).where(F.col("rank") <= NEAREST).select("x", "y").distinct(), "first")
-            edges = edges.union(_verified(first, texts, least))
-            roots = components(edges)
-            rest = scored.select("x", "y").join(first, ["x", "y"], "left_anti")
-            for c in "xy":
-                rest = rest.join(roots.select(F.col("node").alias(c), F.col("root").alias(f"{c}r")), c, "left").withColumn(f"{c}r", F.coalesce(f"{c}r", c))
-            rest = staged(rest.where("xr <> yr").select("x", "y"), "rest")
-            if not rest.isEmpty():
-                edges = edges.union(_verified(rest, texts, least))
-                roots = components(edges)
-        left = found.where("key is not null").select("key").distinct()
-        if left.isEmpty():
-            return roots
-        dense = staged((every if dense is None else dense).join(left, "key", "left_semi"), "dense")
-        most *= MORE
+    edges = spark.createDataFrame([], "a bigint, b bigint")
+    found = staged(candidates(probed(nodes)), "candidates")
+    lists = found.where("key is not null").select("members")
+    dense = not lists.isEmpty()
+    if dense:
+        placed = clusters(lists).select("node", F.col("root").alias("cluster"))
+        nodes = nodes.join(placed, "node", "left")
+    else:
+        nodes = nodes.withColumn("cluster", F.lit(None).cast("bigint"))
+    pairs = found.where("key is null").select("x", "y").distinct()
+    one, other = (nodes.select(*(F.col(k).alias(v) for k, v in (("node", c), ("n", f"{c}n"), ("prints", f"{c}p"), ("cluster", f"{c}c")))) for c in "xy")
+    far = F.aggregate(F.zip_with("xp", "yp", lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda a, b: a + b)
+    limit = F.when(F.least("xn", "yn") < FEW, FAR[0]).otherwise(FAR[1])
+    scored = pairs.join(one, "x").join(other, "y").where(F.least("xn", "yn") >= least * F.greatest("xn", "yn"))
+    # The pairs of a cluster are resolved there.
+    scored = staged(scored.where((far <= limit) & ~F.coalesce(F.col("xc") == F.col("yc"), F.lit(False))).select("x", "y"), "scored")
+    if not scored.isEmpty():
+        used = scored.select(F.explode(F.array("x", "y")).alias("node")).distinct().join(nodes.select("node", "mark"), "node")
+        texts = staged(bodies.join(used, "mark").select("node", "body"), "texts")
+        edges = _verified(scored, texts, least)
+    if dense:
+        return _resolved(nodes.where("cluster is not null"), bodies, edges, least)
+    return components(edges)
 
 
 def keep_first(docs: DataFrame, least: float = LEAST_JACCARD) -> DataFrame:

@@ -92,3 +92,35 @@ def test_dense_group_in_rounds(spark, monkeypatch):
     kept = pipeline.near_duplicates(spark, frame(spark, texts), "")
     assert sorted(x["doc_id"] for x in kept.collect()) == sorted(set(roots(near, range(200)).values()))
     assert sum(compared) < len(near) / 3
+
+
+def test_rows_follow_the_size_of_a_group(spark, monkeypatch):
+    """Near copies that mostly don't link cost a bounded number of rows each, over several blocks too."""
+    monkeypatch.setattr(shingles, "MORE", 4)
+    rows, staged = [], shingles.staged
+
+    def counted(df, name, *a, **b):
+        out = staged(df, name, *a, **b)
+        rows.append(out.count())
+        return out
+
+    monkeypatch.setattr(shingles, "staged", counted)
+    r = random.Random(13)
+    base = [f"w{i}" for i in range(150)]
+    texts = [" ".join(w if i not in at else f"x{r.randint(0, 10**9)}" for i, w in enumerate(base)) for at in (r.sample(range(4, 146, 6), 2) for _ in range(750))]
+    sets = [_set(t) for t in texts]
+    near = [(i, j) for i, j in combinations(range(750), 2) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])]
+    kept = pipeline.near_duplicates(spark, frame(spark, texts), "")
+    assert sorted(x["doc_id"] for x in kept.collect()) == sorted(set(roots(near, range(750)).values()))
+    assert sum(rows) < 2 * shingles.FIRST * shingles.TABLES * shingles.PARTS * len(texts)
+
+
+def test_dense_bucket_gives_its_groups(spark):
+    """A bucket with many candidates gives lists of members, each group apart, and no pairs."""
+    one, other = 0x0F0F0F0F0F0F0F0F, 0x3333333300FF00FF
+    rows = [(7, f ^ (1 << b), k * 100 + b, True) for k, f in enumerate((one, other)) for b in range(20)] + [(8, one, b, True) for b in range(2)]
+    buckets = spark.createDataFrame(rows, "key bigint, f bigint, node bigint, own boolean")
+    found = shingles.candidates(buckets).collect()
+    assert sorted(sorted(r["members"]) for r in found if r["key"] == 7) == [list(range(20)), list(range(100, 120))]
+    assert [(r["x"], r["y"]) for r in found if r["key"] is None] == [(0, 1)]
+    assert {r["node"]: r["root"] for r in shingles.clusters(spark.createDataFrame([([3, 1],), ([5, 1],), ([9, 8],)], "members array<bigint>")).collect()} == {1: 1, 3: 1, 5: 1, 8: 8, 9: 8}
