@@ -60,6 +60,16 @@ def utf8(text: Column) -> Column:
     return F.coalesce(text, F.lit("")).cast("binary")
 
 
+def slices(batches: Iterator[pa.RecordBatch], slice_bytes: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """The batches' rows in slices of about `slice_bytes`, none empty."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        step_rows = max(1, int(batch.num_rows * slice_bytes / max(1, batch.nbytes)))
+        for start in range(0, batch.num_rows, step_rows):
+            yield batch.slice(start, step_rows)
+
+
 def map_rows(
     df: DataFrame, step: Callable[[Iterator[dict]], Iterator[dict]], schema: str, slice_bytes: int = 4 << 20
 ) -> DataFrame:
@@ -71,16 +81,8 @@ def map_rows(
     out = _arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def slices() -> Iterator[dict]:
-            for batch in batches:
-                if not batch.num_rows:
-                    continue
-                step_rows = max(1, int(batch.num_rows * slice_bytes / max(1, batch.nbytes)))
-                for start in range(0, batch.num_rows, step_rows):
-                    part = batch.slice(start, step_rows)
-                    yield {n: part.column(i).to_pylist() for i, n in enumerate(part.schema.names)}
-
-        for made in step(slices()):
+        given = ({n: part.column(i).to_pylist() for i, n in enumerate(part.schema.names)} for part in slices(batches, slice_bytes))
+        for made in step(given):
             yield pa.record_batch([pa.array(made[f.name], f.type) for f in out], schema=out)
         free_memory()
 

@@ -6,11 +6,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkloom.llm.common import staged, table
+from linkloom.llm.common import table
 from linkloom.llm.packing import pack_rows
 from linkloom.llm.quality import keep_good
 from linkloom.llm.shingles import keep_first
-from linkloom.llm.suffix import cut_characters, dedupe
+from linkloom.llm.suffix import dedupe
 from linkloom.llm.toxicity import drop_toxic
 
 
@@ -33,23 +33,18 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     """All documents, without the passages that a document with a smaller id has.
 
     A character goes if all its bytes do. Texts that lose all stay as empty rows; null texts stay
-    null; n_chars follows the text.
+    null; n_chars follows the text. The other columns may have any type that Arrow has.
     """
-    given = staged(docs.select(F.struct("*").alias("row"), F.monotonically_increasing_id().alias("mark")), "rows")
-    texts = given.select("row.doc_id", "row.text", F.col("mark").cast("string").alias("mark"))
-    cut = dedupe(texts, "mark", text=True).select(F.col("extra").cast("bigint").alias("mark"), "kept_text")
-    # The other columns come back by the number of the row; texts are not shuffled for it.
-    other = [F.col("row").getField(c).alias(f"c{i}") for i, c in enumerate(docs.columns) if c != "text"]
-    none = F.col("row").getField("text").isNull().alias("none")
-    back = cut.join(given.select("mark", none, *other), "mark")
-    text = F.when(~F.col("none"), F.col("kept_text"))
-    made = []
-    for i, c in enumerate(docs.columns):
-        value = text if c == "text" else F.col(f"c{i}")
-        if c == "n_chars":
-            value = F.when(F.col("none"), value).otherwise(F.length("kept_text").cast(docs.schema[c].dataType))
-        made.append(value.alias(c))
-    return back.select(*made)
+    # The other columns travel with the text, in its block, so nothing is stored or shuffled to bring them back.
+    others = [c for c in docs.columns if c != "text"]
+    row = F.struct(F.col("text").isNull().alias("none"), *(F.col("`" + c.replace("`", "``") + "`").alias(f"c{i}") for i, c in enumerate(others)))
+    cut = dedupe(docs.select("doc_id", "text", row.alias("row")), "row", text=True)
+    none = F.col("extra.none")
+    made = {c: F.col(f"extra.c{i}") for i, c in enumerate(others)}
+    made["text"] = F.when(~none, F.col("kept_text"))
+    if "n_chars" in made:
+        made["n_chars"] = F.when(none, made["n_chars"]).otherwise(F.length("kept_text").cast(docs.schema["n_chars"].dataType))
+    return cut.select(*(made[c].alias(c) for c in docs.columns))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

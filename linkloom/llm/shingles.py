@@ -413,7 +413,7 @@ def keep_first(docs: DataFrame, least: float = LEAST_JACCARD) -> DataFrame:
     its group has one. Null and empty texts are one group. Columns of any name and type are kept.
     """
     # The rows are stored with a number, by which they are known from here on.
-    given = staged(docs.select(F.struct("*").alias("row"), F.monotonically_increasing_id().alias("mark")), "rows")
+    given = staged(docs.select(F.struct("*").alias("row"), F.monotonically_increasing_id().alias("mark")), "rows", compression="zstd")
     docs = given.select("row.doc_id", "row.text", "mark")
     rows = staged(docs.select("doc_id", "mark", _sets()(utf8(F.col("text"))).alias("s")).select("doc_id", "mark", "s.*"), "shingled")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "mark")).alias("first")

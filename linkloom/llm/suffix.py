@@ -298,7 +298,7 @@ def dedupe(docs: DataFrame, extra: str | None = None, text: bool = False) -> Dat
     """doc_id, n_bytes, n_removed, n_spans, kept (the remaining bytes), spans and extra of each row of docs.
 
     `spans` holds the removed runs as little-endian (start, end) pairs of 64-bit integers. `extra` names
-    a string column that is passed on. With `text`, kept_text comes instead of kept and spans: the
+    a column of any type that Arrow has, which is passed on. With `text`, kept_text comes instead of kept and spans: the
     text without the characters that lie whole in a removed run.
     """
     given = docs.select("doc_id", utf8(F.col("text")).alias("body"), (F.col(extra) if extra else F.lit(None).cast("string")).alias("extra"))
@@ -358,7 +358,7 @@ def dedupe(docs: DataFrame, extra: str | None = None, text: bool = False) -> Dat
             np.add.at(edge, where, 1)
             np.add.at(edge, where + MATCH, -1)
         gone = np.cumsum(edge)[:-1] > 0
-        out = {"doc_id": row["ids"], "n_bytes": row["sizes"], "n_removed": [], "n_spans": [], **{c: [] for c in results}, "extra": row["extra"]}
+        out = {"doc_id": row["ids"], "n_bytes": row["sizes"], "n_removed": [], "n_spans": [], **{c: [] for c in results}}
         for body, s, size in zip(bodies, starts.tolist(), row["sizes"], strict=True):
             g = gone[s : s + size]
             change = np.flatnonzero(np.diff(np.r_[False, g, False].astype(np.int8))).astype(np.int64)
@@ -371,7 +371,7 @@ def dedupe(docs: DataFrame, extra: str | None = None, text: bool = False) -> Dat
                 out["spans"].append(change.tobytes())
         return out
 
-    kinds = [("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), *results.items(), ("extra", pa.string())]
+    kinds = [("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), *results.items()]
     return with_answers(blocks, answers, apply, pa.schema(kinds))
 
 

@@ -1,12 +1,16 @@
 """The registered queries and the pipeline on the given tables."""
 
+import random
+from datetime import datetime
 from pathlib import Path
 
 import duckdb
 import pytest
+from pyspark.sql import Row
 
 import __spark_entry__ as entry_point
 import corpus_pipeline
+from linkloom.llm import common
 from linkloom.llm.common import staged, table
 from linkloom.llm.oracles import ORACLES
 from linkloom.llm.queries import QUERIES
@@ -90,3 +94,24 @@ def test_stages_keep_columns_of_any_type(spark):
             assert [v for c, v in r.asDict().items() if c not in ("text", "n_chars")] == [
                 v for c, v in given[r["doc_id"]].asDict().items() if c not in ("text", "n_chars")
             ]
+
+
+def test_repeated_passages_stores_texts_once(spark, monkeypatch, tmp_path):
+    """The stage stores the texts as compressed blocks only, and no join brings the other columns back."""
+    monkeypatch.setattr(common, "shared_dir", lambda _: str(tmp_path))
+    r = random.Random(7)
+    rows = [(i, None if i == 9 else r.randbytes(5000).hex(), datetime(2024, 1, 1, i % 24), i * 3) for i in range(200)]
+    rows += [(i + 200, t, at, n) for i, t, at, n in rows[:5]]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, `a``t` timestamp, n_chars int").repartition(3)
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+        got = dict(corpus_pipeline.STAGES)["repeated_passages"](spark, docs, str(SF))
+        assert "Join" not in got._jdf.queryExecution().executedPlan().toString()
+        assert sorted(map(repr, got.collect())) == sorted(
+            repr(Row(**{"doc_id": i, "text": "" if i >= 200 else t, "a`t": at, "n_chars": n if t is None else 0 if i >= 200 else len(t)})) for i, t, at, n in rows
+        )
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    stored = sum(p.stat().st_size for p in tmp_path.rglob("*.parquet"))
+    assert stored < sum(len(t or "") for _, t, _, _ in rows)
