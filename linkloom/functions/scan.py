@@ -73,6 +73,13 @@ def replace_marked(text: Column, pattern: str, replacement: str, *literals: str)
     )
 
 
+def replace_held(text: Column, old: str, new: str) -> Column:
+    """`replace(text, old, new)`; a text without `old` costs a search only."""
+    return let(
+        text, lambda c: F.when(holds(c, old), F.replace(c, F.lit(old), F.lit(new))).otherwise(c)
+    )
+
+
 def replace_closed(text: Column, pattern: str, replacement: str, closing: str, opening: str) -> Column:
     """`regexp_replace(text, pattern, replacement)` in time linear in the text.
 

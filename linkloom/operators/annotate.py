@@ -34,7 +34,15 @@ from linkloom.functions.predicates import (
     is_main,
     is_special_title,
 )
-from linkloom.functions.scan import holds, let, replace_closed, replace_marked, running_total, scan
+from linkloom.functions.scan import (
+    holds,
+    let,
+    replace_closed,
+    replace_held,
+    replace_marked,
+    running_total,
+    scan,
+)
 from linkloom.functions.titles import strip, wikilink_title
 from linkloom.operators.once import with_fields
 
@@ -156,7 +164,7 @@ def drop_media(text: Column, names: Iterable[str] | Column) -> Column:
     text = let(
         text, lambda c: F.when(F.rlike(c, _head(names)), drop_media_links(c, names)).otherwise(c)
     )
-    return F.replace(text, F.lit(GONE), F.lit(""))
+    return replace_held(text, GONE, "")
 
 
 def plain_wikitext(
