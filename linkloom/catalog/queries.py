@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from linkloom.catalog import inputs
 from linkloom.functions import meta, predicates
 from linkloom.functions.literals import to_array_literal, to_int_array_literal
+from linkloom.functions.scan import replace_held
 from linkloom.functions.titles import normalize_title, wikilink_title
 from linkloom.operators import redirects
 from linkloom.operators.annotate import annotate_links
@@ -392,7 +393,7 @@ def _write_site(spark: SparkSession, sf_dir: str) -> str:
     """A dump whose header has the names of the site's namespaces."""
     documents = inputs.table(spark, sf_dir, "documents")
     pages = inputs.odd_markup(documents, inputs.SITE_MARKUP, inputs.SITE_TITLE)
-    return _write_xml(spark, sf_dir, pages=pages, header=inputs.site_header(documents))
+    return _write_xml(spark, sf_dir, pages=pages, header=inputs.site_header(documents), compression="none")
 
 
 def _write_xml(
@@ -401,16 +402,16 @@ def _write_xml(
     broken: str = "false",
     pages: DataFrame | None = None,
     header: Column | None = None,
+    compression: str = "bzip2",
 ) -> str:
-    """Pages, else the wikitext pages, as a compressed XML dump, a part per task; `broken` ones lose a mark.
+    """Pages, else the wikitext pages, as an XML dump, a part per task; `broken` ones lose a mark.
 
     Every part begins with the header.
     """
 
     def escaped(name: str) -> Column:
-        c = F.replace(F.col(name), F.lit("&"), F.lit("&amp;"))
-        c = F.replace(c, F.lit("<"), F.lit("&lt;"))
-        return F.replace(c, F.lit(">"), F.lit("&gt;"))
+        c = replace_held(F.col(name), "&", "&amp;")
+        return replace_held(replace_held(c, "<", "&lt;"), ">", "&gt;")
 
     path = scratch_path(spark, "dump")
     page = F.format_string(
@@ -426,7 +427,7 @@ def _write_xml(
         first = F.monotonically_increasing_id() % (1 << 33) == 0
         page = F.concat(F.when(first, header).otherwise(""), page)
     pages = _dump(spark, sf_dir) if pages is None else pages
-    pages.select(page.alias("value")).write.option("compression", "bzip2").text(path)
+    pages.select(page.alias("value")).write.option("compression", compression).text(path)
     return path
 
 

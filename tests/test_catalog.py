@@ -105,3 +105,10 @@ def test_wikitext_replaces_only_what_a_text_holds(spark):
     want = docs.selectExpr(*queries.inputs.select_list(queries.inputs.WIKITEXT))
     assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
     assert "replace(replace(" not in got._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_site_dump_is_not_compressed(spark, tmp_path):
+    """Compressing and opening the dump would take longer than all else."""
+    path = Path(queries._write_site(spark, _sample(spark, tmp_path)))
+    parts = list(path.glob("part-*"))
+    assert parts and all(p.suffix == ".txt" and p.read_text().startswith("<mediawiki") for p in parts)
