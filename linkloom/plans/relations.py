@@ -91,7 +91,8 @@ def aggregate_pages(pages: DataFrame, normalized: DataFrame) -> DataFrame:
     The links are grouped by `page_id` before the join, so no article text is grouped on;
     `page_id` is unique in `pages`. One page's links are one row of the result by definition, and
     were one row of the dump before. `normalized` may be that of `by_link`: a link then travels once
-    with the pages of its title, and is multiplied in the row of its page.
+    with the pages of its title, and is multiplied in the row of its page. The join is a merge join:
+    the planner guesses the arrays' size from files that do not hold them, and would broadcast them all.
     """
 
     def multiplied(x: Column) -> Column:
@@ -104,7 +105,7 @@ def aggregate_pages(pages: DataFrame, normalized: DataFrame) -> DataFrame:
     else:
         links = F.collect_list(F.struct("char_start", "char_end", "link", "link_id"))
     spans = normalized.groupBy("page_id").agg(F.sort_array(links).alias("spans"))
-    return pages.join(spans, "page_id").select(
+    return pages.join(spans.hint("merge"), "page_id").select(
         *(pages[c] for c in pages.columns),
         F.col("spans.char_start").alias("char_starts"),
         F.col("spans.char_end").alias("char_ends"),

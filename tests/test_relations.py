@@ -110,3 +110,15 @@ def test_pages_of_a_title_travel_as_an_array(relations, hot_rows):
     assert rows[0] == rows[1]
     with pytest.raises(ValueError):
         normalized_links(*relations, resolve_id="target", by_link=True)
+
+
+@pytest.mark.parametrize("by_link", [False, True])
+def test_link_arrays_are_never_broadcast(spark, relations, tmp_path, by_link):
+    links, redirects, pages = relations
+    for name, df in (("links", links), ("pages", pages)):
+        df.write.parquet(str(tmp_path / name))
+    links, pages = (spark.read.parquet(str(tmp_path / name)) for name in ("links", "pages"))
+    normalized = normalized_links(links, redirects, pages, by_link=by_link)
+    plan = aggregate_pages(pages, normalized)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin [page_id" in plan
+    assert "BroadcastHashJoin [page_id" not in plan
