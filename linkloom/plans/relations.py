@@ -3,7 +3,7 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from linkloom.operators.joins import HOT_ROWS, hot_keys, salted_left_join
+from linkloom.operators.joins import HOT_ROWS, hot_keys, salted_left_join, tiled_left_join
 
 UNRESOLVED = -1
 
@@ -27,33 +27,34 @@ def normalized_links(
     or `pages` holds twice gives two rows, as the joins say. `by_link` (with `"source"`) gives the
     pages of a title as one row with an array `link_ids`, in order, in place of a row for each.
     """
-    if by_link and resolve_id != "source":
-        raise ValueError("by_link needs resolve_id 'source'")
-    if resolve_id == "source":
-        ids = _ids(pages)
-        if by_link:
-            each = F.collect_list(F.coalesce("link_id", F.lit(UNRESOLVED)))
-            ids = ids.groupBy("title").agg(F.sort_array(each).alias("link_ids"))
-        lookups = [redirects, ids]
-    elif resolve_id == "target":
-        # One lookup by title: redirects with the id of their target, and every page title that
-        # no redirect takes away. The links are joined once.
-        through = salted_left_join(
-            redirects, [_ids(pages).withColumnRenamed("title", "target")], "target", hot_rows
-        ).select("title", "target", "link_id")
-        direct = _ids(pages).join(redirects.select("title"), "title", "left_anti")
-        lookups = [through.unionByName(direct, allowMissingColumns=True)]
-    else:
+    if resolve_id not in ("source", "target"):
         raise ValueError("resolve_id is 'source' or 'target'")
     unresolved = F.lit(UNRESOLVED)
-    link_id = F.coalesce("link_ids", F.array(unresolved)) if by_link else F.coalesce("link_id", unresolved)
-    return salted_left_join(links, lookups, "title", hot_rows).select(
+    ids = _ids(pages)
+    if by_link:
+        if resolve_id != "source":
+            raise ValueError("by_link needs resolve_id 'source'")
+        each = F.collect_list(F.coalesce("link_id", unresolved))
+        ids = ids.groupBy("title").agg(F.sort_array(each).alias("link_ids"))
+        joined = salted_left_join(links, [redirects, ids], "title", hot_rows)
+        link_id = F.coalesce("link_ids", F.array(unresolved)).alias("link_ids")
+    else:
+        # One lookup by title: redirects with the id of the page they or their target name, and
+        # every page title that no redirect takes away. The links are joined once.
+        key = "title" if resolve_id == "source" else "target"
+        through = salted_left_join(redirects, [ids.withColumnRenamed("title", key)], key, hot_rows)
+        direct = ids.join(redirects.select("title"), "title", "left_anti")
+        lookup = through.select("title", "target", "link_id").unionByName(direct, allowMissingColumns=True)
+        # Links to one title times the pages that answer to it: few rows may give many.
+        joined = tiled_left_join(links, lookup, "title", hot_rows)
+        link_id = F.coalesce("link_id", unresolved).alias("link_id")
+    return joined.select(
         "page_id",
         "char_start",
         "char_end",
         "surface",
         F.coalesce("target", "title").alias("link"),
-        link_id.alias("link_ids" if by_link else "link_id"),
+        link_id,
     )
 
 

@@ -4,7 +4,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from linkloom.operators.joins import hot_keys, salted_left_join
+from linkloom.operators.joins import hot_keys, salted_left_join, tiled_left_join
 
 
 def rows_of(df):
@@ -102,3 +102,16 @@ def test_left_side_is_shuffled_once(spark, sides):
     # One exchange per input by key and salt, the rest count hot keys or the result.
     assert text.count("hashpartitioning(k") == 3
     assert "CartesianProduct" not in text
+
+
+@pytest.mark.parametrize("hot_rows", [1, 40, 2_000, 10**6, None])
+def test_tiles_change_no_row(spark, sides, hot_rows):
+    left, one, _ = sides
+    # Many rows of a key on both sides, equal ones among them; a key on one side only; no key.
+    many = [("hot", f"h{i % 50}") for i in range(60)] + [("k1", "c"), ("k1", "c"), ("z", "e")] * 9
+    many = one.unionByName(spark.createDataFrame([*many, (None, None), ("k2", None)], "k string, x string"))
+    for a, b in ((left, many), (many, left), (left, many.limit(0)), (left.limit(0), many)):
+        plain = a.join(b, "k", "left")
+        tiled = tiled_left_join(a, b, "k", hot_rows)
+        assert tiled.columns == plain.columns
+        assert rows_of(tiled) == rows_of(plain)

@@ -122,3 +122,16 @@ def test_link_arrays_are_never_broadcast(spark, relations, tmp_path, by_link):
     plan = aggregate_pages(pages, normalized)._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin [page_id" in plan
     assert "BroadcastHashJoin [page_id" not in plan
+
+
+@pytest.mark.parametrize("resolve_id", ["source", "target"])
+def test_few_links_and_pages_that_give_many_rows_are_spread(spark, resolve_id):
+    links = [(i, 0, 1, "a", "Many") for i in range(400)] + [(i, 2, 3, "b", "To many") for i in range(100)]
+    links = spark.createDataFrame(links, schemas.LINKS)
+    redirects = spark.createDataFrame([("To many", "Many")], schemas.REDIRECTS)
+    pages = spark.createDataFrame([(i, "Many", "c", False, []) for i in range(200)], schemas.PAGES)
+    got = normalized_links(links, redirects, pages, resolve_id, hot_rows=1_000)
+    sizes = [r["count"] for r in got.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == (80_100 if resolve_id == "source" else 100_000)
+    assert max(sizes) < sum(sizes) / 5
+    assert got.where("link = 'Many'").select("page_id", "char_start", "link_id").distinct().count() == sum(sizes)
